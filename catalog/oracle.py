@@ -131,21 +131,26 @@ LANGUAGE_CTES = r"""
             '[^\p{L}]+|[\x{10000}-\x{10FFFF}]+', ' ', 'g'), '.') AS c
         FROM documents),
     grams AS (
-        SELECT doc_id, lang, gram, count(*) AS k FROM (
-            SELECT doc_id, lang,
-                unnest(list_transform(range(1, len(c) - 1), lambda i: c[i] || c[i + 1] || c[i + 2]))
-                    AS gram
-            FROM chars)
+        SELECT doc_id, lang,
+            (7919 * unicode(g[1]) + 104729 * unicode(g[2]) + 1299709 * unicode(g[3])) % 65536
+                AS bucket, sum(k)::BIGINT AS k
+        FROM (
+            SELECT doc_id, lang, g, count(*) AS k FROM (
+                SELECT doc_id, lang, unnest(list_transform(range(1, len(c) - 1),
+                    lambda i: c[i] || c[i + 1] || c[i + 2])) AS g
+                FROM chars)
+            GROUP BY ALL)
         GROUP BY ALL),
-    class_grams AS (SELECT lang, gram, sum(k) AS n FROM grams GROUP BY ALL),
+    class_grams AS (
+        SELECT lang, bucket, sum(k)::BIGINT AS n FROM grams GROUP BY ALL),
     classes AS (
         SELECT lang, ln(docs + 1.0) - ln(sum(docs) OVER () + count(*) OVER ()) AS prior,
-            ln(total + (SELECT count(DISTINCT gram) FROM class_grams)) AS norm
+            ln(total + 65536) AS norm
         FROM (SELECT lang, count(*) AS docs FROM documents GROUP BY lang)
         JOIN (SELECT lang, sum(n) AS total FROM class_grams GROUP BY lang) USING (lang)),
     hits AS (
         SELECT g.doc_id, n.lang, sum(g.k * ln(n.n + 1.0)) AS hit
-        FROM grams g JOIN class_grams n USING (gram) GROUP BY ALL),
+        FROM grams g JOIN class_grams n USING (bucket) GROUP BY ALL),
     sizes AS (SELECT doc_id, sum(k) AS size FROM grams GROUP BY doc_id),
     languages AS (
         SELECT doc_id, arg_max(lang, prior + coalesce(hit, 0) - size * norm) AS code
@@ -188,16 +193,16 @@ def placed(precision: str) -> str:
             {PLACE.format(key="doc_id")}
         FROM documents),
     timed AS (
-        SELECT *, {as_time(found_time("created_at", precision), precision)} AS at,
+        SELECT *, {as_time(found_time("created_at", precision), precision)} AS moment,
             {as_time(found_time("joined", precision), precision)} AS since,
             {box_case("lat", "lon", REGION_BOXES)} AS state
         FROM raw
         WHERE doc_id % 29 <> 0 AND {found_time("created_at", precision)} IS NOT NULL
             AND {found_time("joined", precision)} IS NOT NULL),
     placed AS (
-        SELECT doc_id, at, strftime(at, '%Y-%m-%d') AS date,
-            (dayofweek(at) + 1)::INTEGER AS dayofweek, hour(at)::INTEGER AS hour,
-            candidate, {months("at", "since")} AS online_age, state, tweet
+        SELECT doc_id, moment, strftime(moment, '%Y-%m-%d') AS date,
+            (dayofweek(moment) + 1)::INTEGER AS dayofweek, hour(moment)::INTEGER AS hour,
+            candidate, {months("moment", "since")} AS online_age, state, tweet
         FROM timed WHERE state IS NOT NULL)"""
 
 
@@ -357,8 +362,10 @@ ORACLE_SQL: dict[str, str] = {
         FROM ({sentiment("doc_id", "text", "documents")})""",
     "language_id": f"""WITH {LANGUAGE_CTES} SELECT doc_id,
         {lookup_case("code", LANGUAGE_NAMES, UNKNOWN_LANGUAGE)} AS language FROM languages""",
+    "language_profile": f"""WITH {LANGUAGE_CTES} SELECT lang AS code, bucket::INTEGER AS bucket, n
+        FROM class_grams""",
     "ingest_clean": f"WITH {CLEAN} SELECT {CLEAN_COLUMNS} FROM clean",
-    "ingest_words": f"""WITH {placed("second")} SELECT at AS timestamp, dayofweek, hour, state,
+    "ingest_words": f"""WITH {placed("second")} SELECT moment AS timestamp, dayofweek, hour, state,
         candidate, online_age, tweet FROM placed""",
     "enrich_posts": f"WITH {ENRICHED} SELECT {CLEAN_COLUMNS}, sentiment, language FROM enriched",
     "hourly_counts": f"""WITH {CLEAN} SELECT hour, count(*) FILTER (WHERE candidate = 'Trump')

@@ -273,22 +273,20 @@ def tokens(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select(
         "conv_id",
         "turn",
-        F.array_join(text.tokens(text.clean_text(F.col("text"))), "|").alias("tokens"),
+        F.array_join(text.tokens(F.col("text")), "|").alias("tokens"),
     )
 
 
 def document_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.explode_terms(
-        table(spark, sf_dir, "documents"), ["lang", "source"], text.clean_text(F.col("text"))
+        table(spark, sf_dir, "documents"), ["lang", "source"], F.col("text")
     )
 
 
 @query
 def explode_terms(spark, sf_dir):
     """Rows per document after the explode, rather than the rows themselves."""
-    words = terms.explode_terms(
-        table(spark, sf_dir, "documents"), ["doc_id"], text.clean_text(F.col("text"))
-    )
+    words = terms.explode_terms(table(spark, sf_dir, "documents"), ["doc_id"], F.col("text"))
     return words.groupBy("doc_id").agg(
         F.count("*").alias("words"), F.sum(F.length("word")).alias("letters")
     )
@@ -307,9 +305,8 @@ def topk_terms(spark, sf_dir):
 
 @query
 def union_tagged(spark, sf_dir):
-    cleaned = text.clean_text(F.col("text"))
-    docs = terms.explode_terms(table(spark, sf_dir, "documents"), [], cleaned)
-    talks = terms.explode_terms(table(spark, sf_dir, "conversations"), [], cleaned)
+    docs = terms.explode_terms(table(spark, sf_dir, "documents"), [], F.col("text"))
+    talks = terms.explode_terms(table(spark, sf_dir, "conversations"), [], F.col("text"))
     counted = {name: terms.term_counts(part, []) for name, part in
                {"document": docs, "conversation": talks}.items()}
     return terms.union_tagged(counted, "origin")
@@ -335,6 +332,13 @@ def language_id(spark, sf_dir):
     return found.where(F.col("language") != UNKNOWN_LANGUAGE).select("doc_id", "language")
 
 
+@query
+def language_profile(spark, sf_dir):
+    """What training counts: trigram buckets per language."""
+    docs = table(spark, sf_dir, "documents").select("text", "lang")
+    return language.bucket_counts(docs, "text", "lang")
+
+
 # --- whole jobs on posts made from the tables --------------------------------
 
 
@@ -426,7 +430,10 @@ def table_append(spark, sf_dir):
 def keyed_upsert(spark, sf_dir):
     """Customers, then the balance of those with orders replaced by their order total."""
     contract = TableContract(
-        T.StructType().add("c_custkey", "bigint").add("c_name", "string").add("orders", "bigint"),
+        T.StructType()
+        .add("c_custkey", T.LongType())
+        .add("c_name", T.StringType())
+        .add("orders", T.LongType()),
         ("c_custkey",),
     )
     stored = KeyedTable(spark, shared_folder(spark, "keyed"), contract)

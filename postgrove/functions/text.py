@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import string
 from collections.abc import Callable, Sequence
 
 import pandas as pd
@@ -12,8 +13,8 @@ from postgrove.dimensions import STOP_WORDS
 
 # The patterns of the cleaning chain. Java needs `(?d)` for `.`
 # to stop at \n alone, `(?U)` for whitespace beyond ASCII, and the control
-# characters \x1c-\x1f named as whitespace. From NON_ASCII on all text is
-# ASCII, so classes need no flags.
+# characters \x1c-\x1f named as whitespace. After NON_ASCII all text is ASCII,
+# so classes need no flags.
 SHORT_LINK = r"(?U)(?d)https://t.co[^\s\x1c-\x1f]+"
 GARBLED_ELLIPSIS = "‚Ä¶"
 MENTION = "@[A-Za-z0–9]+"  # the dash is an en dash: digits 1-8 and _ end a mention
@@ -21,11 +22,12 @@ FULL_MENTION = r"(?U)@\w+"
 NON_ASCII = r"[^\x00-\x7F]+"
 BRACKETED = r"\[[^\n\]]*\]"
 TAG = r"<[^\n>]*>+"
-DIGIT_WORD = r"\b[A-Za-z_]*+\d\w*"
-COM_WORD = r"\bcom\b"
+# Whole words: any with a digit, and "com". Anchored so that a word is tried
+# from its first letter only.
+DIGIT_OR_COM_WORD = r"(?<!\w)(?:[A-Za-z_]*+\d\w*|com(?!\w))"
 RETWEET = r"RT[\s\x1c-\x1f]+"
 SYMBOL = r"[^\w ]"
-DROPPED_WORD = r"\b(?:[A-Za-z]|trump|biden|donaldtrump|joebiden|will|don)\b"
+NOISE_WORDS = ("trump", "biden", "donaldtrump", "joebiden", "will", "don")
 
 
 def _entity_decoder() -> Callable[[Column], Column]:
@@ -47,8 +49,8 @@ def decode_entities(text: Column) -> Column:
     return F.coalesce(_entity_decoder()(suspect), text)
 
 
-def clean_steps(full_mentions: bool = False) -> list[Callable[[Column], Column]]:
-    """The steps after lower-casing and entity decoding, in order.
+def strip_markup(text: Column, full_mentions: bool = False) -> Column:
+    """Lower-case, decode, and drop links, mentions, tags and words with digits.
 
     Later steps see what earlier ones leave behind, so steps share a pattern
     only where their order cannot matter. Plain text is replaced without a
@@ -61,7 +63,8 @@ def clean_steps(full_mentions: bool = False) -> list[Callable[[Column], Column]]
     def drop(part: str) -> Callable[[Column], Column]:
         return lambda text: F.replace(text, F.lit(part), F.lit(""))
 
-    return [
+    text = decode_entities(F.lower(text))
+    for step in (
         sub(SHORT_LINK, " "),
         drop(":"),
         drop(GARBLED_ELLIPSIS),
@@ -72,28 +75,39 @@ def clean_steps(full_mentions: bool = False) -> list[Callable[[Column], Column]]
         drop("www."),
         sub(TAG),
         drop("\n"),
-        sub(DIGIT_WORD),
-        sub(COM_WORD),
+        sub(DIGIT_OR_COM_WORD),
         drop("https"),
         drop("http"),
         sub(RETWEET),
-        sub(SYMBOL, " "),
-        sub(DROPPED_WORD),
-    ]
+    ):
+        text = step(text)
+    return text
 
 
 def clean_text(text: Column, full_mentions: bool = False) -> Column:
-    """Lower-case, decode, and strip links, mentions, tags, symbols and noise words."""
-    text = decode_entities(F.lower(text))
-    for step in clean_steps(full_mentions):
-        text = step(text)
-    return text
+    """Words and spaces only: symbols become spaces, single letters and noise words go."""
+    spaced = F.regexp_replace(strip_markup(text, full_mentions), SYMBOL, " ")
+    dropped = rf"(?<!\w)(?:[A-Za-z]|{'|'.join(NOISE_WORDS)})(?!\w)"
+    return F.regexp_replace(spaced, dropped, "")
+
+
+def words(text: Column, full_mentions: bool = False) -> Column:
+    """What :func:`clean_text` separates by spaces, before noise words are dropped.
+
+    Cutting at the symbols spares the passes that would first turn them into
+    spaces and then search for noise words; those fall out by :func:`is_term`.
+    """
+    return F.split(strip_markup(text, full_mentions), r"\W+")
 
 
 def is_term(word: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
-    return (word != "") & ~F.lower(word).isin(list(stop_words))
+    """Whether a word counts: not empty, no single letter, noise or stop word."""
+    noise = ["", *string.ascii_letters, *NOISE_WORDS]
+    return ~word.isin(noise) & ~F.lower(word).isin(list(stop_words))
 
 
-def tokens(text: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
-    """Words between single spaces, without empty ones and stop words."""
-    return F.filter(F.split(text, " "), lambda word: is_term(word, stop_words))
+def tokens(
+    text: Column, stop_words: Sequence[str] = STOP_WORDS, full_mentions: bool = False
+) -> Column:
+    """The words of a raw text that count, in order."""
+    return F.filter(words(text, full_mentions), lambda word: is_term(word, stop_words))

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from postgrove.dimensions import STOP_WORDS
-from postgrove.functions.text import is_term
+from postgrove.functions.text import is_term, words
 
 # Up to this k Spark cuts every task's groups to k rows before the shuffle.
 SPARK_GROUP_LIMIT = 1000
@@ -20,10 +20,11 @@ def explode_terms(
     keys: Sequence[str],
     text: Column,
     stop_words: Sequence[str] = STOP_WORDS,
+    full_mentions: bool = False,
     word: str = "word",
 ) -> DataFrame:
-    """One row per word of ``text``, stop words dropped."""
-    return df.select(*keys, F.explode(F.split(text, " ")).alias(word)).where(
+    """One row per word of a raw ``text``, noise and stop words dropped."""
+    return df.select(*keys, F.explode(words(text, full_mentions)).alias(word)).where(
         is_term(F.col(word), stop_words)
     )
 

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from postgrove.dimensions import STOP_WORDS
 from postgrove.functions.labels import row_uuid
-from postgrove.functions.text import clean_text
 from postgrove.operators.pivot import conditional_pivot, largest_first
 from postgrove.operators.series import cumulative_by_day
 from postgrove.operators.terms import explode_terms, term_counts, top_terms
@@ -71,6 +70,6 @@ def top_words(
         "candidate", F.lower("candidate")
     )
     keys = ["candidate", "state"]
-    terms = explode_terms(named, keys, clean_text(F.col("tweet"), full_mentions), stop_words)
+    terms = explode_terms(named, keys, F.col("tweet"), stop_words, full_mentions)
     ranked = top_terms(term_counts(terms, keys), keys, k)
     return ranked.withColumn("uuid", F.lit(batch_id))
