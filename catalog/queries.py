@@ -37,6 +37,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return files.read_parquet(spark, f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table for work that is heavy per row."""
+    return files.spread(table(spark, sf_dir, name).select(*columns))
+
+
 def daily_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         timefeat.date_text(F.col("ts")).alias("date"), "event_type", "user_id"
@@ -256,21 +261,21 @@ def inline_relation(spark, sf_dir):
 
 @query
 def text_clean(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir, "documents", "doc_id", "text").select(
         "doc_id", text.clean_text(F.col("text")).alias("cleaned")
     )
 
 
 @query
 def entity_decode(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select(
+    return texts(spark, sf_dir, "pages", "page_id", "html").select(
         "page_id", text.decode_entities(F.lower("html")).alias("decoded")
     )
 
 
 @query
 def tokens(spark, sf_dir):
-    return table(spark, sf_dir, "conversations").select(
+    return texts(spark, sf_dir, "conversations", "conv_id", "turn", "text").select(
         "conv_id",
         "turn",
         F.array_join(text.tokens(F.col("text")), "|").alias("tokens"),
@@ -278,15 +283,15 @@ def tokens(spark, sf_dir):
 
 
 def document_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return terms.explode_terms(
-        table(spark, sf_dir, "documents"), ["lang", "source"], F.col("text")
-    )
+    docs = texts(spark, sf_dir, "documents", "lang", "source", "text")
+    return terms.explode_terms(docs, ["lang", "source"], F.col("text"))
 
 
 @query
 def explode_terms(spark, sf_dir):
     """Rows per document after the explode, rather than the rows themselves."""
-    words = terms.explode_terms(table(spark, sf_dir, "documents"), ["doc_id"], F.col("text"))
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text")
+    words = terms.explode_terms(docs, ["doc_id"], F.col("text"))
     return words.groupBy("doc_id").agg(
         F.count("*").alias("words"), F.sum(F.length("word")).alias("letters")
     )
@@ -305,10 +310,10 @@ def topk_terms(spark, sf_dir):
 
 @query
 def union_tagged(spark, sf_dir):
-    docs = terms.explode_terms(table(spark, sf_dir, "documents"), [], F.col("text"))
-    talks = terms.explode_terms(table(spark, sf_dir, "conversations"), [], F.col("text"))
-    counted = {name: terms.term_counts(part, []) for name, part in
-               {"document": docs, "conversation": talks}.items()}
+    counted = {}
+    for origin, name in (("document", "documents"), ("conversation", "conversations")):
+        words = terms.explode_terms(texts(spark, sf_dir, name, "text"), [], F.col("text"))
+        counted[origin] = terms.term_counts(words, [])
     return terms.union_tagged(counted, "origin")
 
 
@@ -317,17 +322,15 @@ def union_tagged(spark, sf_dir):
 
 @query
 def sentiment_label(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(
-        "doc_id",
-        F.round(sentiment.polarity(F.col("text"), posts.LEXICON), 9).alias("polarity"),
-        "text",
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text").withColumn(
+        "polarity", F.round(sentiment.polarity(F.col("text"), posts.LEXICON), 9)
     )
     return sentiment.with_sentiment(docs, "text", lexicon=posts.LEXICON).drop("text")
 
 
 @query
 def language_id(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text", "lang")
     found = language.with_language(docs, language.LanguageModel.fit(docs), text="text")
     return found.where(F.col("language") != UNKNOWN_LANGUAGE).select("doc_id", "language")
 
@@ -335,7 +338,7 @@ def language_id(spark, sf_dir):
 @query
 def language_profile(spark, sf_dir):
     """What training counts: trigram buckets per language."""
-    docs = table(spark, sf_dir, "documents").select("text", "lang")
+    docs = texts(spark, sf_dir, "documents", "text", "lang")
     return language.bucket_counts(docs, "text", "lang")
 
 
@@ -343,11 +346,12 @@ def language_profile(spark, sf_dir):
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ingest.clean_posts(posts.raw_posts(table(spark, sf_dir, "documents")))
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text")
+    return ingest.clean_posts(posts.raw_posts(docs))
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = language.LanguageModel.fit(table(spark, sf_dir, "documents"))
+    model = language.LanguageModel.fit(texts(spark, sf_dir, "documents", "text", "lang"))
     return enrich.enriched_posts(clean(spark, sf_dir), model, posts.LEXICON)
 
 
@@ -358,7 +362,8 @@ def ingest_clean(spark, sf_dir):
 
 @query
 def ingest_words(spark, sf_dir):
-    return ingest.word_posts(posts.raw_posts(table(spark, sf_dir, "documents"))).select(
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text")
+    return ingest.word_posts(posts.raw_posts(docs)).select(
         "timestamp", "dayofweek", "hour", "state", "candidate", "online_age", "tweet"
     )
 
@@ -395,7 +400,7 @@ def cumulative_by_language(spark, sf_dir):
 
 @query
 def top_words(spark, sf_dir):
-    raw = posts.raw_posts(table(spark, sf_dir, "documents"))
+    raw = posts.raw_posts(texts(spark, sf_dir, "documents", "doc_id", "text"))
     return reports.top_words(ingest.word_posts(raw), batch_id="run-1")
 
 

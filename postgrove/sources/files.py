@@ -36,6 +36,18 @@ def with_file_path(df: DataFrame, name: str | None) -> DataFrame:
     return df.select("*", F.col("_metadata.file_path").alias(name))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows to all cores where a scan has fewer tasks than there are cores.
+
+    A multi-line CSV file, or a Parquet row group, is one task. Before work that
+    costs much more per row than moving the row, as text work does, a few such
+    tasks are dealt out. A large scan has more tasks than cores and is left as
+    it is. For scans, with nothing shuffled yet.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def write_csv(df: DataFrame, path: str, cluster_by: str | None = None) -> None:
     """CSV files that :func:`read_csv` reads back; empty text comes back as NULL."""
     _clustered(df, cluster_by).write.mode("overwrite").options(
