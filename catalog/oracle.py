@@ -382,6 +382,7 @@ ORACLE_SQL: dict[str, str] = {
             FROM ({words("candidate, state", "tweet", "placed")})
             WHERE candidate IN ('Trump', 'Biden') GROUP BY ALL''')})""",
     "csv_roundtrip": f"WITH {CLEAN} SELECT {CLEAN_COLUMNS} FROM clean",
+    "csv_records": f"WITH {CLEAN} SELECT {CLEAN_COLUMNS} FROM clean",
     "parquet_roundtrip": f"WITH {CLEAN} SELECT {CLEAN_COLUMNS} FROM clean WHERE candidate = 'Biden'",
     "table_append": f"""WITH {CLEAN}, counts AS (SELECT hour,
             count(*) FILTER (WHERE candidate = 'Trump') AS trump,

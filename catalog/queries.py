@@ -16,6 +16,7 @@ from postgrove.session import shared_folder
 from postgrove.sources import files
 from postgrove.sources.keyed import KeyedTable
 from postgrove.sources.messages import Sink, read_messages
+from postgrove.sources.records import read_csv_records
 from postgrove.streaming import scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -414,6 +415,14 @@ def csv_roundtrip(spark, sf_dir):
     return files.read_csv(spark, folder, CLEAN_POST)
 
 
+@query
+def csv_records(spark, sf_dir):
+    """The same file set, cut into records in parallel."""
+    folder = shared_folder(spark, "records")
+    files.write_csv(clean(spark, sf_dir), folder)
+    return read_csv_records(spark, folder, CLEAN_POST)
+
+
 @query
 def parquet_roundtrip(spark, sf_dir):
     folder = shared_folder(spark, "parquet")

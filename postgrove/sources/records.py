@@ -1,0 +1,156 @@
+"""CSV with line ends inside quoted text, read in parallel however large a file is.
+
+Spark reads such a file in one task. Here files are split at any line, and
+whether a split begins inside quoted text follows from the number of quotes
+before it: one light pass sums quotes per split, a running sum over the splits
+of a file gives the state at each start, and a second pass cuts records. Lines
+are not shuffled; only what a split begins or ends in the middle of is put
+together afterwards.
+
+Quotes must be doubled inside quoted text and absent from unquoted text, as
+RFC 4180 has it.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+
+from postgrove.schemas import RAW_POST
+
+# About 200 bytes each. Only splits that begin inside quoted text are listed.
+MAX_BROADCAST_SPLITS = 1_000_000
+# What a piece of text is: a whole record, the rest of one begun in an earlier
+# split, or the beginning of one that ends in a later split.
+WHOLE, REST, BEGINNING = 0, 1, 2
+
+
+def read_csv_records(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType = RAW_POST,
+    header: bool = True,
+    file_column: str | None = None,
+) -> DataFrame:
+    """Rows of CSV files as :func:`postgrove.sources.files.read_csv` gives them."""
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        "value",
+    )
+    pieces = (
+        _with_state(lines)
+        .select("file", "split", F.coalesce("inside", F.lit(False)).alias("inside"), "value")
+        .mapInArrow(_cutter(header), "file string, split bigint, kind int, text string")
+    )
+    whole = pieces.where(F.col("kind") == WHOLE).select("file", "text")
+    records = whole.unionByName(_joined(pieces.where(F.col("kind") != WHOLE)))
+    row = F.from_csv("text", schema.toDDL(), {"quote": '"', "escape": '"', "multiLine": "true"})
+    columns = [F.col("row.*")]
+    if file_column is not None:
+        columns.append(F.col("file").alias(file_column))
+    return records.where(F.trim("text") != "").select("file", row.alias("row")).select(*columns)
+
+
+def _with_state(lines: DataFrame) -> DataFrame:
+    """Lines, in file order within their split, with the state their split begins in.
+
+    The window sees one row per split.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    counted = lines.groupBy("file", "split").agg((F.sum(quotes) % 2).alias("odd"))
+    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    state = counted.withColumn("inside", F.sum("odd").over(before) % 2 == 1)
+    inside = state.where("inside").select("file", "split", "inside").persist()
+    if inside.limit(MAX_BROADCAST_SPLITS + 1).count() <= MAX_BROADCAST_SPLITS:
+        return lines.join(F.broadcast(inside), ["file", "split"], "left")
+    # Too many to broadcast: the join moves lines, so their order is restored.
+    numbered = lines.withColumn("at", F.monotonically_increasing_id())
+    return (
+        numbered.join(inside, ["file", "split"], "left")
+        .repartition("file", "split")
+        .sortWithinPartitions("file", "split", "at")
+    )
+
+
+def _cutter(header: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Lines, in file order, to pieces. Built here so executors need no copy of this package."""
+    whole, rest, beginning = WHOLE, REST, BEGINNING
+
+    def text_of(lines: list[str]) -> str:
+        return "\n".join(lines).removesuffix("\r")
+
+    def pack(file: str, split: int, kinds: list[int], texts: pa.Array) -> pa.RecordBatch:
+        n = len(texts)
+        return pa.record_batch(
+            [
+                pa.array([file] * n, pa.string()),
+                pa.array([split] * n, pa.int64()),
+                pa.array(kinds, pa.int32()),
+                texts.cast(pa.string()),
+            ],
+            names=["file", "split", "kind", "text"],
+        )
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, kind, inside, skip = None, [], whole, False, False
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            # Lines still held at the end of a split go on in the next one.
+            if held:
+                ends = beginning if kind == whole else rest
+                yield pack(*at, [ends], pa.array([text_of(held)]))
+                held.clear()
+
+        for batch in batches:
+            files, splits = batch.column(0), batch.column(1).to_numpy()
+            names = files.dictionary_encode().indices.to_numpy()
+            turn = np.flatnonzero((np.diff(names) != 0) | (np.diff(splits) != 0)) + 1
+            for start, stop in zip([0, *turn], [*turn, batch.num_rows]):
+                here = (files[int(start)].as_py(), int(splits[start]))
+                if here != at:
+                    yield from flush()
+                    at, inside = here, bool(batch.column(2)[int(start)].as_py())
+                    kind = rest if inside else whole
+                    skip = header and here[1] == 0
+                lines = batch.column(3).slice(int(start), int(stop - start))
+                odd = pc.count_substring(lines, pattern='"').to_numpy() % 2
+                after = (np.cumsum(odd) + inside) % 2
+                ends = np.flatnonzero(after == 0) + 1
+                inside = bool(after[-1])
+                if not len(ends):
+                    held.extend(lines.to_pylist())
+                    continue
+                # The lines up to the first end close what is held.
+                first = text_of(held + lines.slice(0, int(ends[0])).to_pylist())
+                offsets = pa.array(ends, pa.int32())
+                others = pc.binary_join(pa.ListArray.from_arrays(offsets, lines), "\n")
+                others = pc.utf8_rtrim(others, characters="\r")
+                kinds = [kind] + [whole] * len(others)
+                texts = pa.concat_arrays([pa.array([first]), others.cast(pa.string())])
+                held, kind = lines.slice(int(ends[-1])).to_pylist(), whole
+                if skip:
+                    kinds, texts, skip = kinds[1:], texts.slice(1), False
+                yield pack(*at, kinds, texts)
+        yield from flush()
+
+    return cut
+
+
+def _joined(pieces: DataFrame) -> DataFrame:
+    """Records cut by the border of splits: a beginning and what follows up to the next one.
+
+    At most two pieces per split get here.
+    """
+    order = Window.partitionBy("file").orderBy("split", "kind")
+    numbered = pieces.withColumn("record", F.count_if(F.col("kind") == BEGINNING).over(order))
+    parts = F.sort_array(F.collect_list(F.struct("split", "kind", "text")))
+    return (
+        numbered.groupBy("file", "record")
+        .agg(parts.alias("parts"))
+        .select("file", F.array_join(F.col("parts.text"), "\n").alias("text"))
+    )

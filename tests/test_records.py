@@ -1,0 +1,71 @@
+"""The parallel CSV reader against Spark's own multi-line reader."""
+
+import csv
+import random
+
+import pytest
+from pyspark.sql import types as T
+
+from postgrove.sources import files, records
+
+SCHEMA = T.StructType().add("id", T.IntegerType()).add("text", T.StringType()).add("lat", T.FloatType())
+TEXTS = ["plain", "", "a, b", 'say "hi"', "two\nlines", "\n", '"', '""\n""', "x\n\n\ny", "back\\slash",
+         "é😀\nü", "ends with quote\"", "long\n" * 50, " spaced "]
+
+
+def write(path, rows, seed, line_end="\n"):
+    with open(path, "w", newline="", encoding="utf-8") as out:
+        writer = csv.writer(out, lineterminator=line_end)
+        writer.writerow(["id", "text", "lat"])
+        writer.writerows(rows)
+
+
+def make(folder, n_files=3, n=300, line_end="\n"):
+    rng = random.Random(n)
+    for i in range(n_files):
+        rows = [(j, rng.choice(TEXTS), rng.choice(["1.5", "", "x"])) for j in range(n)]
+        write(folder / f"part{i}.csv", rows, i, line_end)
+    return str(folder)
+
+
+def rows_of(df):
+    return sorted(map(repr, map(tuple, df.collect())))
+
+
+@pytest.fixture
+def settings(spark):
+    changed = []
+
+    def change(**values):
+        for key, value in values.items():
+            spark.conf.set(f"spark.sql.{key.replace('__', '.')}", value)
+            changed.append(f"spark.sql.{key.replace('__', '.')}")
+
+    yield change
+    for key in changed:
+        spark.conf.unset(key)
+
+
+@pytest.mark.parametrize("split_bytes", ["97", "1000", "134217728"])
+def test_same_rows_as_the_multi_line_reader(spark, tmp_path, settings, split_bytes):
+    folder = make(tmp_path)
+    expected = rows_of(files.read_csv(spark, folder, SCHEMA, file_column="f"))
+    settings(files__maxPartitionBytes=split_bytes, files__openCostInBytes="1")
+    assert rows_of(records.read_csv_records(spark, folder, SCHEMA, file_column="f")) == expected
+
+
+def test_beyond_the_broadcast_bound(spark, tmp_path, settings, monkeypatch):
+    folder = make(tmp_path, n_files=1)
+    expected = rows_of(files.read_csv(spark, folder, SCHEMA))
+    monkeypatch.setattr(records, "MAX_BROADCAST_SPLITS", 0)
+    settings(files__maxPartitionBytes="200", files__openCostInBytes="1",
+             autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
+    got = records.read_csv_records(spark, folder, SCHEMA)
+    assert "SortMergeJoin" in got._jdf.queryExecution().executedPlan().toString()
+    assert rows_of(got) == expected
+
+
+def test_windows_line_ends_without_header_and_open_quote(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b'1,a,1.0\r\n2,"b\r\nc",\r\n\r\n3,"never closed\n')
+    got = {r.id: r.text for r in records.read_csv_records(spark, str(tmp_path), SCHEMA, header=False).collect()}
+    assert got[1] == "a" and got[2].replace("\r", "") == "b\nc" and got[3].startswith("never closed")
