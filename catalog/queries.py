@@ -11,7 +11,7 @@ from postgrove.dimensions import LANGUAGE_NAMES, UNKNOWN_LANGUAGE
 from postgrove.functions import codec, labels, text, timefeat
 from postgrove.operators import geo, language, lookup, pivot, sentiment, series, terms
 from postgrove.plans import enrich, ingest, reports, training
-from postgrove.schemas import CLEAN_POST, CONTRACTS, TableContract
+from postgrove.schemas import CLEAN_POST, CONTRACTS, ENRICHED_POST, TableContract
 from postgrove.session import shared_folder
 from postgrove.sources import files
 from postgrove.sources.keyed import KeyedTable
@@ -323,10 +323,13 @@ def union_tagged(spark, sf_dir):
 
 @query
 def sentiment_label(spark, sf_dir):
-    docs = texts(spark, sf_dir, "documents", "doc_id", "text").withColumn(
-        "polarity", F.round(sentiment.polarity(F.col("text"), posts.LEXICON), 9)
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text")
+    scored = docs.select("doc_id", sentiment.polarity(F.col("text"), posts.LEXICON).alias("score"))
+    return scored.select(
+        "doc_id",
+        F.round("score", 9).alias("polarity"),
+        labels.sign_label(F.col("score")).alias("sentiment"),
     )
-    return sentiment.with_sentiment(docs, "text", lexicon=posts.LEXICON).drop("text")
 
 
 @query
@@ -464,9 +467,9 @@ def keyed_upsert(spark, sf_dir):
 def result_tables(spark, sf_dir):
     """The date and language report through its table contract, written twice."""
     stored = KeyedTable(spark, shared_folder(spark, "tables"), CONTRACTS["date_cumulative"])
-    posts_now = enriched(spark, sf_dir)
+    report = reports.cumulative_by_language(enriched(spark, sf_dir))
     for version in (0, 1):
-        stored.upsert(reports.cumulative_by_language(posts_now), version)
+        stored.upsert(report, version)
     return stored.read()
 
 
@@ -500,7 +503,9 @@ def feature_index(spark, sf_dir):
 
 
 def trained(spark: SparkSession, sf_dir: str, features=training.POST_FEATURES):
-    rows = enriched(spark, sf_dir)
+    folder = shared_folder(spark, "enriched")
+    files.write_parquet(enriched(spark, sf_dir), folder)
+    rows = files.read_parquet(spark, folder, ENRICHED_POST)
     first, rest = training.split_rows(rows, ["date", "tweet"], 0.75, seed=7)
     return training.train(first, features, seed=7), first, rest
 

@@ -175,7 +175,9 @@ class LanguageModel:
                     found[first + text[runs][seen]] = names[best[seen]]
                 yield pa.array(found, pa.string())
 
-        return score(text)
+        # Declared non-deterministic so that a filter on the result does not
+        # make the optimizer score every text a second time for the filter.
+        return score.asNondeterministic()(text)
 
     def save(self, path: str) -> None:
         table = pa.table(

@@ -59,7 +59,9 @@ def polarity(
         hits = np.add.reduceat(place.is_valid().to_numpy(zero_copy_only=False).astype(np.int64), starts)
         return pa.array(total / np.maximum(hits * units, 1), mask=texts.is_null().to_numpy(zero_copy_only=False))
 
-    return mean(text)
+    # Declared non-deterministic so that a filter on the result does not make
+    # the optimizer compute it a second time for the filter.
+    return mean.asNondeterministic()(text)
 
 
 def with_sentiment(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from postgrove.functions.timefeat import day_spine
 
@@ -53,20 +53,36 @@ def cumulative_by_day(
     """Running count of non-null ``column`` per key over every day of a span.
 
     A key seen anywhere in the data gets all days; days outside the span count
-    nowhere. Two shuffles and no join: rows are counted per key and day, then
-    one row per key holds its days as a map of at most span + 1 entries, and is
-    spread over the span. The window keeps that partitioning and sees at most
-    one row per day, so no key is too large for it.
+    nowhere. Two shuffles and no join: rows are counted per key and day, a
+    window over the days that occur sums them up, and each of these rows is
+    then spread over the days until the next. The window sees at most one row
+    per day of the span and one more, so no key is too large for it.
 
     A NULL key gets zeros on every day, as it equals nothing.
     """
-    in_span = F.when(F.col(date).between(start, end), F.col(date))
+    first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
+    parsed = F.col(date).try_cast("date")
+    in_span = F.when(parsed.between(first, last) & (parsed.cast("string") == F.col(date)), parsed)
     counted = df.groupBy(F.col(key), in_span.alias("_day")).agg(F.count(column).alias("_n"))
-    entry = F.when(
-        F.col("_day").isNotNull() & F.col(key).isNotNull(), F.struct("_day", "_n")
+
+    # The row without a day, if any, comes first: it counts nothing.
+    by_day = Window.partitionBy(key).orderBy(F.asc_nulls_first("_day"))
+    counts = F.when(F.col("_day").isNotNull() & F.col(key).isNotNull(), F.col("_n")).otherwise(0)
+    summed = counted.select(
+        key,
+        "_day",
+        F.sum(counts).over(by_day.rowsBetween(Window.unboundedPreceding, 0)).alias("_sum"),
+        F.date_sub(F.lead("_day").over(by_day), 1).alias("_until"),
+        (F.row_number().over(by_day) == 1).alias("_is_first"),
+    )
+
+    def days(begin: Column, stop: Column, total: Column) -> Column:
+        each = F.when(begin <= stop, F.sequence(begin, stop)).otherwise(F.array().cast("array<date>"))
+        return F.transform(each, lambda day: F.struct(day.alias("day"), total.alias("sum")))
+
+    begin, stop = F.coalesce("_day", first), F.coalesce("_until", last)
+    zeros_until = F.when(F.col("_is_first"), F.date_sub("_day", 1))
+    spread = F.concat(days(first, zeros_until, F.lit(0).cast("bigint")), days(begin, stop, F.col("_sum")))
+    return summed.select(key, F.explode(spread).alias("_at")).select(
+        F.col("_at.day").cast("string").alias(date), key, F.col("_at.sum").alias(name)
     )
-    per_key = counted.groupBy(key).agg(F.map_from_entries(F.collect_list(entry)).alias("_days"))
-    filled = per_key.select(
-        key, "_days", F.explode(day_spine(start, end)).alias(date)
-    ).select(key, date, F.coalesce(F.col("_days")[F.col(date)], F.lit(0)).alias("_n"))
-    return running_total(filled, [key], date, "_n", name).select(date, key, name)

@@ -55,19 +55,31 @@ def split_rows(
 
 
 def feature_stages(features: tuple[tuple[str, str], ...]) -> list[Transformer]:
-    """Indexers, encoders and the assembler. Unseen categories are kept as one more."""
-    stages, inputs = [], []
-    for name, kind in features:
-        column = name
-        if kind in (INDEX, ONE_HOT):
-            column = f"{name}_indexed"
-            stages.append(StringIndexer(inputCol=name, outputCol=column, handleInvalid="keep"))
-        if kind == ONE_HOT:
-            stages.append(OneHotEncoder(inputCol=column, outputCol=f"{name}_encoded"))
-            column = f"{name}_encoded"
-        inputs.append(column)
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="skip"))
-    return stages
+    """Indexer, encoder and assembler. Unseen categories are kept as one more.
+
+    One indexer for all categories counts them in one pass over the rows.
+    """
+    categories = [name for name, kind in features if kind in (INDEX, ONE_HOT)]
+    encoded = [name for name, kind in features if kind == ONE_HOT]
+    stages: list[Transformer] = []
+    if categories:
+        indexed = [f"{name}_indexed" for name in categories]
+        stages.append(
+            StringIndexer(inputCols=categories, outputCols=indexed, handleInvalid="keep")
+        )
+    if encoded:
+        stages.append(
+            OneHotEncoder(
+                inputCols=[f"{name}_indexed" for name in encoded],
+                outputCols=[f"{name}_encoded" for name in encoded],
+            )
+        )
+    column = {NUMBER: "{}", INDEX: "{}_indexed", ONE_HOT: "{}_encoded"}
+    inputs = [column[kind].format(name) for name, kind in features]
+    return [
+        *stages,
+        VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="skip"),
+    ]
 
 
 def incomplete(features: tuple[tuple[str, str], ...]) -> Column:
@@ -90,18 +102,17 @@ def train(
     """Fit a random forest on ``rows``.
 
     The label is indexed outside the pipeline, so the model needs no label
-    column to score, and has one class per label of the training rows.
+    column to score, and has one class per label of the training rows. ``rows``
+    are read three times (labels, categories, vectors) and should come from a
+    stored table; the forest keeps its own compact copy for the tree levels.
     """
     columns = [name for name, _ in features]
-    rows = rows.select(*columns, label).where(F.col(label).isNotNull()).persist()
-    try:
-        index = StringIndexer(inputCol=label, outputCol="_label").fit(rows)
-        forest = RandomForestClassifier(
-            featuresCol="features", labelCol="_label", numTrees=trees, maxDepth=depth, seed=seed
-        )
-        fitted = Pipeline(stages=[*feature_stages(features), forest]).fit(index.transform(rows))
-    finally:
-        rows.unpersist()
+    rows = rows.select(*columns, label).where(F.col(label).isNotNull())
+    index = StringIndexer(inputCol=label, outputCol="_label").fit(rows)
+    forest = RandomForestClassifier(
+        featuresCol="features", labelCol="_label", numTrees=trees, maxDepth=depth, seed=seed
+    )
+    fitted = Pipeline(stages=[*feature_stages(features), forest]).fit(index.transform(rows))
     decoder = IndexToString(inputCol="prediction", outputCol=PREDICTED, labels=index.labels)
     return Trained(PipelineModel([*fitted.stages, decoder]), list(index.labels))
 
