@@ -66,6 +66,7 @@ def months(a: str, b: str) -> str:
 
 def cleaned(text: str) -> str:
     """The cleaning chain, a pattern per step. No entity decoding: the texts have none."""
+    # The patterns of the specification.
     steps = [
         (r"https://t[^\n]co\S+", " "),
         (":", ""),

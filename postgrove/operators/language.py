@@ -21,7 +21,7 @@ from postgrove.operators.lookup import code_lookup
 # What every executor holds is at most languages x buckets numbers, whatever
 # the size of the training table.
 BUCKETS = 1 << 16
-MAX_LANGUAGES = 500
+MAX_LANGUAGES = 200
 # The hash of a trigram is the sum of letter x factor, by position.
 FACTORS = (7919, 104_729, 1_299_709)
 SLICE_BYTES = 1 << 20

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -25,6 +26,11 @@ def build_session(app_name: str) -> SparkSession:
     return spark
 
 
+@functools.cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"postgrove-{application}-")
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name under the one the cluster names in spark.checkpoint.dir.
 
@@ -34,6 +40,5 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="postgrove-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_folder(spark.sparkContext.applicationId)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

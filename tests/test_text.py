@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from postgrove.dimensions import STOP_WORDS
 from postgrove.functions import text
 
+# The patterns of the specification, a step each.
 STEPS = [
     (r"https://t.co\S+", " "),
     (":", ""),
