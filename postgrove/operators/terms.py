@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from postgrove.dimensions import STOP_WORDS
-from postgrove.functions.text import is_term, words
+from postgrove.functions.text import tokens
 
 # Up to this k Spark cuts every task's groups to k rows before the shuffle.
 SPARK_GROUP_LIMIT = 1000
@@ -24,9 +24,7 @@ def explode_terms(
     word: str = "word",
 ) -> DataFrame:
     """One row per word of a raw ``text``, noise and stop words dropped."""
-    return df.select(*keys, F.explode(words(text, full_mentions)).alias(word)).where(
-        is_term(F.col(word), stop_words)
-    )
+    return df.select(*keys, F.explode(tokens(text, stop_words, full_mentions)).alias(word))
 
 
 def term_counts(terms: DataFrame, keys: Sequence[str], word: str = "word") -> DataFrame:

@@ -78,7 +78,7 @@ def test_null_text_gives_nothing(spark):
     df = spark.createDataFrame([(None,)], "tweet string")
     assert df.select(text.clean_text(F.col("tweet"))).head()[0] is None
     assert df.select(text.tokens(F.col("tweet"))).head()[0] is None
-    assert df.select(F.explode(text.words(F.col("tweet")))).count() == 0
+    assert df.select(F.explode(text.tokens(F.col("tweet")))).count() == 0
 
 
 def test_full_mentions_take_digits_and_underscores(spark):
