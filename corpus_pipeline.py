@@ -1,29 +1,83 @@
-"""A cleaning pipeline for a text corpus, in stages that each write their result."""
+"""A cleaning pipeline for a text corpus, in stages that each write their result.
+
+Every stage works on all rows the one before it kept. The first four return the
+columns they are given.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from postgrove.llm import minhash
+from postgrove.llm import cotraining, language_vectors, minhash, mixing, pieces
 from postgrove.llm.stored import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+# A text is in none of the learnt languages if its cosine with all of them is
+# within what unrelated vectors of 1,024 components have.
+LEAST_COSINE = 0.05
+# Words of a shingle.
+WIDTH = 5
+
+
+def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose text is in a language of the labelled rows; texts without letters go."""
+    profiles = language_vectors.learn(docs)
+    rows = docs.select(F.struct("*").alias("row"), "text")
+    found = language_vectors.identify(rows, profiles, id="row")
+    good = (F.col("lang_pred") != language_vectors.UNKNOWN) & (F.col("score") >= LEAST_COSINE)
+    return found.where(good).select("row.*")
+
+
+def of_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows the co-trained classifier keeps, fitted on those rows that have labels."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = cotraining.train(docs, labels)
+    rows = docs.select(F.struct("*").alias("row"), "text", "source", "lang", "n_chars")
+    return cotraining.classify(rows, model, id="row").where("kept").select("row.*")
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of near duplicates, the one of the smallest id.
+
+    Of rows with the same id one stays; rows without an id stay.
+    """
+    kept = minhash.near_duplicates(docs, width=WIDTH).where("kept").select("doc_id")
+    known = docs.where("doc_id is not null").join(kept.distinct(), "doc_id", "left_semi")
+    return known.dropDuplicates(["doc_id"]).select(docs.columns).union(docs.where("doc_id is null"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows as often as the target weights of their sources ask for."""
+    return mixing.mixed_documents(docs)
+
 
-def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    found = minhash.near_duplicates(docs)
-    kept = found.where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("kept_id")), "left_semi")
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every row's pieces, and whether decoding them gives the text again."""
+    vocabulary = pieces.Vocabulary.load(public_tokenizers.path("piece_bpe_32k.model"))
+    rows = pieces.encode(docs, vocabulary, keep=("doc_id", "source", "text"))
+    back = pieces.decode(rows, vocabulary, name="decoded", keep=("doc_id", "source", "text", "ids"))
+    return back.select(
+        "doc_id",
+        "source",
+        "ids",
+        F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_pieces"),
+        F.col("text").eqNullSafe(F.col("decoded")).alias("restored"),
+    )
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("near_duplicates", deduplicated),
+    ("language", in_known_language),
+    ("quality", of_good_quality),
+    ("near_duplicates", without_near_duplicates),
+    ("mixing", mixed),
+    ("pieces", encoded),
 ]
 
-# Models with random vectors and fitted weights are beyond SQL.
+# Random letter vectors and fitted weights are beyond SQL.
 ORACLE_SQL = None
 
 

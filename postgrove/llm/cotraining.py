@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from postgrove.llm.stored import layout
 from postgrove.llm.words import U64, Words, lowered, mixed, slices
 
 # The bound of the sample, and how it is used.
@@ -229,8 +230,8 @@ def train(
     )
     # At most labelled + pool ids.
     sample = F.broadcast(chosen.unionByName(others))
-    layout = f"id {rows.schema['id'].dataType.simpleString()}, label int, content binary, page binary"
-    found = rows.join(sample, "id").mapInArrow(_sampled, layout).toArrow().sort_by("id")
+    columns = layout(rows.schema["id"].dataType, "label int, content binary, page binary")
+    found = rows.join(sample, "id").mapInArrow(_sampled, columns).toArrow().sort_by("id")
     if not found.num_rows:
         return co_train([np.zeros((0, WORD_BUCKETS)), np.zeros((0, LAYOUT + 2 * NAME_BUCKETS))], np.zeros(0), [np.zeros((0, 1))] * 2)
     value = found["label"].to_numpy()
@@ -285,8 +286,7 @@ def classify(
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = _columns(docs, id, text, source, lang, chars)
-    layout = (
-        f"id {rows.schema['id'].dataType.simpleString()}, content_score double, page_score double, "
-        "score double, kept boolean"
+    columns = layout(
+        rows.schema["id"].dataType, "content_score double, page_score double, score double, kept boolean"
     )
-    return rows.mapInArrow(_scoring(shared, threshold), layout).withColumnRenamed("id", id)
+    return rows.mapInArrow(_scoring(shared, threshold), columns).withColumnRenamed("id", id)

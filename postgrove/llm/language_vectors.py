@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from postgrove.llm.stored import layout
 from postgrove.llm.words import MIX_C, U64, mixed, slices
 
 DIMENSIONS = 1024
@@ -175,7 +176,7 @@ def identify(docs: DataFrame, profiles: Profiles, id: str = "doc_id", text: str
     empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(profiles)
-    layout = f"id {docs.schema[id].dataType.simpleString()}, lang_pred string, score double"
+    columns = layout(docs.schema[id].dataType, "lang_pred string, score double")
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     dimensions = profiles.vectors.shape[1]
-    return rows.mapInArrow(_scorer(shared, dimensions), layout).withColumnRenamed("id", id)
+    return rows.mapInArrow(_scorer(shared, dimensions), columns).withColumnRenamed("id", id)

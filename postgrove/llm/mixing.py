@@ -131,7 +131,7 @@ def mixed_documents(
     sizes = docs.select(F.col(source).alias("source"), size_of(F.col(text)).alias("size"))
     sources = stored(targets(sizes, weights, share, cap), "targets")
     few = sources.count() <= MAX_BROADCAST_SOURCES
-    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col(id).alias("id"), F.col(source).alias("source"))
+    packed = docs.select(F.struct("*").alias("row"), F.col(id).alias("id"), F.col(source).alias("source"))
     often = copies(F.col("id"), F.col("source_size"), F.col("target"), seed)
     return (
         _with_source(packed, sources, few)

@@ -1,11 +1,14 @@
 """Quality rules: fixed limits, then the likelihood of a text's words under trusted texts.
 
-Runs of one and two words are hashed into a fixed number of buckets. The bucket
-counts of trusted texts and of the whole corpus are two multinomials; a text
-scores the mean, over its runs, of the logarithm of their ratio, as in Xie et
-al., "Data Selection for Language Models via Importance Resampling" (2023), and
-is kept if the score reaches a fixed threshold. Unlike there nothing is drawn:
-every text is decided by its own words and the counts.
+Runs of three bytes of a text's words, one space between words, are hashed into
+a fixed number of buckets. The bucket counts of trusted texts and of the whole
+corpus are two multinomials; a text scores the mean, over its runs, of the
+logarithm of their ratio, as in Xie et al., "Data Selection for Language Models
+via Importance Resampling" (2023), and is kept if the score reaches a fixed
+threshold. Unlike there nothing is drawn: every text is decided by its own runs
+and the counts. Runs of bytes and not of words are counted because few of them
+fall in one bucket, however large the corpus is; runs of words would fill all
+buckets of a large one, and the ratios would tend to 1.
 """
 
 from __future__ import annotations
@@ -16,23 +19,27 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from postgrove.llm.words import U64, Words, slices, windows
+from postgrove.llm.stored import layout
+from postgrove.llm.words import U64, Words, mixed, slices, windows
 
 BUCKETS = 1 << 16
 SMOOTHING = 1.0
-THRESHOLD = -0.2
+THRESHOLD = -0.5
 MIN_WORDS, REPEAT_WINDOW, REPEAT_PERCENT = 10, 5, 20
 
 Batches = Iterator[pa.RecordBatch]
 
 
-def _buckets(words: Words, buckets: int) -> Iterator[np.ndarray]:
-    """The buckets of the one- and two-word runs of each text."""
-    hashes = words.hashes()
-    for start, stop in zip(words.bounds[:-1], words.bounds[1:]):
-        own = hashes[start:stop]
-        runs = np.concatenate((windows(own, 1), windows(own, 2)))
-        yield (runs % U64(buckets)).astype(np.int64)
+def _buckets(words: Words, offsets: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of the three-byte runs of a slice, and the text of each."""
+    # Of the bytes between words the one before each word stays, as a space.
+    kept = words.inside.copy()
+    kept[np.maximum(words.starts - 1, 0)] = True
+    stream = np.where(words.inside, words.raw, 0x20)[kept].astype(U64)
+    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[kept]
+    code = (stream[:-2] << U64(16)) | (stream[1:-1] << U64(8)) | stream[2:]
+    whole = text[:-2] == text[2:]
+    return (mixed(code[whole]) % U64(buckets)).astype(np.int64), text[:-2][whole]
 
 
 def _counter(buckets: int) -> Callable[[Batches], Batches]:
@@ -40,14 +47,10 @@ def _counter(buckets: int) -> Callable[[Batches], Batches]:
         raw, trusted = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
         for batch in batches:
             good = batch.column(1).fill_null(False).to_numpy(zero_copy_only=False)
-            for first, _, data, offsets in slices(batch.column(0)):
-                for i, runs in enumerate(_buckets(Words(data, offsets), buckets)):
-                    own = np.bincount(runs, minlength=buckets) if len(runs) > buckets else None
-                    for counts in (raw, trusted) if good[first + i] else (raw,):
-                        if own is None:
-                            np.add.at(counts, runs, 1)
-                        else:
-                            counts += own
+            for first, last, data, offsets in slices(batch.column(0)):
+                runs, text = _buckets(Words(data, offsets), offsets, buckets)
+                raw += np.bincount(runs, minlength=buckets)
+                trusted += np.bincount(runs[good[first:last][text]], minlength=buckets)
         used = np.flatnonzero(raw)
         yield pa.record_batch(
             [used.astype(np.int32), raw[used], trusted[used]], names=["bucket", "raw", "trusted"]
@@ -102,18 +105,18 @@ def _scorer(shared, threshold: float) -> Callable[[Batches], Batches]:
                 begins = words.inside & ((raw & 0xC0) != 0x80)
                 chars = np.concatenate(([0], np.cumsum(begins)))[offsets]
                 symbols = np.concatenate(([0], np.cumsum(symbol[raw])))[offsets]
-                runs_of = _buckets(words, len(ratio))
+                runs, text = _buckets(words, offsets, len(ratio))
+                sums = np.bincount(text, ratio[runs], last - first)
+                means = sums / np.maximum(np.bincount(text, minlength=last - first), 1)
                 for i in range(last - first):
                     own = hashes[words.bounds[i] : words.bounds[i + 1]]
                     lines = raw[offsets[i] : offsets[i + 1]].tobytes().split(b"\n")
                     lines = [line for line in lines if line.strip()]
                     repeated = covered(own)
-                    runs = next(runs_of)
-                    mean = float(ratio[runs].mean()) if len(runs) else 0.0
                     failed = len(own) < MIN_WORDS or 100 * repeated > REPEAT_PERCENT * len(own)
                     values = (
                         len(own), int(chars[i + 1] - chars[i]), int(symbols[i + 1] - symbols[i]),
-                        len(lines) - len(set(lines)), repeated, failed, mean,
+                        len(lines) - len(set(lines)), repeated, failed, float(means[i]),
                     )
                     for column, value in zip(columns, values):
                         column.append(value)
@@ -164,9 +167,10 @@ def quality_rules(
     """
     ratio = weights(docs, trusted, id, text, buckets)
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
-    layout = (
-        "id {}, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
-        "n_repeat_words bigint, base_failed boolean, score double, kept boolean"
-    ).format(docs.schema[id].dataType.simpleString())
+    columns = layout(
+        docs.schema[id].dataType,
+        "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
+        "n_repeat_words bigint, base_failed boolean, score double, kept boolean",
+    )
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    return rows.mapInArrow(_scorer(shared, threshold), layout).withColumnRenamed("id", id)
+    return rows.mapInArrow(_scorer(shared, threshold), columns).withColumnRenamed("id", id)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from postgrove.session import shared_folder
 
@@ -18,6 +18,11 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def layout(id: T.DataType, rest: str) -> T.StructType:
+    """The columns of a task's result: an id of any type, also a whole row, and those named in ``rest``."""
+    return T.StructType([T.StructField("id", id), *T.StructType.fromDDL(rest).fields])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for the nodes of ``edges`` (a, b); the smallest node names a component.
 
