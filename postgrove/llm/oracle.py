@@ -33,6 +33,42 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = comp
 FROM shingled JOIN least USING (doc_id)
 """
 
+_OP3 = f"""
+WITH sizes AS (
+    SELECT doc_id, source, CAST(len({_WORDS.format("coalesce(text, '')")}) AS BIGINT) AS size FROM documents
+), sources AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sizes GROUP BY source
+), weighed AS (
+    SELECT *, [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight,
+           2 * source_size AS room FROM sources
+), stepped AS (
+    SELECT *,
+        row_number() OVER fill AS step,
+        1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(room) OVER before, 0)::DOUBLE AS rest,
+        CAST(sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS DOUBLE) AS among
+    FROM weighed
+    WINDOW fill AS (ORDER BY room::DOUBLE / weight, source NULLS LAST),
+        before AS (ORDER BY room::DOUBLE / weight, source NULLS LAST
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), opened AS (
+    SELECT min(step) AS first_step, arg_min(rest, step) AS rest, arg_min(among, step) AS among
+    FROM stepped WHERE room * among > weight * rest
+), targets AS (
+    SELECT source, source_size,
+        CASE WHEN step >= first_step THEN weight * o.rest / o.among ELSE room::DOUBLE END AS target
+    FROM stepped, opened o
+), rated AS (
+    SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END AS rate,
+        ('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE / 4503599627370496
+            AS draw
+    FROM sizes JOIN targets ON sizes.source IS NOT DISTINCT FROM targets.source
+), counted AS (
+    SELECT *, CAST(floor(rate) AS BIGINT) + CAST(draw < rate - floor(rate) AS BIGINT) AS copies FROM rated
+)
+SELECT doc_id, size, source_size, target, copies, size * copies AS taken FROM counted
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op3_mixing": _OP3,
     "op4_minhash": _OP4,
 }
