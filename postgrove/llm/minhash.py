@@ -12,9 +12,9 @@ A bucket may hold a large share of all texts, and its pairs are never listed:
 
 1. texts with the same set are one class, whatever their number;
 2. every class is linked with the smallest of each of its buckets, the link is
-   confirmed on the full sets, and confirmed links give first components;
-3. buckets whose classes are still in several components are gone through
-   exhaustively, in pieces of bounded size, for pairs of different components.
+   confirmed on the full sets, and confirmed links give first groups;
+3. buckets whose classes are still in several groups are gone through
+   exhaustively, in pieces of bounded size, for pairs of different groups.
    Pairs within T are compared there by the low 16 bits of their shingles,
    which can only add to what two sets share; those that may reach the
    similarity are confirmed on the full sets.
@@ -95,38 +95,26 @@ def _choices(chunks: int, chunk: int, errors: int) -> list[list[int]]:
     ]
 
 
-def _keys(matrix: np.ndarray, choices: list[list[int]]) -> np.ndarray:
-    """A row of keys per signature; the lowest bits of a key are its number."""
-    wide = matrix.astype(U64)
-    low = U64((1 << len(choices).bit_length()) - 1)
-    keys = np.empty((len(matrix), len(choices)), U64)
+def _keys(signature: Column, choices: list[list[int]]) -> Column:
+    """The keys of a signature, an array; the lowest bits of a key are its number."""
+    low = (1 << len(choices).bit_length()) - 1
+    keys = []
     for at, kept in enumerate(choices):
-        key = np.full(len(matrix), U64(at))
-        for symbol in kept:
-            key = mixed(key ^ wide[:, symbol])
-        keys[:, at] = (key & ~low) | U64(at)
-    return keys.astype(np.int64)
-
-
-def _keyer(chunks: int, chunk: int, errors: int) -> Callable[[Batches], Batches]:
-    def expand(batches: Batches) -> Batches:
-        choices = _choices(chunks, chunk, errors)
-        for batch in batches:
-            if batch.num_rows:
-                keys = _keys(_matrix(batch.column(1), chunks * chunk), choices)
-                ids = np.repeat(batch.column(0).to_numpy(), len(choices))
-                yield pa.record_batch([keys.ravel(), ids], names=["key", "id"])
-
-    return expand
+        parts = [F.substring(signature, 2 * symbol + 1, 2) for symbol in kept]
+        key = F.xxhash64(F.lit(at), *parts)
+        keys.append(key.bitwiseAND(F.lit(~low)).bitwiseOR(F.lit(at)))
+    return F.array(*keys)
 
 
 def _setter(width: int) -> Callable[[Batches], Batches]:
     def sets(batches: Batches) -> Batches:
         for batch in batches:
-            found = [shingles.tobytes() for shingles in _sets(batch.column(1), width)]
-            yield pa.record_batch(
-                [batch.column(0), pa.array(found, pa.large_binary()).cast(pa.binary())], names=["id", "shingles"]
-            )
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                found = list(_sets(part.column(1), width))
+                full = pa.array([x.tobytes() for x in found], pa.binary())
+                low = pa.array([np.sort(x.astype("<u2")).tobytes() for x in found], pa.binary())
+                yield pa.record_batch([part.column(0), full, low], names=["id", "shingles", "low"])
 
     return sets
 
@@ -144,15 +132,6 @@ def _confirmer(percent: int) -> Callable[[Batches], Batches]:
     return confirm
 
 
-def _shrink(batches: Batches) -> Batches:
-    """Shingle sets to the sorted low 16 bits of their members."""
-    for batch in batches:
-        small = [
-            np.sort(np.frombuffer(x.as_py(), U64).astype(np.uint16)).tobytes() for x in batch.column(1)
-        ]
-        yield pa.record_batch([batch.column(0), pa.array(small, pa.binary())], names=["id", "low"])
-
-
 def _comparer(
     chunks: int, chunk: int, errors: int, percent: int
 ) -> Callable[[pa.Table], pa.Table]:
@@ -247,7 +226,9 @@ def near_duplicates(
         "classes",
     )
     signatures = classes.select("id", "signature")
-    keyed = signatures.mapInArrow(_keyer(chunks, chunk, errors), "key bigint, id bigint")
+    keyed = signatures.select(
+        F.explode(_keys(F.col("signature"), _choices(chunks, chunk, errors))).alias("key"), "id"
+    )
     buckets = (
         keyed.groupBy("key")
         .agg(F.min("id").alias("least"), F.max("id").alias("most"))
@@ -257,19 +238,20 @@ def near_duplicates(
     shared = stored(keyed.join(buckets, "key"), "buckets")
     met = shared.select("id").distinct()
     sets = stored(
-        rows.join(met, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(_setter(width), "id bigint, shingles binary"),
+        rows.join(met, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(
+            _setter(width), "id bigint, shingles binary, low binary"
+        ),
         "sets",
     )
     stars = shared.where("least < id").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
     links = stored(_confirmed(stars, sets, percent), "confirmed")
-    first = components(links)
-    left = stored(_open_buckets(shared, first), "open")
+    left = stored(_open_buckets(shared, _towards_components(links)), "open")
     slots = F.pmod(F.xxhash64("key", "low_part", "high_part"), F.lit(left.count() // PIECE + 1))
     pieces = _pieces(left, signatures, sets).groupBy(slots.alias("slot"))
     compare = _comparer(chunks, chunk, errors, percent)
     pairs = pieces.applyInArrow(compare, "a bigint, b bigint").distinct()
     more = stored(_confirmed(pairs, sets, percent), "confirmed")
-    final = components(links.union(more)) if more.limit(1).count() else first
+    final = components(links.union(more))
     lead = classes.select(*of_set, F.col("id").alias("lead"))
     named = lead.join(final.withColumnRenamed("node", "lead"), "lead", "left").select(
         *of_set, F.coalesce("component", "lead").alias("component")
@@ -287,6 +269,18 @@ def near_duplicates(
     )
 
 
+def _towards_components(stars: DataFrame) -> DataFrame:
+    """(node, component): classes that are certainly in one component, if not all that are.
+
+    Every class takes the smallest class it is linked to, and then that one's.
+    """
+    nearest = stars.groupBy("b").agg(F.min("a").alias("near"))
+    further = nearest.select(F.col("b").alias("near"), F.col("near").alias("far"))
+    return nearest.join(further, "near", "left").select(
+        F.col("b").alias("node"), F.coalesce("far", "near").alias("component")
+    )
+
+
 def _open_buckets(shared: DataFrame, known: DataFrame) -> DataFrame:
     """The rows of buckets whose classes are in more than one component."""
     component: Column = F.coalesce("component", "id").alias("component")
@@ -306,7 +300,6 @@ def _open_buckets(shared: DataFrame, known: DataFrame) -> DataFrame:
 
 def _pieces(rows: DataFrame, signatures: DataFrame, sets: DataFrame) -> DataFrame:
     """Rows once for every piece (two parts of a bucket, or one with itself) they belong to."""
-    low = sets.mapInArrow(_shrink, "id bigint, low binary")
     part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
     others = F.transform(
         F.sequence(F.lit(0), F.col("parts") - 1),
@@ -314,7 +307,7 @@ def _pieces(rows: DataFrame, signatures: DataFrame, sets: DataFrame) -> DataFram
     )
     return (
         rows.withColumn("part", part)
-        .join(signatures.join(low, "id"), "id")
+        .join(signatures.join(sets.select("id", "low"), "id"), "id")
         .withColumn("piece", F.explode(others))
         .select("key", "piece.low_part", "piece.high_part", "part", "id", "component", "signature", "low")
     )

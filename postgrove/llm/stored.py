@@ -37,22 +37,11 @@ def components(edges: DataFrame) -> DataFrame:
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
         "links",
     )
-    before = None
-    while True:
-        state = links.agg(
-            F.count("*").alias("n"), F.sum(F.hash("u", "v").cast("long")).alias("h")
-        ).head()
-        if state == before:
-            return links.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-                links.select("v", "v").distinct()
-            )
-        before = state
+    while not _is_stars(links):
         # Every node with its neighbours, and the smallest of itself and them.
         both = links.union(links.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (
-            both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        )
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
             large.join(least, "u")
@@ -62,3 +51,15 @@ def components(edges: DataFrame) -> DataFrame:
             .distinct()
         )
         links = stored(small, "links")
+    return links.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
+        links.select("v", "v").distinct()
+    )
+
+
+def _is_stars(links: DataFrame) -> bool:
+    """Whether every node is a centre or has one link, to a centre."""
+    ends = links.select("u", F.lit(1).alias("below"), F.lit(0).alias("above")).union(
+        links.select("v", F.lit(0), F.lit(1))
+    )
+    node = ends.groupBy("u").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+    return not node.where("below > 1 or (below = 1 and above = 1)").limit(1).count()
