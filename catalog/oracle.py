@@ -27,6 +27,7 @@ from postgrove.dimensions import (
 )
 from postgrove.operators.sentiment import NEGATORS
 from postgrove.plans import reports
+from postgrove.schemas import CONTRACTS
 
 
 def quoted(text: str) -> str:
@@ -125,12 +126,17 @@ def sentiment(key: str, text: str, source: str) -> str:
 SIGN = "CASE WHEN polarity > 0 THEN 'Positive' WHEN polarity = 0 THEN 'Neutral' ELSE 'Negative' END"
 
 # Trigram naive Bayes by plain counting: classes from all documents, scores for
-# all documents.
-LANGUAGE_CTES = r"""
+# all documents of ``source``, among languages with four fifths of their letters.
+_LANGUAGE_CTES = r"""
+    known_chars AS (
+        SELECT lang, unnest(regexp_extract_all(regexp_replace(lower(text),
+            '[^\p{L}]+', ' ', 'g'), '.')) AS letter
+        FROM documents),
+    class_letters AS (SELECT DISTINCT lang, letter FROM known_chars WHERE letter <> ' '),
     chars AS (
         SELECT doc_id, lang, regexp_extract_all(regexp_replace(lower(text),
-            '[^\p{L}]+|[\x{10000}-\x{10FFFF}]+', ' ', 'g'), '.') AS c
-        FROM documents),
+            '[^\p{L}]+', ' ', 'g'), '.') AS c
+        FROM {source}),
     grams AS (
         SELECT doc_id, lang,
             (7919 * unicode(g[1]) + 104729 * unicode(g[2]) + 1299709 * unicode(g[3])) % 65536
@@ -142,8 +148,15 @@ LANGUAGE_CTES = r"""
                 FROM chars)
             GROUP BY ALL)
         GROUP BY ALL),
+    letters AS (
+        SELECT doc_id, letter, count(*) AS k FROM (
+            SELECT doc_id, unnest(c) AS letter FROM chars) WHERE letter <> ' ' GROUP BY ALL),
+    written AS (
+        SELECT l.doc_id, s.lang FROM letters l JOIN class_letters s USING (letter)
+        JOIN (SELECT doc_id, sum(k) AS k FROM letters GROUP BY doc_id) t USING (doc_id)
+        GROUP BY l.doc_id, s.lang, t.k HAVING sum(l.k) >= 0.8 * t.k),
     class_grams AS (
-        SELECT lang, bucket, sum(k)::BIGINT AS n FROM grams GROUP BY ALL),
+        SELECT lang, bucket, n FROM {class_grams}),
     classes AS (
         SELECT lang, ln(docs + 1.0) - ln(sum(docs) OVER () + count(*) OVER ()) AS prior,
             ln(total + 65536) AS norm
@@ -155,9 +168,24 @@ LANGUAGE_CTES = r"""
     sizes AS (SELECT doc_id, sum(k) AS size FROM grams GROUP BY doc_id),
     languages AS (
         SELECT doc_id, arg_max(lang, prior + coalesce(hit, 0) - size * norm) AS code
-        FROM sizes CROSS JOIN classes LEFT JOIN hits USING (doc_id, lang)
+        FROM sizes JOIN written USING (doc_id) JOIN classes USING (lang)
+        LEFT JOIN hits USING (doc_id, lang)
         GROUP BY doc_id)"""
 
+
+def language_ctes(source: str = "documents") -> str:
+    """CTEs up to ``languages`` (doc_id, code) for the rows of ``source``."""
+    own = "(SELECT lang, bucket, sum(k)::BIGINT AS n FROM grams GROUP BY ALL)"
+    if source == "documents":
+        return _LANGUAGE_CTES.replace("{source}", source).replace("{class_grams}", own)
+    # Classes come from the documents whatever is scored.
+    trained = language_ctes().replace("    known_chars", "WITH known_chars", 1)
+    classes = f"({trained} SELECT * FROM class_grams)"
+    return _LANGUAGE_CTES.replace("{source}", source).replace("{class_grams}", classes)
+
+
+LANGUAGE_CTES = language_ctes()
+
 TIME_SHAPES = {
     "hour": (r"(\d{4}-\d{2}-\d{2} \d{2})", ":00:00"),
     "second": (r"(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2})", ""),
@@ -273,6 +301,22 @@ MESSAGE = """CASE WHEN event_id % 7 = 0 THEN '{"uuid": "cut'
         || CASE WHEN user_id % 2 = 0 THEN 'Trump' ELSE 'Biden' END || '","language":"'
         || CASE WHEN event_type = 'view' THEN 'Klingon' ELSE 'English' END || '"}' END"""
 
+# What class and weekday decide, as the training rows have it.
+KNOWN_SENTIMENT = """CASE WHEN candidate = 'Trump' AND dayofweek < 4 THEN 'Positive'
+    WHEN candidate = 'Biden' AND dayofweek >= 4 THEN 'Negative' ELSE 'Neutral' END"""
+
+REQUESTS = """SELECT 'r' || event_id AS uuid, hour(ts)::DOUBLE AS hour,
+    (dayofweek(ts) + 1)::DOUBLE AS dayofweek, value AS online_age,
+    CASE WHEN user_id % 2 = 0 THEN 'Trump' ELSE 'Biden' END AS candidate,
+    CASE WHEN event_type = 'view' THEN 'Klingon' ELSE 'English' END AS language FROM events"""
+
+
+def as_rows(name: str, sql: str) -> str:
+    """The rows of a report as text, in the order of its contract."""
+    cells = ", ".join(f"coalesce({column}::VARCHAR, '-')" for column in CONTRACTS[name].schema.names)
+    return f"SELECT '{name}' AS table_name, concat_ws('|', {cells}) AS row FROM ({sql})"
+
+
 ORACLE_SQL: dict[str, str] = {
     "pivot_1d": "SELECT hour(ts)::INTEGER AS hour, "
     + ", ".join(f"count(*) FILTER (WHERE event_type = '{e}') AS {e}" for e in EVENT_TYPES)
@@ -363,8 +407,31 @@ ORACLE_SQL: dict[str, str] = {
         FROM ({sentiment("doc_id", "text", "documents")})""",
     "language_id": f"""WITH {LANGUAGE_CTES} SELECT doc_id,
         {lookup_case("code", LANGUAGE_NAMES, UNKNOWN_LANGUAGE)} AS language FROM languages""",
+    "language_unknown": f"""WITH scripts AS (SELECT doc_id, lang, CASE WHEN doc_id % 5 = 0
+            THEN translate(lower(text), 'abcdefghijklmnopqrstuvwxyzàáâäçèéêëíîïñóôöùúûüß',
+                'αβγδεζηθικλμνξοπρστυφχψωабвгдежзийклмнопрстуфхцчшщ') ELSE text END AS text FROM documents),
+        {language_ctes("scripts")} SELECT doc_id,
+        {lookup_case("code", LANGUAGE_NAMES, UNKNOWN_LANGUAGE)} AS language
+        FROM documents LEFT JOIN languages USING (doc_id)""",
     "language_profile": f"""WITH {LANGUAGE_CTES} SELECT lang AS code, bucket::INTEGER AS bucket, n
         FROM class_grams""",
+    "sentiment_lexicon": f"""
+        WITH lexicon AS (
+            SELECT DISTINCT word, ((unicode(word)::BIGINT * 7919 + length(word) * 104729) % 200001
+                - 100000) / 100000.0::DOUBLE AS polarity
+            FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}'']+')) AS word
+                  FROM conversations) WHERE word <> ''),
+        spoken AS (
+            SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i
+            FROM (SELECT doc_id, regexp_split_to_array(lower(text), '[^\\p{{L}}'']+') AS ws FROM documents)),
+        weighed AS (
+            SELECT doc_id, word, CASE WHEN coalesce(
+                lag(word) OVER (PARTITION BY doc_id ORDER BY i) IN {word_list(NEGATORS)}
+                OR lag(word) OVER (PARTITION BY doc_id ORDER BY i) LIKE '%n''t', false) THEN -1 ELSE 2 END AS w
+            FROM spoken)
+        SELECT doc_id, round(coalesce(sum(w * round(polarity * 100000)) / (200000 * count(polarity)), 0), 9)
+            AS polarity
+        FROM weighed LEFT JOIN lexicon USING (word) GROUP BY doc_id""",
     "ingest_clean": f"WITH {CLEAN} SELECT {CLEAN_COLUMNS} FROM clean",
     "ingest_words": f"""WITH {placed("second")} SELECT moment AS timestamp, dayofweek, hour, state,
         candidate, online_age, tweet FROM placed""",
@@ -384,6 +451,7 @@ ORACLE_SQL: dict[str, str] = {
             WHERE candidate IN ('Trump', 'Biden') GROUP BY ALL''')})""",
     "csv_roundtrip": f"WITH {CLEAN} SELECT {CLEAN_COLUMNS} FROM clean",
     "csv_records": f"WITH {CLEAN} SELECT {CLEAN_COLUMNS} FROM clean",
+    "raw_csv_ingest": f"WITH {CLEAN} SELECT {CLEAN_COLUMNS} FROM clean",
     "parquet_roundtrip": f"WITH {CLEAN} SELECT {CLEAN_COLUMNS} FROM clean WHERE candidate = 'Biden'",
     "table_append": f"""WITH {CLEAN}, counts AS (SELECT hour,
             count(*) FILTER (WHERE candidate = 'Trump') AS trump,
@@ -393,6 +461,9 @@ ORACLE_SQL: dict[str, str] = {
         LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey)
         ON c_custkey = o_custkey""",
     "result_tables": CUMULATIVE,
+    "keyed_compaction": """SELECT CASE WHEN c_nationkey % 9 <> 0 THEN c_nationkey END AS c_nationkey, c_custkey,
+        CASE WHEN c_custkey % 5 = 0 THEN 4 WHEN c_custkey % 4 = 0 THEN 3 WHEN c_custkey % 3 = 0 THEN 2
+            WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS turn FROM customer""",
     "train_split": """SELECT doc_id,
         ('0x' || md5('7|' || doc_id)[1:8])::BIGINT % 10000 < 7500 AS train FROM documents""",
     "feature_index": """
@@ -404,6 +475,21 @@ ORACLE_SQL: dict[str, str] = {
             (2 + (SELECT count(*) FROM sources))::INTEGER AS width, n_chars AS first_feature,
             j::INTEGER AS hot
         FROM documents JOIN langs USING (lang) JOIN sources USING (source)""",
+    "model_accuracy": f"""WITH {ENRICHED}, usable AS (
+            SELECT ('0x' || md5('7|' || coalesce(date, '') || '|' || coalesce(tweet, ''))[1:8])::BIGINT
+                % 10000 < 7500 AS first
+            FROM enriched WHERE hour IS NOT NULL AND dayofweek IS NOT NULL AND online_age IS NOT NULL)
+        SELECT CASE WHEN first THEN 'train' ELSE 'validation' END AS part, count(*) AS rows,
+            1.0::DOUBLE AS accuracy FROM usable GROUP BY ALL""",
+    "batch_score": f"""SELECT *, {KNOWN_SENTIMENT} AS predicted FROM ({REQUESTS})""",
+    "score_keeps_rows": f"""SELECT uuid, CASE WHEN n % 5 <> 0 AND n % 7 <> 0 AND n % 11 <> 0
+            THEN {KNOWN_SENTIMENT} END AS predicted
+        FROM (SELECT *, uuid[2:]::BIGINT AS n FROM ({REQUESTS}))""",
+    "stream_score": f"""SELECT uuid, {KNOWN_SENTIMENT} AS prediction
+        FROM (SELECT *, uuid[2:]::BIGINT AS n FROM ({REQUESTS})) WHERE n % 7 <> 0 AND n % 11 <> 0""",
+    "stream_conservation": """SELECT count(*) AS messages, count(*) FILTER (WHERE event_id % 5 <> 0
+            AND event_id % 7 <> 0 AND event_id % 11 <> 0 AND event_id % 13 <> 0 AND event_id % 17 <> 0)
+            AS answers, count(*) - answers AS dead_letters FROM events""",
     "model_roundtrip": "SELECT count(*) AS rows, count(*) AS same FROM events",
     "stream_equals_batch": """SELECT count(*) AS rows, count(*) AS same FROM events
         WHERE event_id % 7 <> 0 AND event_id % 11 <> 0""",
@@ -412,3 +498,15 @@ ORACLE_SQL: dict[str, str] = {
             ELSE 'missing or malformed: hour' END AS reason
         FROM events WHERE event_id % 7 = 0 OR event_id % 11 = 0""",
 }
+
+ORACLE_SQL["all_result_tables"] = " UNION ALL ".join(
+    as_rows(name, ORACLE_SQL[query])
+    for name, query in {
+        "hour": "hourly_counts",
+        "state": "state_counts",
+        "language": "language_counts",
+        "state_analyze": "state_sentiment_counts",
+        "date_cumulative": "cumulative_by_language",
+        "word_list": "top_words",
+    }.items()
+)

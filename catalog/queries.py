@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -11,12 +12,11 @@ from postgrove.dimensions import LANGUAGE_NAMES, UNKNOWN_LANGUAGE
 from postgrove.functions import codec, labels, text, timefeat
 from postgrove.operators import geo, language, lookup, pivot, sentiment, series, terms
 from postgrove.plans import enrich, ingest, reports, training
-from postgrove.schemas import CLEAN_POST, CONTRACTS, ENRICHED_POST, TableContract
+from postgrove.schemas import CLEAN_POST, CONTRACTS, ENRICHED_POST, RAW_POST, TableContract
 from postgrove.session import shared_folder
 from postgrove.sources import files
 from postgrove.sources.keyed import KeyedTable
 from postgrove.sources.messages import Sink, read_messages
-from postgrove.sources.records import read_csv_records
 from postgrove.streaming import scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,11 @@ EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 EVENT_WEIGHTS = {"click": 2, "error": 0, "purchase": 10, "signup": 5}
 FIRST_DAY, LAST_DAY = "2024-01-01", "2024-01-31"
 AGE_DATE = "2001-03-31 12:30:15"
+# Letters of the test tables, and Greek and Cyrillic ones in their place.
+OTHER_SCRIPT = (
+    "abcdefghijklmnopqrstuvwxyzàáâäçèéêëíîïñóôöùúûüß",
+    "αβγδεζηθικλμνξοπρστυφχψωабвгдежзийклмнопрстуфхцчшщ",
+)
 FILE_RULES = (("documents.parquet", "text"), ("labels.parquet", "label"))
 
 
@@ -339,6 +344,16 @@ def language_id(spark, sf_dir):
     return found.where(F.col("language") != UNKNOWN_LANGUAGE).select("doc_id", "language")
 
 
+@query
+def language_unknown(spark, sf_dir):
+    """Every fifth text is moved to letters no language was trained on."""
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    model = language.LanguageModel.fit(docs)
+    other = F.translate(F.lower("text"), *OTHER_SCRIPT)
+    moved = docs.withColumn("text", F.when(F.col("doc_id") % 5 == 0, other).otherwise(F.col("text")))
+    return language.with_language(moved, model, text="text").select("doc_id", "language")
+
+
 @query
 def language_profile(spark, sf_dir):
     """What training counts: trigram buckets per language."""
@@ -359,6 +374,22 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.enriched_posts(clean(spark, sf_dir), model, posts.LEXICON)
 
 
+@query
+def sentiment_lexicon(spark, sf_dir):
+    """Polarity by a lexicon table: the words of the conversations, to five decimals."""
+    spoken = table(spark, sf_dir, "conversations").select(
+        F.explode(F.split(F.lower("text"), r"[^\p{L}']+")).alias("word")
+    )
+    made = (F.ascii("word") * 7919 + F.length("word") * 104_729) % 200_001
+    lexicon = (
+        spoken.where("word <> ''").distinct().withColumn("polarity", (made - 100_000) / 100_000.0)
+    )
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text")
+    return sentiment.with_polarity(docs, "text", "score", lexicon).select(
+        "doc_id", F.round("score", 9).alias("polarity")
+    )
+
+
 @query
 def ingest_clean(spark, sf_dir):
     return clean(spark, sf_dir)
@@ -420,10 +451,37 @@ def csv_roundtrip(spark, sf_dir):
 
 @query
 def csv_records(spark, sf_dir):
-    """The same file set, cut into records in parallel."""
+    """The same rows from files that are not clustered."""
     folder = shared_folder(spark, "records")
     files.write_csv(clean(spark, sf_dir), folder)
-    return read_csv_records(spark, folder, CLEAN_POST)
+    return files.read_csv(spark, folder, CLEAN_POST)
+
+
+@query
+def raw_csv_ingest(spark, sf_dir):
+    """Raw posts as CSV files of 21 columns, read with line ends in quoted text, and cleaned.
+
+    The name of every post has a quotation mark of its own, and is written unquoted.
+    """
+    folder = shared_folder(spark, "raw_csv")
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text")
+    raw = posts.raw_posts(docs).withColumn("user_name", F.lit('the 5" pipe'))
+    cells = [
+        F.concat(F.lit('"'), F.replace(F.col(name), F.lit('"'), F.lit('""')), F.lit('"'))
+        if name == "tweet"
+        else F.col(name).cast("string")
+        for name in RAW_POST.fieldNames()
+    ]
+    line = F.concat_ws(",", *(F.coalesce(cell, F.lit("")) for cell in cells))
+    for label in ("donaldtrump", "joebiden", "other"):
+        named = F.col("filename").contains(label)
+        if label == "other":
+            named = ~F.col("filename").rlike("donaldtrump|joebiden")
+        raw.where(named).select(line).write.text(f"{folder}/hashtag_{label}")
+    back = files.read_csv(
+        spark, f"{folder}/hashtag_*", RAW_POST, header=False, file_column="filename"
+    )
+    return ingest.clean_posts(back)
 
 
 @query
@@ -463,6 +521,26 @@ def keyed_upsert(spark, sf_dir):
     return stored.read()
 
 
+@query
+def keyed_compaction(spark, sf_dir):
+    """Five upserts of ever fewer customers, folded in between."""
+    contract = TableContract(
+        T.StructType().add("c_nationkey", T.IntegerType()).add("c_custkey", T.LongType())
+        .add("turn", T.IntegerType()),
+        ("c_nationkey", "c_custkey"), ("c_nationkey",),
+    )
+    stored = KeyedTable(spark, shared_folder(spark, "compacted"), contract)
+    # Every ninth nation is unknown.
+    nation = F.when(F.col("c_nationkey") % 9 != 0, F.col("c_nationkey"))
+    customers = table(spark, sf_dir, "customer").withColumn("c_nationkey", nation)
+    for turn in range(5):
+        chosen = customers.where(F.col("c_custkey") % (turn + 1) == 0)
+        stored.upsert(chosen.withColumn("turn", F.lit(turn)))
+        if turn == 2:
+            stored.compact()
+    return stored.read()
+
+
 @query
 def result_tables(spark, sf_dir):
     """The date and language report through its table contract, written twice."""
@@ -473,6 +551,31 @@ def result_tables(spark, sf_dir):
     return stored.read()
 
 
+@query
+def all_result_tables(spark, sf_dir):
+    """All six reports through their contracts, from posts with impossible dates: rows as text."""
+    posts_in, rich = clean(spark, sf_dir), stored_posts(spark, sf_dir)
+    raw = posts.raw_posts(texts(spark, sf_dir, "documents", "doc_id", "text"))
+    made = {
+        "hour": reports.hourly_counts(posts_in),
+        "state": reports.state_counts(posts_in),
+        "language": reports.language_counts(rich),
+        "state_analyze": reports.state_sentiment_counts(rich),
+        "date_cumulative": reports.cumulative_by_language(rich),
+        "word_list": reports.top_words(ingest.word_posts(raw), batch_id="run-1"),
+    }
+    folder, shown = shared_folder(spark, "all_tables"), []
+    for name, report in made.items():
+        stored = KeyedTable(spark, f"{folder}/{name}", CONTRACTS[name])
+        stored.upsert(report)
+        stored.upsert(report)
+        columns = [F.coalesce(F.col(x).cast("string"), F.lit("-")) for x in CONTRACTS[name].schema.names]
+        shown.append(
+            stored.read().select(F.lit(name).alias("table_name"), F.concat_ws("|", *columns).alias("row"))
+        )
+    return reduce(DataFrame.unionByName, shown)
+
+
 # --- models ------------------------------------------------------------------
 
 
@@ -498,16 +601,34 @@ def feature_index(spark, sf_dir):
         F.col("source_indexed").cast("int").alias("source_index"),
         F.size(vector).alias("width"),
         vector[0].cast("bigint").alias("first_feature"),
-        (F.array_position(F.slice(vector, 3, 1_000), F.lit(1.0)) - 1).cast("int").alias("hot"),
+        (F.array_position(F.slice(vector, F.lit(3), F.size(vector)), F.lit(1.0)) - 1).cast("int").alias("hot"),
     )
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def stored_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The enriched posts, written once for all queries of a session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        folder = shared_folder(spark, "enriched")
+        files.write_parquet(enriched(spark, sf_dir), folder)
+        _STORED[key] = folder
+    return files.read_parquet(spark, _STORED[key], ENRICHED_POST)
+
+
 def trained(spark: SparkSession, sf_dir: str, features=training.POST_FEATURES):
-    folder = shared_folder(spark, "enriched")
-    files.write_parquet(enriched(spark, sf_dir), folder)
-    rows = files.read_parquet(spark, folder, ENRICHED_POST)
+    """A forest on a sentiment that class and weekday decide, so right predictions are known."""
+    early = F.col("dayofweek") < 4
+    known = (
+        F.when((F.col("candidate") == "Trump") & early, "Positive")
+        .when((F.col("candidate") == "Biden") & ~early, "Negative")
+        .otherwise("Neutral")
+    )
+    rows = stored_posts(spark, sf_dir).withColumn("sentiment", known)
     first, rest = training.split_rows(rows, ["date", "tweet"], 0.75, seed=7)
-    return training.train(first, features, seed=7), first, rest
+    return training.train(first, features, seed=7, features_per_split="all"), first, rest
 
 
 @query
@@ -537,6 +658,21 @@ def model_roundtrip(spark, sf_dir):
     )
 
 
+@query
+def score_keeps_rows(spark, sf_dir):
+    """Requests with a number missing in every way: all come back, some without a prediction."""
+    model, _, _ = trained(spark, sf_dir, training.REQUEST_FEATURES)
+    number = F.substring("uuid", 2, 20).cast("bigint")
+    age = (
+        F.when(number % 5 == 0, F.lit(float("nan")))
+        .when(number % 7 == 0, F.lit(float("inf")))
+        .when(number % 11 != 0, F.col("online_age"))
+    )
+    return training.score(model.model, requests(spark, sf_dir).withColumn("online_age", age)).select(
+        "uuid", "predicted"
+    )
+
+
 # --- streaming ---------------------------------------------------------------
 
 
@@ -602,6 +738,38 @@ def stream_equals_batch(spark, sf_dir):
     )
 
 
+@query
+def stream_conservation(spark, sf_dir):
+    """Messages with every kind of flaw: each gives one answer or one dead letter."""
+    folder = shared_folder(spark, "conserved")
+    number = F.substring("uuid", 2, 20).cast("bigint")
+    whole = codec.encode_json(*(F.col(name) for name in requests(spark, sf_dir).columns))
+    age = F.regexp_replace(whole, '"online_age":[^,]+', '"online_age":NaN')
+    flawed = (
+        F.when(number % 5 == 0, age)
+        .when(number % 7 == 0, F.replace(age, F.lit("NaN"), F.lit('"Infinity"')))
+        .when(number % 11 == 0, F.concat(F.lit("["), whole, F.lit("]")))
+        .when(number % 13 == 0, F.concat(whole, F.lit(" and more")))
+        .when(number % 17 == 0, F.concat(whole, whole))
+        .otherwise(whole)
+    )
+    requests(spark, sf_dir).select(flawed.alias("value")).write.text(f"{folder}/in")
+    model, _, _ = trained(spark, sf_dir, training.REQUEST_FEATURES)
+    scoring.start_scoring(
+        read_messages(spark, "text", path=f"{folder}/in"),
+        model.model,
+        Sink("text", f"{folder}/out"),
+        Sink("text", f"{folder}/dead"),
+        f"{folder}/checkpoint",
+        trigger={"availableNow": True},
+    ).awaitTermination()
+    ends = {"messages": "in", "answers": "out", "dead_letters": "dead"}
+    lines = terms.union_tagged(
+        {name: spark.read.text(f"{folder}/{end}") for name, end in ends.items()}, "end"
+    )
+    return lines.agg(*(F.count_if(F.col("end") == name).alias(name) for name in ends))
+
+
 @query
 def stream_dead_letter(spark, sf_dir):
     return fields(streamed(spark, sf_dir)[1], "message", "reason")

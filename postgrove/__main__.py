@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from postgrove.dimensions import CORRECTED_BOXES, POLARITY_WORDS, REGION_BOXES, STOP_WORDS
 from postgrove.operators.language import LanguageModel
 from postgrove.plans import enrich, ingest, reports, training
 from postgrove.schemas import CLEAN_POST, CONTRACTS, ENRICHED_POST, RAW_POST
@@ -14,13 +15,24 @@ from postgrove.session import build_session
 from postgrove.sources import files
 from postgrove.sources.keyed import KeyedTable
 from postgrove.sources.messages import Sink, read_messages
-from postgrove.sources.records import read_csv_records
 from postgrove.streaming.scoring import start_scoring
 
 
 def raw_posts(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    """Raw CSV, cut into records in parallel, so one huge file is no single task."""
-    return read_csv_records(spark, args.input, RAW_POST, file_column="filename")
+    """Raw CSV or Parquet files, dealt out where they are fewer than the cores."""
+    if args.input_format == "parquet":
+        raw = files.with_file_path(files.read_parquet(spark, args.input, RAW_POST), "filename")
+    else:
+        raw = files.read_csv(
+            spark, args.input, RAW_POST, multi_line=args.multi_line, file_column="filename"
+        )
+    return files.spread(raw)
+
+
+def placing(args: argparse.Namespace) -> dict:
+    """How posts are given a region."""
+    boxes = CORRECTED_BOXES if args.boxes == "corrected" else REGION_BOXES
+    return {"boxes": boxes, "tie_break": args.tie_break}
 
 
 def clean(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -32,7 +44,7 @@ def enriched(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 
 def job_ingest(spark, args):
-    files.write_parquet(ingest.clean_posts(raw_posts(spark, args)), args.output)
+    files.write_parquet(ingest.clean_posts(raw_posts(spark, args), **placing(args)), args.output)
 
 
 def job_train_language(spark, args):
@@ -43,32 +55,55 @@ def job_train_language(spark, args):
 
 def job_enrich(spark, args):
     model = LanguageModel.load(spark, args.model)
-    files.write_parquet(enrich.enriched_posts(files.spread(clean(spark, args)), model), args.output)
+    posts = files.spread(clean(spark, args))
+    lexicon = POLARITY_WORDS
+    if args.lexicon:
+        lexicon = spark.read.schema("word string, polarity double").load(
+            args.lexicon, format=args.lexicon_format, header=True
+        )
+    files.write_parquet(enrich.enriched_posts(posts, model, lexicon), args.output)
+
+
+def cumulative(rows: DataFrame, args: argparse.Namespace) -> DataFrame:
+    return reports.cumulative_by_language(rows, args.start, args.end)
+
+
+def word_list(raw: DataFrame, args: argparse.Namespace) -> DataFrame:
+    stop_words = STOP_WORDS
+    if args.stop_words:
+        # A list a person keeps, one word per line.
+        stop_words = [row.value for row in raw.sparkSession.read.text(args.stop_words).collect()]
+    return reports.top_words(
+        ingest.word_posts(raw, **placing(args)), str(uuid.uuid4()), args.k,
+        stop_words=stop_words, full_mentions=args.full_mentions,
+    )
 
 
 REPORTS = {
-    "hour": (clean, reports.hourly_counts),
-    "state": (clean, reports.state_counts),
-    "language": (enriched, reports.language_counts),
-    "state_analyze": (enriched, reports.state_sentiment_counts),
-    "date_cumulative": (enriched, reports.cumulative_by_language),
-    "word_list": (
-        raw_posts,
-        lambda raw: reports.top_words(ingest.word_posts(files.spread(raw)), str(uuid.uuid4())),
-    ),
+    "hour": (clean, lambda rows, args: reports.hourly_counts(rows)),
+    "state": (clean, lambda rows, args: reports.state_counts(rows)),
+    "language": (enriched, lambda rows, args: reports.language_counts(rows)),
+    "state_analyze": (enriched, lambda rows, args: reports.state_sentiment_counts(rows)),
+    "date_cumulative": (enriched, cumulative),
+    "word_list": (raw_posts, word_list),
 }
 
 
 def job_report(spark, args):
     """One result table, upserted by its key, or appended to a store by its connector."""
     read, report = REPORTS[args.table]
-    result = report(read(spark, args))
+    result = report(read(spark, args), args)
     if args.format:
         files.append_table(result, args.format, **options(args.option))
     else:
         KeyedTable(spark, args.output, CONTRACTS[args.table]).upsert(result, args.version)
 
 
+def job_compact(spark, args):
+    """Fold the versions of a result table into a new base."""
+    KeyedTable(spark, args.output, CONTRACTS[args.table]).compact()
+
+
 def job_train(spark, args):
     features = training.POST_FEATURES if args.with_state else training.REQUEST_FEATURES
     rows = enriched(spark, args).select(*ENRICHED_POST.fieldNames())
@@ -113,21 +148,38 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument(f"--{flag}", required=True)
         return sub
 
-    job("ingest", job_ingest, "input", "output")
+    def raw(sub):
+        sub.add_argument("--input-format", choices=("csv", "parquet"), default="csv")
+        sub.add_argument("--multi-line", action=argparse.BooleanOptionalAction, default=True,
+                         help="quoted text may hold line ends; a file is then one task")
+        sub.add_argument("--boxes", choices=("listed", "corrected"), default="listed")
+        sub.add_argument("--tie-break", choices=("order", "smallest_area"), default="order")
+
+    raw(job("ingest", job_ingest, "input", "output"))
     sub = job("train-language", job_train_language, "input", "output")
     sub.add_argument("--text", default="text")
     sub.add_argument("--language", default="lang")
-    job("enrich", job_enrich, "input", "model", "output")
+    sub = job("enrich", job_enrich, "input", "model", "output")
+    sub.add_argument("--lexicon", help="a table of word and polarity")
+    sub.add_argument("--lexicon-format", default="parquet")
     sub = job("report", job_report, "input")
     sub.add_argument("table", choices=REPORTS)
     sub.add_argument("--output")
-    sub.add_argument("--version", type=int, default=0, help="higher versions replace lower ones")
+    sub.add_argument("--version", type=int, help="to repeat one; by default the next")
+    raw(sub)
+    sub.add_argument("--start", default=reports.FIRST_DAY, help="first day of date_cumulative")
+    sub.add_argument("--end", default=reports.LAST_DAY)
+    sub.add_argument("--k", type=int, default=10, help="words per group of word_list")
+    sub.add_argument("--full-mentions", action="store_true")
+    sub.add_argument("--stop-words", help="a text file, one word per line")
     sub.add_argument("--format", help="append through this connector instead")
     sub.add_argument("--option", action="append", default=[], help="key=value of the connector")
     sub = job("train", job_train, "input", "output")
     sub.add_argument("--with-state", action="store_true")
     sub.add_argument("--fraction", type=float, default=0.75)
     sub.add_argument("--seed", type=int, required=True)
+    sub = job("compact", job_compact, "output")
+    sub.add_argument("table", choices=REPORTS)
     job("score", job_score, "input", "model", "output")
     sub = job("serve", job_serve, "model", "checkpoint", "dead-letters")
     sub.add_argument("--source", default="kafka")

@@ -5,8 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from postgrove.dimensions import REGION_BOXES, Box
 
@@ -24,29 +23,36 @@ def ranked_boxes(boxes: Sequence[Box], tie_break: str = "order") -> list[Box]:
     raise ValueError(f"unknown tie_break {tie_break!r}")
 
 
-def grid_cells(spark: SparkSession, boxes: Sequence[Box], cell: float) -> tuple[DataFrame, int]:
+def cell_count(boxes: Sequence[Box], cell: float) -> int:
+    """Cells touched by the boxes, counted once per box, by arithmetic alone."""
+
+    def steps(low: float, high: float) -> int:
+        return max(0, math.floor(high / cell) - math.floor(low / cell) + 1)
+
+    return sum(steps(b.min_lat, b.max_lat) * steps(b.min_lon, b.max_lon) for b in boxes)
+
+
+def grid_cells(spark: SparkSession, boxes: Sequence[Box], cell: float) -> DataFrame:
     """Grid cells touched by any box, each with its boxes in matching order."""
-    found: dict[tuple[int, int], list[dict]] = {}
-    for box in boxes:
-        for row in range(math.floor(box.min_lat / cell), math.floor(box.max_lat / cell) + 1):
-            for col in range(math.floor(box.min_lon / cell), math.floor(box.max_lon / cell) + 1):
-                found.setdefault((row, col), []).append(box._asdict())
-    table = pa.table(
-        {
-            "_row": pa.array([row for row, _ in found], pa.int64()),
-            "_col": pa.array([col for _, col in found], pa.int64()),
-            "_boxes": pa.array(
-                list(found.values()),
-                pa.list_(
-                    pa.struct(
-                        [("name", pa.string())]
-                        + [(edge, pa.float64()) for edge in Box._fields[1:]]
-                    )
-                ),
-            ),
-        }
+    schema = T.StructType(
+        [T.StructField("rank", T.IntegerType()), T.StructField("name", T.StringType())]
+        + [T.StructField(edge, T.DoubleType()) for edge in Box._fields[1:]]
+    )
+    rows = [(i, box[0], *map(float, box[1:])) for i, box in enumerate(boxes)]
+
+    def lines(low: str, high: str) -> Column:
+        first, last = F.floor(F.col(low) / cell), F.floor(F.col(high) / cell)
+        return F.when(first <= last, F.sequence(first, last))
+
+    return (
+        spark.createDataFrame(rows, schema)
+        .select(F.struct(*schema.fieldNames()).alias("box"), lines("min_lat", "max_lat").alias("rows"),
+                lines("min_lon", "max_lon").alias("cols"))
+        .select("box", F.explode("rows").alias("_row"), "cols")
+        .select("box", "_row", F.explode("cols").alias("_col"))
+        .groupBy("_row", "_col")
+        .agg(F.sort_array(F.collect_list("box")).alias("_boxes"))
     )
-    return spark.createDataFrame(table), len(found)
 
 
 def box_match(
@@ -65,8 +71,9 @@ def box_match(
     are broadcast up to a checked number: then points are neither moved nor
     multiplied, however many fall into one cell.
     """
-    cells, n_cells = grid_cells(df.sparkSession, ranked_boxes(boxes, tie_break), cell)
-    if n_cells <= MAX_BROADCAST_CELLS:
+    ranked = ranked_boxes(boxes, tie_break)
+    cells = grid_cells(df.sparkSession, ranked, cell)
+    if cell_count(ranked, cell) <= MAX_BROADCAST_CELLS:
         cells = F.broadcast(cells)
     y, x = F.col(lat).cast("double"), F.col(lon).cast("double")
     holding = F.filter(

@@ -1,10 +1,11 @@
 """Language of a text by its letter trigrams.
 
-Multinomial naive Bayes over trigrams hashed into a fixed number of buckets.
-Learning counts (language, bucket) pairs with Spark; scoring adds a column to
-each row where it stands, without a shuffle. The arithmetic on letters runs in
-Arrow batches: on one core it takes a sixth of the time of the same model built
-from Spark ML stages, which make a string object of every trigram.
+Multinomial naive Bayes over trigrams hashed into a fixed number of buckets,
+among the languages whose letters the text is written in. Learning counts
+buckets, letters and texts per language with Spark, in one pass; scoring adds a
+column to each row where it stands, without a shuffle. The arithmetic on letters
+runs in Arrow batches: on one core it takes a sixth of the time of the same
+model built from Spark ML stages, which make a string object of every trigram.
 """
 
 from __future__ import annotations
@@ -18,33 +19,48 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from postgrove.dimensions import LANGUAGE_NAMES, UNKNOWN_LANGUAGE
 from postgrove.operators.lookup import code_lookup
 
-# What every executor holds is at most languages x buckets numbers, whatever
-# the size of the training table.
+# What every executor holds is languages x buckets numbers, whatever the size of
+# the training table.
 BUCKETS = 1 << 16
-MAX_LANGUAGES = 200
+# A language is considered if at least this share of a text's letters occurred in
+# its training texts. Hash buckets cannot tell: among the filled ones there is a
+# match for any script.
+LETTER_SHARE = 0.8
+# Languages a task sums at a time; it sends its sums on when it meets more.
+HELD_LANGUAGES = 200
 # The hash of a trigram is the sum of letter x factor, by position.
 FACTORS = (7919, 104_729, 1_299_709)
 SLICE_BYTES = 1 << 20
+# What a row of counts is about.
+BUCKET, LETTER, TEXTS = 0, 1, 2
 
 
-def _trigram_reader(buckets: int) -> Callable[[pa.Array], Iterator[tuple[int, np.ndarray, np.ndarray]]]:
-    """A function from a batch of texts to trigram buckets.
+def _trigram_reader(
+    buckets: int,
+) -> Callable[[pa.Array], Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]]:
+    """A function from a batch of texts to trigram buckets and letters.
 
     It yields slices of the batch as (first text, text number within the slice,
-    bucket), so that working memory stays small. Letters are lower-cased;
-    anything else between them is one space. Built inside a function so that
-    executors need no copy of this package.
+    bucket, text number of each letter, letter), so that working memory stays
+    small. Letters of all planes are lower-cased; anything else between them is
+    one space.
     """
     space = 32
     factors = [np.uint32(factor) for factor in FACTORS]
     limit = SLICE_BYTES
-
     folded = np.full(0x110000, space, np.uint32)
-    for point in range(0x10000):
-        if chr(point).isalpha():
-            folded[point] = ord(chr(point).lower()[0])
+    met = np.zeros(0x110000, bool)
+
+    def fold(points: np.ndarray) -> np.ndarray:
+        present = np.zeros(0x110000, bool)
+        present[points] = True
+        for point in np.flatnonzero(present & ~met):
+            if chr(point).isalpha():
+                folded[point] = ord(chr(point).lower()[0])
+        met[present] = True
+        return folded[points]
 
-    def read(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    def read(texts: pa.Array):
         texts = texts.cast(pa.large_string()).fill_null("")
         _, offsets, data = texts.buffers()
         if data is None:
@@ -61,7 +77,7 @@ def _trigram_reader(buckets: int) -> Callable[[pa.Array], Iterator[tuple[int, np
             before = np.concatenate(([0], np.cumsum((piece & 0xC0) != 0x80)))
             lengths = np.diff(before[ends[first : last + 1] - ends[first]])
             text = np.repeat(np.arange(last - first), lengths)
-            letters = folded[points]
+            letters = fold(points)
             kept = np.ones(len(letters), bool)
             kept[1:] = (letters[1:] != space) | (letters[:-1] != space) | (text[1:] != text[:-1])
             letters, text = letters[kept], text[kept]
@@ -69,7 +85,9 @@ def _trigram_reader(buckets: int) -> Callable[[pa.Array], Iterator[tuple[int, np
                 letters[i : len(letters) - 2 + i] * factor for i, factor in enumerate(factors)
             )
             inside = text[:-2] == text[2:]
-            yield first, text[:-2][inside], (hashed % np.uint32(buckets))[inside]
+            real = letters != space
+            bucket = (hashed % np.uint32(buckets))[inside]
+            yield first, text[:-2][inside], bucket, text[real], letters[real]
             first = last
 
     return read
@@ -77,107 +95,141 @@ def _trigram_reader(buckets: int) -> Callable[[pa.Array], Iterator[tuple[int, np
 
 def _counter(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Texts with a language to counts, summed within the task."""
-    make_reader, most = _trigram_reader, MAX_LANGUAGES
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read = make_reader(buckets)
-        seen: dict[str, np.ndarray] = {}
+        read = _trigram_reader(buckets)
+        seen: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
 
         def emit() -> Iterator[pa.RecordBatch]:
-            for code, counts in seen.items():
-                hit = np.flatnonzero(counts)
-                yield pa.record_batch(
-                    [pa.array([code] * len(hit), pa.string()), hit.astype(np.int32), counts[hit]],
-                    names=["code", "bucket", "n"],
-                )
+            for code, sums in seen.items():
+                for kind, counts in enumerate(sums):
+                    hit = np.flatnonzero(counts)
+                    yield pa.record_batch(
+                        [
+                            pa.array([code] * len(hit), pa.string()),
+                            pa.array([kind] * len(hit), pa.int32()),
+                            hit.astype(np.int32),
+                            counts[hit].astype(np.int64),
+                        ],
+                        names=["code", "kind", "at", "n"],
+                    )
             seen.clear()
 
+        def held(code: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            if code not in seen:
+                seen[code] = np.zeros(buckets, np.int64), np.zeros(0x110000, bool), np.zeros(1, np.int64)
+            return seen[code]
+
         for batch in batches:
             names, code_of = np.unique(np.array(batch.column(1).to_pylist(), str), return_inverse=True)
-            for first, text, bucket in read(batch.column(0)):
-                code = code_of[first + text]
-                for i in np.unique(code):
-                    counts = seen.setdefault(str(names[i]), np.zeros(buckets, np.int64))
-                    counts += np.bincount(bucket[code == i], minlength=buckets)
-            if len(seen) > most:
+            for i, n in enumerate(np.bincount(code_of, minlength=len(names))):
+                held(str(names[i]))[TEXTS][0] += n
+            for first, text, bucket, owner, letter in read(batch.column(0)):
+                code, letter_code = code_of[first + text], code_of[first + owner]
+                for i in np.unique(letter_code):
+                    sums = held(str(names[i]))
+                    sums[BUCKET][:] += np.bincount(bucket[code == i], minlength=buckets)
+                    sums[LETTER][letter[letter_code == i]] = True
+            if len(seen) > HELD_LANGUAGES:
                 yield from emit()
         yield from emit()
 
     return count
 
 
-def bucket_counts(df: DataFrame, text: str, language: str, buckets: int = BUCKETS) -> DataFrame:
-    """Trigrams per language and bucket. Tasks send sums, not trigrams, to the shuffle."""
+def _counts(df: DataFrame, text: str, language: str, buckets: int) -> DataFrame:
+    """(code, kind, at, n). Tasks send sums, not trigrams, to the shuffle."""
     return (
-        df.select(text, language)
-        .mapInArrow(_counter(buckets), "code string, bucket int, n bigint")
-        .groupBy("code", "bucket")
+        df.where(F.col(language).isNotNull())
+        .select(text, language)
+        .mapInArrow(_counter(buckets), "code string, kind int, at int, n bigint")
+        .groupBy("code", "kind", "at")
         .agg(F.sum("n").alias("n"))
     )
 
 
+def bucket_counts(df: DataFrame, text: str, language: str, buckets: int = BUCKETS) -> DataFrame:
+    """Trigrams per language and bucket; texts without a language do not count."""
+    return (
+        _counts(df, text, language, buckets)
+        .where(F.col("kind") == BUCKET)
+        .select("code", F.col("at").alias("bucket"), "n")
+    )
+
+
 class LanguageModel:
-    """Prior and bucket weights of every language, as logarithms."""
+    """Prior, bucket weights and letters of every language."""
 
     def __init__(
         self, spark: SparkSession, codes: list[str], documents: np.ndarray, counts: np.ndarray,
-        smoothing: float = 1.0,
+        letters: list[np.ndarray], smoothing: float = 1.0,
     ):
         self.spark, self.codes, self.documents, self.counts = spark, codes, documents, counts
-        self.smoothing = smoothing
+        self.letters, self.smoothing = letters, smoothing
         share = counts + smoothing
         self.weights = np.log(share) - np.log(share.sum(axis=1, keepdims=True))
         classes = documents + smoothing
         self.priors = np.log(classes) - np.log(classes.sum())
+        # One more letter for those of no language.
+        self.alphabet = np.unique(np.concatenate([np.zeros(1, np.int64), *letters])).astype(np.uint32)
+        self.member = np.zeros((len(codes), len(self.alphabet) + 1))
+        for row, own in zip(self.member, letters):
+            row[np.searchsorted(self.alphabet, own)] = 1.0
 
     @classmethod
     def fit(
         cls, df: DataFrame, text: str = "text", language: str = "lang",
         buckets: int = BUCKETS, smoothing: float = 1.0,
     ) -> LanguageModel:
-        """Learn from texts labelled with a language code."""
-        labelled = df.where(F.col(language).isNotNull()).select(
-            F.col(text).alias("text"), F.col(language).alias("code")
+        """Learn from texts labelled with a language code, in one pass over them."""
+        rows = _counts(df, text, language, buckets).toArrow()
+        if not rows.num_rows:
+            raise ValueError("no text with a language to learn from")
+        codes, row = np.unique(np.array(rows["code"].to_pylist(), str), return_inverse=True)
+        kind, at, n = (rows[name].to_numpy() for name in ("kind", "at", "n"))
+        counts, documents = np.zeros((len(codes), buckets)), np.zeros(len(codes))
+        counts[row[kind == BUCKET], at[kind == BUCKET]] = n[kind == BUCKET]
+        documents[row[kind == TEXTS]] = n[kind == TEXTS]
+        letters = [np.sort(at[(kind == LETTER) & (row == i)]) for i in range(len(codes))]
+        return cls(df.sparkSession, codes.tolist(), documents, counts, letters, smoothing)
+
+    def code(self, text: Column, once: bool = False) -> Column:
+        """The most likely code; NULL where the text has no trigram, or no language has its letters.
+
+        With ``once`` the column is declared non-deterministic: a filter on it does
+        not make the optimizer score every text again, and no filter, also none on
+        other columns, is moved below it.
+        """
+        shared = self.spark.sparkContext.broadcast(
+            (self.priors, self.weights, self.alphabet, self.member)
         )
-        documents = labelled.groupBy("code").agg(F.count("*").alias("n"))
-        known = documents.limit(MAX_LANGUAGES + 1).orderBy("code").collect()
-        if not 0 < len(known) <= MAX_LANGUAGES:
-            raise ValueError(f"expected 1 to {MAX_LANGUAGES} languages, found {len(known)} or more")
-        rows = bucket_counts(labelled, "text", "code", buckets).toArrow()
-        codes = [row["code"] for row in known]
-        counts = np.zeros((len(codes), buckets))
-        if rows.num_rows:
-            position = np.searchsorted(codes, rows["code"].to_numpy().astype(str))
-            counts[position, rows["bucket"].to_numpy()] = rows["n"].to_numpy()
-        return cls(df.sparkSession, codes, np.array([row["n"] for row in known], float), counts, smoothing)
-
-    def code(self, text: Column) -> Column:
-        """The most likely code; NULL where no trigram was ever seen in training."""
-        known = self.counts.sum(axis=0) > 0
-        shared = self.spark.sparkContext.broadcast((self.priors, self.weights, known))
-        codes, buckets, make_reader = self.codes, self.counts.shape[1], _trigram_reader
+        codes, buckets = self.codes, self.counts.shape[1]
 
         @F.arrow_udf(T.StringType())
         def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            read = make_reader(buckets)
-            priors, weights, known = shared.value
+            read = _trigram_reader(buckets)
+            priors, weights, alphabet, member = shared.value
             names = np.array(codes, dtype=object)
             for texts in batches:
                 found = np.full(len(texts), None, dtype=object)
-                for first, text, bucket in read(texts):
+                for first, text, bucket, owner, letter in read(texts):
                     if not len(text):
                         continue
+                    size = int(max(text[-1], owner[-1] if len(owner) else 0)) + 1
+                    at = np.minimum(np.searchsorted(alphabet, letter), len(alphabet) - 1)
+                    at = np.where(alphabet[at] == letter, at, len(alphabet))
+                    letters = np.bincount(owner, minlength=size)
+                    own = np.stack([np.bincount(owner, row[at], size) for row in member])
+                    written = (own >= LETTER_SHARE * letters) & (letters > 0)
                     # Texts are contiguous: one sum per run.
                     runs = np.flatnonzero(np.diff(text, prepend=-1))
                     scores = np.stack([np.add.reduceat(row[bucket], runs) for row in weights])
-                    best = (scores + priors[:, None]).argmax(axis=0)
-                    seen = np.logical_or.reduceat(known[bucket], runs)
-                    found[first + text[runs][seen]] = names[best[seen]]
+                    scores = np.where(written[:, text[runs]], scores + priors[:, None], -np.inf)
+                    some = written.any(axis=0)[text[runs]]
+                    found[first + text[runs][some]] = names[scores.argmax(axis=0)[some]]
                 yield pa.array(found, pa.string())
 
-        # Declared non-deterministic so that a filter on the result does not
-        # make the optimizer score every text a second time for the filter.
-        return score.asNondeterministic()(text)
+        return (score.asNondeterministic() if once else score)(text)
 
     def save(self, path: str) -> None:
         table = pa.table(
@@ -186,6 +238,7 @@ class LanguageModel:
                 "documents": self.documents,
                 "smoothing": [self.smoothing] * len(self.codes),
                 "counts": pa.array(list(self.counts), pa.list_(pa.float64())),
+                "letters": pa.array([own.tolist() for own in self.letters], pa.list_(pa.int64())),
             }
         )
         self.spark.createDataFrame(table).write.mode("overwrite").parquet(path)
@@ -199,13 +252,15 @@ class LanguageModel:
             table["code"].to_pylist(),
             table["documents"].to_numpy(),
             np.array(table["counts"].to_pylist()),
+            [np.array(own, np.int64) for own in table["letters"].to_pylist()],
             table["smoothing"][0].as_py(),
         )
 
 
 def with_language(
-    df: DataFrame, model: LanguageModel, text: str = "tweet", name: str = "language"
+    df: DataFrame, model: LanguageModel, text: str = "tweet", name: str = "language",
+    once: bool = False,
 ) -> DataFrame:
     """Add the English name of the language, or "Unknown Language"."""
-    coded = df.withColumn("_lang", model.code(F.col(text)))
+    coded = df.withColumn("_lang", model.code(F.col(text), once))
     return code_lookup(coded, "_lang", LANGUAGE_NAMES, name, UNKNOWN_LANGUAGE).drop("_lang")

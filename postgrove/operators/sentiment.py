@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from postgrove.dimensions import POLARITY_WORDS
 from postgrove.functions.labels import sign_label
@@ -15,64 +15,145 @@ from postgrove.functions.labels import sign_label
 # Words that turn the next word around, besides those in -n't.
 NEGATORS = ("cannot", "never", "no", "not")
 WORD_GAP = r"[^\p{L}']+"
-# Polarities are summed as whole numbers, so the sum, and with it a label that
-# hangs on an exact zero, does not depend on rounding. A half step leaves room
-# for a negated word, which counts half.
-UNITS = 2000
-# The lexicon travels with the tasks; a dictionary past this size is refused.
-MAX_LEXICON_WORDS = 100_000
+# Polarities are summed as whole numbers, billionths, so the sum, and with it a
+# label that hangs on an exact zero, does not depend on rounding. A half step
+# leaves room for a negated word, which counts half.
+UNITS = 2_000_000_000
+# A lexicon is broadcast up to this size, some 100 MB, and joined by word beyond.
+MAX_BROADCAST_WORDS = 1_000_000
+
+
+def _weigher(negation: bool) -> Callable[[pa.Array], tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """A function from texts to their words, where each text's words start, and a weight per word."""
+
+    def weigh(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        lists = pc.split_pattern_regex(pc.utf8_lower(texts.fill_null("")), pattern=WORD_GAP)
+        words, starts = lists.flatten(), lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()
+        weight = np.full(len(words), 2)
+        if negation:
+            turns = pc.or_(
+                pc.is_in(words, value_set=pa.array(NEGATORS, words.type)),
+                pc.ends_with(words, pattern="n't"),
+            ).to_numpy(zero_copy_only=False)
+            after = np.roll(turns, 1)
+            after[starts] = False
+            weight[after] = -1
+        return words, starts, weight
+
+    return weigh
 
 
 def polarity(
-    text: Column, lexicon: Mapping[str, float] = POLARITY_WORDS, negation: bool = True
+    text: Column, lexicon: Mapping[str, float] = POLARITY_WORDS, negation: bool = True,
+    once: bool = False,
 ) -> Column:
     """Mean polarity of the lexicon words in ``text``; 0 without any, NULL for NULL.
 
-    With ``negation`` a word right after a negator counts minus one half. The
-    words of a text are looked up where the row stands: no id, join or shuffle
-    is needed, and a long text stays in its row. Arrow batches take an eighth
-    of the time of a fold over a Spark array.
+    Polarities count to nine decimals. With ``negation`` a word right after a
+    negator counts minus one half. The words of a text are looked up where the row
+    stands: no id, join or shuffle is needed, and a long text stays in its row.
+    Arrow batches take an eighth of the time of a fold over a Spark array. With
+    ``once`` the column is declared non-deterministic: a filter on it does not make
+    the optimizer compute it again, and no filter is moved below it.
     """
-    if len(lexicon) > MAX_LEXICON_WORDS:
-        raise ValueError(f"lexicon of {len(lexicon)} words exceeds {MAX_LEXICON_WORDS}")
     known = list(lexicon)
     # One more entry for words that are in no list.
-    steps = [round(value * UNITS / 2) for value in lexicon.values()] + [0]
-    gap, negators, units = WORD_GAP, list(NEGATORS), UNITS
+    steps = np.array([round(value * UNITS / 2) for value in lexicon.values()] + [0], np.int64)
+    spark = SparkSession.getActiveSession()
+    shared = spark.sparkContext.broadcast((known, steps))
+    weigh = _weigher(negation)
 
     @F.arrow_udf(T.DoubleType())
-    def mean(texts: pa.Array) -> pa.Array:
-        lists = pc.split_pattern_regex(pc.utf8_lower(texts.fill_null("")), pattern=gap)
-        words, starts = lists.flatten(), lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()
-        place = pc.index_in(words, value_set=pa.array(known, words.type))
-        value = np.array(steps)[pc.fill_null(place, len(known)).to_numpy(zero_copy_only=False)]
-        value *= 2
-        if negation:
-            turns = pc.or_(
-                pc.is_in(words, value_set=pa.array(negators, words.type)),
-                pc.ends_with(words, pattern="n't"),
-            ).to_numpy(zero_copy_only=False)
-            after = np.roll(turns, 1)
-            after[starts] = False
-            value = np.where(after, -value // 2, value)
-        total = np.add.reduceat(value, starts)
-        hits = np.add.reduceat(place.is_valid().to_numpy(zero_copy_only=False).astype(np.int64), starts)
-        return pa.array(total / np.maximum(hits * units, 1), mask=texts.is_null().to_numpy(zero_copy_only=False))
+    def mean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known, steps = shared.value
+        values = pa.array(known, pa.string())
+        for texts in batches:
+            words, starts, weight = weigh(texts)
+            place = pc.index_in(words, value_set=values.cast(words.type))
+            value = weight * steps[pc.fill_null(place, len(known)).to_numpy(zero_copy_only=False)]
+            total = np.add.reduceat(value, starts) if len(starts) else starts
+            hit = place.is_valid().to_numpy(zero_copy_only=False).astype(np.int64)
+            hits = np.add.reduceat(hit, starts) if len(starts) else starts
+            missing = texts.is_null().to_numpy(zero_copy_only=False)
+            yield pa.array(total / np.maximum(hits * UNITS, 1), mask=missing)
 
-    # Declared non-deterministic so that a filter on the result does not make
-    # the optimizer compute it a second time for the filter.
-    return mean.asNondeterministic()(text)
+    return (mean.asNondeterministic() if once else mean)(text)
+
+
+def joined_polarity(df: DataFrame, text: str, lexicon: DataFrame, name: str, negation: bool = True) -> DataFrame:
+    """The same as a column added by joins, for a lexicon (word, polarity) of any size.
+
+    A polarity depends on the text alone, so words are counted once per different
+    text, told apart by its SHA-256 digest.
+    """
+    weigh = _weigher(negation)
+
+    @F.arrow_udf("array<struct<word: string, weight: int>>")
+    def weighted(texts: pa.Array) -> pa.Array:
+        words, starts, weight = weigh(texts)
+        pairs = pa.StructArray.from_arrays(
+            [words.cast(pa.string()), pa.array(weight, pa.int32())], names=["word", "weight"]
+        )
+        offsets = pa.array(np.append(starts, len(words)), pa.int32())
+        return pa.ListArray.from_arrays(offsets, pairs)
+
+    digest = F.sha2(F.col(text), 256)
+    words = (
+        df.where(F.col(text).isNotNull())
+        .select(digest.alias("_digest"), F.col(text).alias("_text"))
+        .dropDuplicates(["_digest"])
+        .select("_digest", F.explode(weighted("_text")).alias("x"))
+        .groupBy("_digest", "x.word")
+        .agg(F.sum("x.weight").alias("weight"), F.count("*").alias("n"))
+    )
+    step = F.round(F.col("polarity") * (UNITS // 2)).cast("long")
+    known = lexicon.where("word is not null and polarity is not null").groupBy("word").agg(
+        F.max("polarity").alias("polarity")
+    )
+    sums = (
+        words.join(known, "word")
+        .groupBy("_digest")
+        .agg((F.sum(F.col("weight") * step) / (F.sum("n") * UNITS)).alias("_mean"))
+    )
+    value = F.when(F.col(text).isNotNull(), F.coalesce("_mean", F.lit(0.0)))
+    return (
+        df.withColumn("_digest", digest)
+        .join(sums, "_digest", "left")
+        .select(*(df[column] for column in df.columns if column != name), value.alias(name))
+    )
+
+
+def with_polarity(
+    df: DataFrame,
+    text: str,
+    name: str,
+    lexicon: Mapping[str, float] | DataFrame = POLARITY_WORDS,
+    negation: bool = True,
+    once: bool = False,
+) -> DataFrame:
+    """Add the polarity of a text; a lexicon given as a table is broadcast or joined by its size.
+
+    Of a word that the table has twice the higher polarity counts.
+    """
+    if isinstance(lexicon, DataFrame):
+        some = lexicon.where("word is not null and polarity is not null").select("word", "polarity")
+        if some.count() > MAX_BROADCAST_WORDS:
+            return joined_polarity(df, text, some, name, negation)
+        words = some.groupBy("word").agg(F.max("polarity").alias("polarity")).toArrow()
+        lexicon = dict(zip(words["word"].to_pylist(), words["polarity"].to_pylist()))
+    return df.withColumn(name, polarity(F.col(text), lexicon, negation, once))
 
 
 def with_sentiment(
     df: DataFrame,
     text: str = "tweet",
     name: str = "sentiment",
-    lexicon: Mapping[str, float] = POLARITY_WORDS,
+    lexicon: Mapping[str, float] | DataFrame = POLARITY_WORDS,
     negation: bool = True,
+    once: bool = False,
 ) -> DataFrame:
     """Add Positive, Neutral or Negative."""
-    return df.withColumn("_polarity", polarity(F.col(text), lexicon, negation)).select(
+    return with_polarity(df, text, "_polarity", lexicon, negation, once).select(
         *(column for column in df.columns if column != name),
         sign_label(F.col("_polarity")).alias(name),
     )

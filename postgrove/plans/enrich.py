@@ -15,15 +15,15 @@ from postgrove.schemas import ENRICHED_POST
 def enriched_posts(
     clean: DataFrame,
     model: LanguageModel,
-    lexicon: Mapping[str, float] = POLARITY_WORDS,
+    lexicon: Mapping[str, float] | DataFrame = POLARITY_WORDS,
     negation: bool = True,
 ) -> DataFrame:
     """Add language and sentiment; posts of no known language are dropped.
 
-    Both are computed row by row, without a shuffle. The language comes first,
-    so dropped posts get no sentiment pass.
+    Both are computed row by row, without a shuffle, and once, whatever filters
+    follow. The language comes first, so dropped posts get no sentiment pass.
     """
-    known = with_language(clean, model).where(F.col("language") != UNKNOWN_LANGUAGE)
-    return with_sentiment(known, lexicon=lexicon, negation=negation).select(
+    known = with_language(clean, model, once=True).where(F.col("language") != UNKNOWN_LANGUAGE)
+    return with_sentiment(known, lexicon=lexicon, negation=negation, once=True).select(
         *ENRICHED_POST.fieldNames()
     )

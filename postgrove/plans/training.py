@@ -7,7 +7,14 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Transformer
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import IndexToString, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    IndexToString,
+    OneHotEncoder,
+    OneHotEncoderModel,
+    StringIndexer,
+    StringIndexerModel,
+    VectorAssembler,
+)
 from pyspark.sql import Column, DataFrame, functions as F
 
 from postgrove.operators.terms import union_tagged
@@ -78,16 +85,20 @@ def feature_stages(features: tuple[tuple[str, str], ...]) -> list[Transformer]:
     inputs = [column[kind].format(name) for name, kind in features]
     return [
         *stages,
-        VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="skip"),
+        VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"),
     ]
 
 
 def incomplete(features: tuple[tuple[str, str], ...]) -> Column:
-    """Whether a row lacks a number and will therefore be skipped."""
+    """Whether a row lacks a number: it is not trained on and has no prediction."""
+    return _lacking([name for name, kind in features if kind == NUMBER])
+
+
+def _lacking(numbers: list[str]) -> Column:
     missing = F.lit(False)
-    for name, kind in features:
-        if kind == NUMBER:
-            missing = missing | F.col(name).isNull() | F.isnan(F.col(name).cast("double"))
+    for name in numbers:
+        value = F.col(name).cast("double")
+        missing = missing | value.isNull() | F.isnan(value) | (F.abs(value) == float("inf"))
     return missing
 
 
@@ -98,8 +109,9 @@ def train(
     seed: int = 0,
     trees: int = 20,
     depth: int = 5,
+    features_per_split: str = "auto",
 ) -> Trained:
-    """Fit a random forest on ``rows``.
+    """Fit a random forest on the ``rows`` that have a label and all numbers.
 
     The label is indexed outside the pipeline, so the model needs no label
     column to score, and has one class per label of the training rows. ``rows``
@@ -107,10 +119,11 @@ def train(
     stored table; the forest keeps its own compact copy for the tree levels.
     """
     columns = [name for name, _ in features]
-    rows = rows.select(*columns, label).where(F.col(label).isNotNull())
+    rows = rows.select(*columns, label).where(F.col(label).isNotNull() & ~incomplete(features))
     index = StringIndexer(inputCol=label, outputCol="_label").fit(rows)
     forest = RandomForestClassifier(
-        featuresCol="features", labelCol="_label", numTrees=trees, maxDepth=depth, seed=seed
+        featuresCol="features", labelCol="_label", numTrees=trees, maxDepth=depth, seed=seed,
+        featureSubsetStrategy=features_per_split,
     )
     fitted = Pipeline(stages=[*feature_stages(features), forest]).fit(index.transform(rows))
     decoder = IndexToString(inputCol="prediction", outputCol=PREDICTED, labels=index.labels)
@@ -118,8 +131,13 @@ def train(
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """``rows`` with the predicted class; rows lacking a number are skipped."""
-    return model.transform(rows).select(*rows.columns, PREDICTED)
+    """Every one of ``rows`` with the predicted class, NULL for a row that lacks a number."""
+    (assembler,) = [stage for stage in model.stages if isinstance(stage, VectorAssembler)]
+    made = {name for stage in model.stages if isinstance(stage, (StringIndexerModel, OneHotEncoderModel))
+            for name in stage.getOutputCols()}
+    numbers = [name for name in assembler.getInputCols() if name not in made]
+    known = F.when(~_lacking(numbers), F.col(PREDICTED)).alias(PREDICTED)
+    return model.transform(rows).select(*rows.columns, known)
 
 
 def accuracy(label: str = "sentiment") -> Column:
@@ -129,8 +147,10 @@ def accuracy(label: str = "sentiment") -> Column:
 
 
 def evaluate(model: PipelineModel, parts: dict[str, DataFrame], label: str = "sentiment") -> DataFrame:
-    """Rows and accuracy of each part."""
-    scored = union_tagged({name: score(model, part) for name, part in parts.items()}, "part")
+    """Of each part, the rows that can be scored and the accuracy on them."""
+    scored = union_tagged({name: score(model, part) for name, part in parts.items()}, "part").where(
+        F.col(PREDICTED).isNotNull()
+    )
     return scored.groupBy("part").agg(
         F.count("*").alias("rows"), accuracy(label).alias("accuracy")
     )

@@ -68,10 +68,14 @@ SCORE_REQUEST = _struct(
 
 @dataclass(frozen=True)
 class TableContract:
-    """Columns of a result table and the business key its rows are unique by."""
+    """Columns of a result table and the business key its rows are unique by.
+
+    Only key columns in ``null_keys`` may be NULL; NULL is then one key of its own.
+    """
 
     schema: T.StructType
     keys: tuple[str, ...]
+    null_keys: tuple[str, ...] = ()
 
 
 def _counts(key: str, *names: str) -> TableContract:
@@ -91,8 +95,9 @@ _CROSSED = (
 
 # Names, columns and keys of the result tables.
 CONTRACTS: dict[str, TableContract] = {
+    # Posts of an impossible date have no hour.
     "hour": TableContract(
-        _struct(hour=T.IntegerType(), trump=T.LongType(), biden=T.LongType()), ("hour",)
+        _struct(hour=T.IntegerType(), trump=T.LongType(), biden=T.LongType()), ("hour",), ("hour",)
     ),
     "state": TableContract(
         _struct(

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -30,17 +33,20 @@ def build_session(app_name: str) -> SparkSession:
 
 @functools.cache
 def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"postgrove-{application}-")
+    folder = tempfile.mkdtemp(prefix=f"postgrove-{application}-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name under the one the cluster names in spark.checkpoint.dir.
 
-    A machine-local folder is only used where there is a single machine.
+    A machine-local folder is only used where there is a single process; it is
+    removed when that ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = _local_folder(spark.sparkContext.applicationId)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -19,8 +19,8 @@ def read_csv(
     """CSV files with a declared schema, columns bound by position.
 
     ``multi_line`` lets quoted text hold line ends, at the price of one task
-    per file: for many files of ordinary size. For single very large files use
-    :func:`postgrove.sources.records.read_csv_records`. ``file_column`` names a
+    per file: raw CSV is read once, in many files of ordinary size, and kept as
+    Parquet from then on. Without it files are split. ``file_column`` names a
     column for the path each row came from.
     """
     reader = spark.read.schema(schema).options(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from postgrove.schemas import TableContract
@@ -11,10 +13,13 @@ from postgrove.schemas import TableContract
 class KeyedTable:
     """A table in which a later row replaces an earlier one with the same key.
 
-    Every upsert writes its own folder and never touches older ones; reading
-    keeps the newest row of each key. An upsert so costs what it brings, not
-    what the table holds, and repeating one after a failure replaces its
-    folder instead of adding rows. One writer at a time.
+    Every upsert writes a folder ``version=N`` of its own and never touches older
+    ones; reading keeps the newest row of each key. An upsert so costs what it
+    brings, not what the table holds, and repeating a version after a failure
+    replaces its folder instead of adding rows. ``compact`` folds all versions so
+    far into a folder ``base-N``; once that is complete, readers start from it and
+    read only newer versions. Folders it makes needless are left for the owner to
+    remove, as a reader may still be using them. One writer at a time.
     """
 
     def __init__(self, spark: SparkSession, path: str, contract: TableContract):
@@ -22,31 +27,69 @@ class KeyedTable:
         self.path = path.rstrip("/")
         self.contract = contract
 
-    def upsert(self, df: DataFrame, version: int) -> None:
-        """Write ``df`` as ``version``; higher versions win over lower ones."""
+    def upsert(self, df: DataFrame, version: int | None = None) -> int:
+        """Write ``df`` as ``version``, by default the next one; higher versions win over lower ones."""
+        base, versions = self._folders()
+        if version is None:
+            version = max([-1 if base is None else base, *versions]) + 1
         if version < 0:
             raise ValueError("version must not be negative")
+        if base is not None and version <= base:
+            raise ValueError(f"version {version} is already folded into base {base}")
         columns = [self._checked(field) for field in self.contract.schema]
         df.select(*columns).write.mode("overwrite").parquet(f"{self.path}/version={version}")
+        return version
 
     def _checked(self, field: T.StructField) -> Column:
         value = F.col(field.name).cast(field.dataType)
-        if field.name in self.contract.keys:
+        if field.name in self.contract.keys and field.name not in self.contract.null_keys:
             message = F.lit(f"NULL in key column {field.name}")
             value = F.coalesce(value, F.raise_error(message).cast(field.dataType))
         return value.alias(field.name)
 
+    def _folders(self) -> tuple[int | None, list[int]]:
+        """The newest complete base, and the versions."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        store = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not store.exists(path):
+            return None, []
+        names = [entry.getPath().getName() for entry in store.listStatus(path)]
+        done = "_SUCCESS"
+        bases = [
+            int(name[5:])
+            for name in names
+            if re.fullmatch(r"base-\d+", name)
+            and store.exists(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}/{done}"))
+        ]
+        versions = sorted(int(name[8:]) for name in names if re.fullmatch(r"version=\d+", name))
+        return max(bases, default=None), versions
+
+    def compact(self) -> None:
+        """Fold everything into a new base; does nothing if there is nothing to fold."""
+        base, versions = self._folders()
+        newest = max(versions, default=None)
+        if newest is not None and (base is None or newest > base):
+            self.read().write.mode("overwrite").parquet(f"{self.path}/base-{newest}")
+
     def read(self) -> DataFrame:
-        """The newest row of every key."""
-        schema = T.StructType(self.contract.schema.fields + [T.StructField("version", T.LongType())])
-        try:
-            rows = self.spark.read.schema(schema).parquet(self.path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        """The newest row of every key; NULL is a key like any other where the contract allows it."""
+        base, versions = self._folders()
+        names = self.contract.schema.fieldNames()
+        parts = []
+        if base is not None:
+            rows = self.spark.read.schema(self.contract.schema).parquet(f"{self.path}/base-{base}")
+            parts.append(rows.withColumn("version", F.lit(base).cast("long")))
+        newer = [f"{self.path}/version={n}" for n in versions if base is None or n > base]
+        if newer:
+            schema = T.StructType(self.contract.schema.fields + [T.StructField("version", T.LongType())])
+            reader = self.spark.read.schema(schema).option("basePath", self.path)
+            parts.append(reader.parquet(*newer))
+        if not parts:
             return self.spark.createDataFrame([], self.contract.schema)
+        rows = reduce(DataFrame.unionByName, parts)
+        if base is not None and not newer:
+            return rows.select(*names)
         keys = list(self.contract.keys)
-        names = self.contract.schema.fieldNames()
         rest = [name for name in names if name not in keys]
         newest = rows.groupBy(*keys).agg(F.max(F.struct("version", *rest)).alias("_row"))
         return newest.select(

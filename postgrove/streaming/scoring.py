@@ -3,22 +3,32 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from postgrove.functions.codec import decode_json, encode_json
-from postgrove.plans.training import PREDICTED
+from postgrove.functions.codec import decode_one_object, encode_json
+from postgrove.plans.training import PREDICTED, score
 from postgrove.schemas import SCORE_REQUEST
 from postgrove.sources.messages import Sink
 
 
 def parse_requests(messages: DataFrame) -> DataFrame:
-    """Request fields of each message, and why it cannot be scored, if so."""
-    parsed = messages.select("value", decode_json(F.col("value"), SCORE_REQUEST).alias("_request"))
-    fields = SCORE_REQUEST.fieldNames()
-    missing = F.array_compact(
-        F.array(*(F.when(F.col(f"_request.{name}").isNull(), F.lit(name)) for name in fields))
-    )
+    """Request fields of each message, and why it cannot be scored, if so.
+
+    A message is one JSON object and nothing besides. NaN and infinite numbers
+    count as missing, so every message has an answer or a reason.
+    """
+    request = decode_one_object(F.col("value"), SCORE_REQUEST)
+    parsed = messages.select("value", request.alias("_request"))
+
+    def missing_field(field: T.StructField) -> Column:
+        value = F.col(f"_request.{field.name}")
+        gone = value.isNull()
+        if isinstance(field.dataType, T.DoubleType):
+            gone = gone | F.isnan(value) | (F.abs(value) == float("inf"))
+        return F.when(gone, F.lit(field.name))
+
+    missing = F.array_compact(F.array(*(missing_field(field) for field in SCORE_REQUEST)))
     reason = F.when(
         F.size(missing) > 0, F.concat(F.lit("missing or malformed: "), F.array_join(missing, ", "))
     )
@@ -27,7 +37,7 @@ def parse_requests(messages: DataFrame) -> DataFrame:
 
 def responses(requests: DataFrame, model: PipelineModel) -> DataFrame:
     """``{"uuid", "prediction"}`` for every request that can be scored."""
-    scored = model.transform(requests.where(F.col("reason").isNull()).drop("value", "reason"))
+    scored = score(model, requests.where(F.col("reason").isNull()).drop("value", "reason"))
     return scored.select(encode_json("uuid", F.col(PREDICTED).alias("prediction")).alias("value"))
 
 

@@ -20,7 +20,7 @@ WORDS = {
 def buckets_of(text, buckets):
     letters, space = [], True
     for char in text:
-        lower = char.lower()[0] if char.isalpha() and ord(char) < 0x10000 else None
+        lower = char.lower()[0] if char.isalpha() else None
         if lower:
             letters.append(ord(lower))
         elif not letters or letters[-1] != 32:
@@ -32,23 +32,33 @@ def buckets_of(text, buckets):
 
 
 def train_by_hand(rows, buckets):
-    counts, docs = defaultdict(Counter), Counter()
+    counts, docs, letters = defaultdict(Counter), Counter(), defaultdict(set)
     for text, code in rows:
         if code is not None:
             docs[code] += 1
             counts[code].update(buckets_of(text or "", buckets))
-    return counts, docs
+            letters[code].update(letters_of(text))
+    return counts, docs, letters
 
 
-def classify_by_hand(text, counts, docs, buckets):
-    found = buckets_of(text or "", buckets)
-    if not any(c[b] for b in found for c in counts.values()):
+def letters_of(text):
+    return [char.lower()[0] for char in text or "" if char.isalpha()]
+
+
+def classify_by_hand(text, counts, docs, letters, buckets):
+    found, own = buckets_of(text or "", buckets), letters_of(text)
+    written = [
+        code
+        for code in sorted(docs)
+        if own and sum(c in letters[code] for c in own) >= language.LETTER_SHARE * len(own)
+    ]
+    if not found or not written:
         return None
     def score(code):
         total = sum(counts[code].values()) + buckets
         prior = math.log((docs[code] + 1) / (sum(docs.values()) + len(docs)))
         return prior + sum(math.log((counts[code][b] + 1) / total) for b in found)
-    return max(sorted(docs), key=score)
+    return max(written, key=score)
 
 
 def sample(seed, n):
@@ -62,14 +72,15 @@ def sample(seed, n):
     return rows
 
 
-EDGES = ["", None, "a", "ab", "the", "😀😀😀", "1 2 3", "漢字漢字", "x" * 50_000]
+EDGES = ["", None, "a", "ab", "the", "😀😀😀", "1 2 3", "漢字漢字", "x" * 50_000, "привет как дела",
+         "the and ψψψψψψψψψψ", "𝒜𝒷𝒸 𐐀𐐁 the", "𐐀𐐁𐐂"]
 
 
 @pytest.mark.parametrize("buckets", [1 << 16, 97])
 def test_model_equals_plain_counting(spark, monkeypatch, buckets):
     rows = sample(1, 300) + [("", "en"), (None, "en"), ("unlabelled", None)]
     df = spark.createDataFrame(rows, "text string, lang string").repartition(3)
-    counts, docs = train_by_hand(rows, buckets)
+    counts, docs, letters = train_by_hand(rows, buckets)
     model = LanguageModel.fit(df, buckets=buckets)
     assert model.codes == sorted(docs)
     for code, row in zip(model.codes, model.counts):
@@ -81,7 +92,7 @@ def test_model_equals_plain_counting(spark, monkeypatch, buckets):
             "text", model.code(F.col("text")).alias("code")
         )
         for row in scored.collect():
-            assert row.code == classify_by_hand(row.text, counts, docs, buckets), row.text
+            assert row.code == classify_by_hand(row.text, counts, docs, letters, buckets), row.text
 
 
 def test_held_out_documents(spark):
@@ -104,10 +115,43 @@ def test_saved_model_and_names(spark, tmp_path):
     assert "Exchange hashpartitioning" not in plan
 
 
-def test_too_many_languages_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(language, "MAX_LANGUAGES", 2)
+def test_languages_beyond_what_a_task_holds(spark, monkeypatch):
+    df = spark.createDataFrame(sample(3, 200), "text string, lang string")
+    whole = LanguageModel.fit(df)
+    monkeypatch.setattr(language, "HELD_LANGUAGES", 1)
+    parts = LanguageModel.fit(df.repartition(5))
+    assert parts.codes == whole.codes and (parts.counts == whole.counts).all()
     with pytest.raises(ValueError):
-        LanguageModel.fit(spark.createDataFrame(sample(3, 50), "text string, lang string"))
+        LanguageModel.fit(df.where("lang is null"))
+
+
+def test_scripts_never_trained_have_no_language(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = LanguageModel.fit(docs)
+    other = ["Καλημέρα σε όλους τους φίλους", "Доброе утро, как дела", "おはようございます世界", "صباح الخير يا عالم"]
+    df = spark.createDataFrame([(x,) for x in other], "tweet string")
+    assert {r.language for r in with_language(df, model).collect()} == {"Unknown Language"}
+
+
+def test_filters_on_other_columns_reach_the_scan(spark, tmp_path):
+    rows = [("the and that", "web", "en"), ("und nicht", "app", "de")]
+    spark.createDataFrame(rows, "tweet string, source string, lang string").write.parquet(f"{tmp_path}/t")
+    posts = spark.read.parquet(f"{tmp_path}/t")
+    model = LanguageModel.fit(posts, "tweet")
+    for made in (with_language(posts, model), sentiment.with_sentiment(posts)):
+        plan = made.where("source = 'web'")._jdf.queryExecution().executedPlan().toString()
+        assert "EqualTo(source,web)" in plan.split("PushedFilters")[1]
+
+
+def test_enrichment_evaluates_each_model_once(spark):
+    from postgrove.plans import enrich
+    from postgrove.schemas import CLEAN_POST
+
+    model = LanguageModel.fit(spark.createDataFrame(sample(3, 50), "text string, lang string"))
+    posts = enrich.enriched_posts(spark.createDataFrame([], CLEAN_POST), model)
+    kept = posts.where("language = 'German' and sentiment = 'Neutral'")
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("EvalPython") == 2
 
 
 def polarity_by_hand(text, lexicon, negation):
@@ -120,15 +164,16 @@ def polarity_by_hand(text, lexicon, negation):
     for before, word in zip([""] + words, words):
         if word in lexicon:
             turned = negation and (before in sentiment.NEGATORS or before.endswith("n't"))
-            total += round(lexicon[word] * 1000) * (-1 if turned else 2)
+            total += round(lexicon[word] * 10**9) * (-1 if turned else 2)
             hits += 1
-    return total / (2000 * hits) if hits else 0.0
+    return total / (2 * 10**9 * hits) if hits else 0.0
 
 
 @pytest.mark.parametrize("negation", [True, False])
 def test_polarity_equals_plain_python(spark, negation):
     rng = random.Random(7)
-    lexicon = {"good": 0.7, "bad": -0.7, "fine": 0.1, "meh": -0.1, "ok": 0.2, "grün": 0.3, "zero": 0.0}
+    lexicon = {"good": 0.7, "bad": -0.7, "fine": 0.1, "meh": -0.1, "ok": 0.2, "grün": 0.3, "zero": 0.0,
+               "faint": 0.0004, "tiny": -0.00001}
     pool = list(lexicon) + ["not", "isn't", "never", "the", "GOOD", "Grün", "don't", "goods"]
     texts = ["", None, "not", "good", "not good", "good bad", "Not. Bad!", "fine ok meh meh meh meh",
              "'good", "no\nfine"]
@@ -138,6 +183,11 @@ def test_polarity_equals_plain_python(spark, negation):
     got = df.select("t", sentiment.polarity(F.col("t"), lexicon, negation).alias("p"))
     for row in got.collect():
         assert row.p == polarity_by_hand(row.t, lexicon, negation), row.t
+    words = spark.createDataFrame([*lexicon.items(), ("good", 0.1), (None, 1.0)], "word string, polarity double")
+    joined = sentiment.joined_polarity(df, "t", words, "p", negation)
+    assert joined.columns == ["t", "p"] and joined.count() == len(texts)
+    for row in joined.collect():
+        assert row.p == polarity_by_hand(row.t, lexicon, negation), row.t
 
 
 def test_sentiment_labels(spark):
@@ -148,6 +198,14 @@ def test_sentiment_labels(spark):
     assert got == ["Positive", "Negative", "Neutral", "Neutral", None]
 
 
-def test_a_huge_lexicon_is_refused(spark):
-    with pytest.raises(ValueError):
-        sentiment.polarity(F.lit("x"), {str(i): 0.1 for i in range(sentiment.MAX_LEXICON_WORDS + 1)})
+def test_a_lexicon_table_of_any_size(spark, monkeypatch):
+    letters = F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")
+    words = spark.range(150_000).select(letters.alias("word"), (F.col("id") / 1e6).alias("polarity"))
+    df = spark.createDataFrame([("bcd and zzz",), ("not beeeee",), (None,), ("zz",)], "t string")
+    expected = [0.000123, -0.5 * 0.144444, None, 0.0]
+    for most in (1_000_000, 10):
+        monkeypatch.setattr(sentiment, "MAX_BROADCAST_WORDS", most)
+        got = {r.t: r.p for r in sentiment.with_polarity(df, "t", "p", words).collect()}
+        assert [got[r.t] for r in df.collect()] == expected
+    label = sentiment.with_sentiment(df, "t", lexicon={"bcd": 0.0004}).head().sentiment
+    assert label == "Positive"

@@ -51,12 +51,22 @@ def test_single_precision_points_are_widened(spark):
 def test_no_shuffle_within_the_bound_and_same_rows_beyond(spark, monkeypatch):
     df = spark.createDataFrame(points(), "lat double, long double")
     plan = geo.box_match(df)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    # The points are not moved; only the cells, on the other side, are put together.
+    points_side = plan.split("BroadcastExchange")[0]
+    assert "BroadcastHashJoin" in points_side and "Exchange" not in points_side
     expected = sorted(map(tuple, geo.box_match(df).na.fill("-").collect()))
     monkeypatch.setattr(geo, "MAX_BROADCAST_CELLS", 1)
     assert sorted(map(tuple, geo.box_match(df).na.fill("-").collect())) == expected
 
 
+def test_fine_cells_are_made_in_spark(spark):
+    some = points()[:300]
+    df = spark.createDataFrame(some, "lat double, long double")
+    assert geo.cell_count(REGION_BOXES, 0.1) > geo.MAX_BROADCAST_CELLS
+    for row in geo.box_match(df, cell=0.1).collect():
+        assert row.state == brute_force(row.lat, row.long, REGION_BOXES), row
+
+
 def test_existing_column_is_replaced(spark):
     df = spark.createDataFrame([("x", 36.0, -120.0)], "state string, lat double, long double")
     assert geo.box_match(df, boxes=[Box("Here", 35, 37, -121, -119)]).select("state").head()[0] == "Here"

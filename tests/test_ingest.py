@@ -139,3 +139,25 @@ def test_contracts_accept_the_reports(spark, tmp_path):
         stored.upsert(df, 0)
         stored.upsert(df, 1)
         assert stored.read().count() == df.count()
+
+
+def test_versions_count_up_and_fold(spark, tmp_path):
+    contract = TableContract(CONTRACT.schema, ("k",), ("k",))
+    stored = KeyedTable(spark, str(tmp_path / "t"), contract)
+    assert stored.upsert(frame(spark, ("x", "a", 1), ("x", None, 1))) == 0
+    assert stored.upsert(frame(spark, ("y", "b", 2), ("y", None, 2))) == 1
+    before = sorted(map(str, stored.read().collect()))
+    stored.compact()
+    stored.compact()
+    assert sorted(map(str, stored.read().collect())) == before and len(before) == 3
+    with pytest.raises(ValueError, match="already folded"):
+        stored.upsert(frame(spark, ("z", "c", 3)), 1)
+    assert stored.upsert(frame(spark, ("z", "b", 3))) == 2
+    rows = {r.k: r.n for r in stored.read().collect()}
+    assert rows == {"a": 1, "b": 3, None: 2}
+    # Folded versions are not read again.
+    read = {path for path in stored.read().inputFiles()}
+    assert read and all("/base-1/" in path or "/version=2/" in path for path in read)
+    # A base that was not finished is not used.
+    (tmp_path / "t" / "base-2").mkdir()
+    assert {r.k: r.n for r in stored.read().collect()} == rows

@@ -51,6 +51,9 @@ def test_forest_layout_and_accuracy(posts):
     assert forest.numClasses == 3 and forest.getNumTrees == 20
     assert forest.numFeatures == 3 + 1 + 2 + 2
     assert sorted(made.labels) == ["Negative", "Neutral", "Positive"]
+    scored = training.score(made.model, posts)
+    assert scored.count() == posts.count() == 402
+    assert [r.online_age for r in scored.where("predicted is null").collect()] == [None]
     result = {r.part: r for r in training.evaluate(made.model, {"all": posts}).collect()}
     assert result["all"].rows == 401 and result["all"].accuracy > 0.9
     assert posts.where(training.incomplete(training.POST_FEATURES)).count() == 1
@@ -77,7 +80,9 @@ def request(uuid, **changes):
 GOOD = [request("a"), request("b", hour=20.0), request("c", language="Klingon"), request("a")]
 BAD = [
     "not json", "{", request("d", hour="absent"), request("e", online_age=None),
-    request("absent"), request("f", hour="eight"), "[]", '"text"',
+    request("absent"), request("f", hour="eight"), "[]", '"text"', request("g", hour="NaN"),
+    request("h").replace("13", "NaN"), request("i").replace("13", "-Infinity"), request("j") + " more",
+    request("k") + request("k"), "[" + request("l") + "]", request("m") + "]", request("n") + "}",
 ]
 
 
@@ -120,3 +125,31 @@ def test_stream_gives_what_the_batch_gives(spark, trained, tmp_path):
     parsed = scoring.parse_requests(spark.createDataFrame([(b,) for b in bodies], "value string"))
     batch = training.score(trained.model, parsed).collect()
     assert {a["uuid"]: a["prediction"] for a in answers} == {r.uuid: r.predicted for r in batch}
+
+
+def test_a_failing_batch_stops_the_query_and_is_repeated_once(spark, trained, tmp_path):
+    """A sink that fails in the second batch: the restart answers that batch, and no other again."""
+    class Failing(Sink):
+        def write(self, rows, batch_id):
+            if batch_id == 1 and not (tmp_path / "mended").exists():
+                raise OSError("sink is gone")
+            super().write(rows, batch_id)
+
+    (tmp_path / "in").mkdir()
+
+    def serve():
+        scoring.start_scoring(
+            read_messages(spark, "text", path=f"{tmp_path}/in"), trained.model,
+            Failing("text", f"{tmp_path}/out"), Sink("text", f"{tmp_path}/dead"),
+            f"{tmp_path}/checkpoint", trigger={"availableNow": True},
+        ).awaitTermination()
+        return sorted(json.loads(r.value)["uuid"] for r in spark.read.text(f"{tmp_path}/out").collect())
+
+    (tmp_path / "in" / "1.txt").write_text(request("a") + "\n")
+    assert serve() == ["a"]
+    (tmp_path / "in" / "2.txt").write_text(request("b") + "\n")
+    with pytest.raises(Exception, match="sink is gone"):
+        serve()
+    assert [json.loads(r.value)["uuid"] for r in spark.read.text(f"{tmp_path}/out").collect()] == ["a"]
+    (tmp_path / "mended").write_text("")
+    assert serve() == ["a", "b"] and serve() == ["a", "b"]

@@ -1,3 +1,6 @@
+import os
+import subprocess
+import sys
 from types import SimpleNamespace
 
 import pytest
@@ -16,8 +19,10 @@ def test_shared_folder_is_the_one_the_cluster_names(spark):
     named = session("spark://host:1", **{"spark.checkpoint.dir": "/shared/"})
     assert shared_folder(named, "a").startswith("/shared/a-")
     assert shared_folder(named, "a") != shared_folder(named, "a")
-    with pytest.raises(ValueError):
-        shared_folder(session("spark://host:1"), "a")
+    for master in ("spark://host:1", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            shared_folder(session(master), "a")
+    assert shared_folder(session("local[*]"), "a").startswith("/")
     assert shared_folder(spark, "a").startswith("/")
 
 
@@ -27,3 +32,31 @@ def test_spread_moves_rows_only_where_cores_would_idle(spark, parts):
     plan = spread(df)._jdf.queryExecution().executedPlan().toString()
     assert ("RoundRobin" in plan) == (parts < spark.sparkContext.defaultParallelism)
     assert spread(df).agg(F.sum("id")).head()[0] == 4950
+
+
+def test_executors_need_no_copy_of_the_package(tmp_path):
+    """Queries with Python in their tasks, from an empty folder and with the package on the driver alone."""
+    script = """
+import sys
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local-cluster[1,2,1024]").config("spark.ui.enabled", "false").config(
+    "spark.checkpoint.dir", "file://" + sys.argv[2]).config("spark.sql.shuffle.partitions", "2").config(
+    "spark.sql.session.timeZone", "UTC").getOrCreate()
+sys.path.insert(0, sys.argv[1])
+from catalog.queries import QUERIES
+for name in ("language_id", "enrich_posts", "text_clean", "tokens", "sentiment_label"):
+    assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0, name
+def has_package(rows):
+    import importlib.util
+    yield importlib.util.find_spec("postgrove") is not None
+assert not any(spark.sparkContext.parallelize([0], 1).mapPartitions(has_package).collect())
+print("done")
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    (tmp_path / "shared").mkdir()
+    done = subprocess.run(
+        [sys.executable, "-c", script, root, str(tmp_path / "shared")], cwd=tmp_path, env=env,
+        capture_output=True, text=True, timeout=300,
+    )
+    assert done.stdout.strip().endswith("done"), done.stderr[-2000:]
