@@ -44,27 +44,47 @@ def _tokenizer(definition: str) -> Callable[[list[str]], list[np.ndarray]]:
 
     A byte-level pattern never joins a space that stands alone between two other
     characters with what is before it, so texts are cut there, and the library
-    encodes each distinct cut once.
+    encodes each distinct cut once. It is given many cuts as one text; as tokens of
+    a byte-level vocabulary stand for bytes, their lengths tell where a cut ends.
     """
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_str(definition)
     library.encode_special_tokens = True
     cut = re.compile(r"(?<=\S) (?=\S)")
+    # Without white space beside a space, and of other kinds than these, all spaces stand alone.
+    other, beside = re.compile(r"[^\S \n]"), ("  ", " \n", "\n ")
+    size = library.get_vocab_size()
+    bytes_of = np.array([len(library.id_to_token(i) or "") for i in range(size)])
     remembered: dict[str, bytes] = {}
-    most = MAX_REMEMBERED
+    most, together = MAX_REMEMBERED, 256
+
+    def split(text: str) -> list[str]:
+        plain = text.strip() == text and not other.search(text) and not any(x in text for x in beside)
+        first, *rest = text.split(" ") if plain else cut.split(text)
+        # What follows a cut begins with its space; the first part does not.
+        return [first, *[" " + part for part in rest]]
+
+    def learn(parts: list[str]) -> None:
+        joined = [x for x in parts if x[:1] == " " and not x[1:2].isspace() and not x[-1].isspace()]
+        alone = list(set(parts).difference(joined))
+        for part, found in zip(alone, library.encode_batch_fast(alone, add_special_tokens=False)):
+            remembered[part] = np.array(found.ids, "<u4").tobytes()
+        groups = [joined[i : i + together] for i in range(0, len(joined), together)]
+        found = library.encode_batch_fast(["".join(x) for x in groups], add_special_tokens=False)
+        for group, encoding in zip(groups, found):
+            ids = np.array(encoding.ids, "<u4")
+            ends = np.cumsum([len(x.encode("utf-8")) for x in group])
+            edges = 4 * np.concatenate(([0], np.searchsorted(np.cumsum(bytes_of[ids]), ends) + 1))
+            data, edges = ids.tobytes(), edges.tolist()
+            for part, start, stop in zip(group, edges, edges[1:]):
+                remembered[part] = data[start:stop]
 
     def encode(texts: list[str]) -> list[np.ndarray]:
         if len(remembered) > most:
             remembered.clear()
-        parts = []
-        for text in texts:
-            first, *rest = cut.split(text)
-            # What follows a cut begins with its space; the first part does not.
-            parts.append([first, *[" " + part for part in rest]])
-        new = list({part for own in parts for part in own if part not in remembered})
-        for part, found in zip(new, library.encode_batch_fast(new, add_special_tokens=False)):
-            remembered[part] = np.array(found.ids, "<u4").tobytes()
+        parts = [split(text) for text in texts]
+        learn(list({part for own in parts for part in own}.difference(remembered)))
         return [np.frombuffer(b"".join([remembered[part] for part in own]), "<u4") for own in parts]
 
     return encode
