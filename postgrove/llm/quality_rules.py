@@ -25,6 +25,8 @@ from postgrove.llm.words import U64, Words, mixed, slices, windows
 BUCKETS = 1 << 16
 SMOOTHING = 1.0
 THRESHOLD = -0.5
+# About 32 bytes each in an executor.
+MAX_BROADCAST_IDS = 5_000_000
 MIN_WORDS, REPEAT_WINDOW, REPEAT_PERCENT = 10, 5, 20
 
 Batches = Iterator[pa.RecordBatch]
@@ -69,12 +71,15 @@ def weights(
 ) -> np.ndarray:
     """Log-likelihood ratio of every bucket, from all of ``docs``.
 
-    ``trusted`` holds the ids of the trusted rows. Tasks send at most ``buckets``
+    ``trusted`` holds the ids of the trusted rows. Up to a number their ids go to
+    the texts, beyond it the join moves the texts. Tasks send at most ``buckets``
     sums, and the driver gets as many. Without any trusted text all ratios are 0.
     """
     marked = trusted.select(F.col(id).alias("_id")).where("_id is not null").distinct()
+    few = marked.count() <= MAX_BROADCAST_IDS
+    marked = marked.withColumn("_good", F.lit(True))
     rows = docs.select(F.col(id).alias("_id"), F.col(text).alias("_text")).join(
-        marked.withColumn("_good", F.lit(True)), "_id", "left"
+        F.broadcast(marked) if few else marked, "_id", "left"
     )
     counts = (
         rows.select("_text", "_good")
