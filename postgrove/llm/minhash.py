@@ -137,12 +137,15 @@ def _comparer(
 ) -> Callable[[pa.Table], pa.Table]:
     """Of some pieces of buckets, the pairs that the full sets must decide."""
 
-    def shared_at_least(one: np.ndarray, two: np.ndarray) -> int:
-        # Of repeated values, as many count as both sides have.
-        values, count = np.unique(one, return_counts=True)
-        others, number = np.unique(two, return_counts=True)
-        _, i, j = np.intersect1d(values, others, assume_unique=True, return_indices=True)
-        return int(np.minimum(count[i], number[j]).sum())
+    def met_before(equal: np.ndarray, key: int, choices: list[list[int]]) -> np.ndarray:
+        """Which pairs share a key of a lower number, from their equal symbols."""
+        each = len(choices) // chunks
+        at, first = key // each, key // each * each
+        alike = equal.reshape(len(equal), chunks, chunk)[:, :at].sum(axis=2)
+        met = (alike >= chunk - errors).any(axis=1)
+        for kept in choices[first:key]:
+            met |= equal[:, kept].all(axis=1)
+        return met
 
     def compare(rows: pa.Table) -> pa.Table:
         choices = _choices(chunks, chunk, errors)
@@ -158,11 +161,12 @@ def _comparer(
         all_sizes = np.array([len(x) for x in lows])
         turn = (np.diff(all_keys) != 0) | (np.diff(low_parts) != 0) | (np.diff(high_parts) != 0)
         starts = [0, *(np.flatnonzero(turn) + 1)]
+        own = np.zeros(1 << 16, bool)
         a, b = [], []
         for start, stop in zip(starts, [*starts[1:], len(ids)]):
             here = slice(start, stop)
             matrix, group, sizes, part = signatures[here], groups[here], all_sizes[here], parts[here]
-            before = choices[: int(all_keys[start]) & low]
+            number = int(all_keys[start]) & low
             same = low_parts[start] == high_parts[start]
             left = np.flatnonzero(part == low_parts[start])
             right = np.flatnonzero(part == high_parts[start])
@@ -173,15 +177,19 @@ def _comparer(
                 near &= (group[right] != group[i]) & (100 * small >= percent * large)
                 if same:
                     near &= right > i
-                for at in np.flatnonzero(near):
-                    # A pair that shares several buckets is compared in the first one.
-                    if any(equal[at, kept].all() for kept in before):
-                        continue
-                    j = start + right[at]
-                    both = shared_at_least(lows[start + i], lows[j])
-                    if 100 * both >= percent * (sizes[i] + all_sizes[j] - both):
-                        a.append(min(ids[start + i], ids[j]))
-                        b.append(max(ids[start + i], ids[j]))
+                near = np.flatnonzero(near)
+                # A pair that shares several buckets is compared in the first one.
+                near = near[~met_before(equal[near], number, choices)]
+                if not len(near):
+                    continue
+                own[lows[start + i]] = True
+                others = start + right[near]
+                edges = np.cumsum([0, *all_sizes[others][:-1]])
+                both = np.add.reduceat(own[np.concatenate([lows[j] for j in others])].astype(np.int64), edges)
+                own[lows[start + i]] = False
+                for j in others[100 * both >= percent * (sizes[i] + all_sizes[others] - both)]:
+                    a.append(min(ids[start + i], ids[j]))
+                    b.append(max(ids[start + i], ids[j]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return compare
