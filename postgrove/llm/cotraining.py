@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from postgrove.llm.stored import layout
+from postgrove.llm.stored import layout, small_batches
 from postgrove.llm.words import U64, Words, lowered, mixed, slices
 
 # The bound of the sample, and how it is used.
@@ -216,6 +216,7 @@ def train(
     Rows of ``labels`` without id or label are left out, and of several for an id
     the lowest counts. The sample is the rows of lowest hash, the same in every run.
     """
+    small_batches(docs.sparkSession)
     rows = _columns(docs, id, text, source, lang, chars).where("id is not null")
     known = (
         labels.where(F.col(id).isNotNull() & F.col(label).isNotNull())
@@ -284,6 +285,7 @@ def classify(
     kept. Whole texts are read; repeated rows get equal scores; an empty table
     gives an empty result.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = _columns(docs, id, text, source, lang, chars)
     columns = layout(

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from postgrove.llm.stored import layout
+from postgrove.llm.stored import layout, small_batches
 from postgrove.llm.words import MIX_C, U64, mixed, slices
 
 DIMENSIONS = 1024
@@ -122,6 +122,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", dimensions: i
     """
     if dimensions % 64:
         raise ValueError("dimensions must be a multiple of 64")
+    small_batches(docs.sparkSession)
     sums = (
         docs.where(F.col(lang).isNotNull())
         .select(F.col(text).alias("text"), F.col(lang).alias("lang"))
@@ -175,6 +176,7 @@ def identify(docs: DataFrame, profiles: Profiles, id: str = "doc_id", text: str
     an id are allowed, other columns are not read, and an empty table gives an
     empty result.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(profiles)
     columns = layout(docs.schema[id].dataType, "lang_pred string, score double")
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))

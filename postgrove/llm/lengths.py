@@ -14,6 +14,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from postgrove.llm.stored import small_batches
+
 # Lengths that are summed in one task of the suffix sums.
 SPAN = 4096
 
@@ -51,6 +53,7 @@ def histogram(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str
     A NULL or empty text has length 0. Every row counts, repeated rows too; no
     other column is read. An empty table has an empty histogram.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((pattern, ranks))
     return (
         docs.select(text)

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from postgrove.llm.stored import components, stored
+from postgrove.llm.stored import components, small_batches, stored
 from postgrove.llm.words import U64, Words, lowered, mixed, numbers, slices, windows
 
 WIDTH = 4
@@ -223,6 +223,7 @@ def near_duplicates(
     kept, and has no component. Repeated rows come back as often as they came in.
     Other columns are not read. An empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     layout = "id bigint, n_shingles bigint, one bigint, two bigint, signature binary"
     sketches = stored(rows.mapInArrow(_sketcher(width, chunks * chunk), layout), "sketches")

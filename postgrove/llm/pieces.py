@@ -23,10 +23,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from postgrove.llm.stored import small_batches
+
 SPACE = "▁"
 PENALTY = 10.0
 # Distinct cuts remembered by a task; then it starts anew.
-MAX_REMEMBERED = 300_000
+MAX_REMEMBERED = 200_000
+# Texts or lists of ids worked on at a time: ids are several times a text's size.
+ROWS_AT_ONCE = 256
 
 Batches = Iterator[pa.RecordBatch]
 
@@ -173,9 +177,8 @@ def _encoding(shared) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         encode = encoder(shared.value)
         for batch in batches:
-            # Small batches of long texts: ids are several times a text's size.
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(start, ROWS_AT_ONCE)
                 texts = part.column(part.num_columns - 1)
                 ids = [None if x is None else encode(x) for x in texts.to_pylist()]
                 names = [*part.schema.names[:-1], "ids"]
@@ -188,12 +191,14 @@ def _decoding(shared) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         decode = decoder(shared.value)
         for batch in batches:
-            lists = batch.column(batch.num_columns - 1)
-            texts = [
-                None if not x.is_valid else decode(x.values.to_numpy(zero_copy_only=False)) for x in lists
-            ]
-            names = [*batch.schema.names[:-1], "text"]
-            yield pa.record_batch([*batch.columns[:-1], pa.array(texts, pa.string())], names=names)
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(start, ROWS_AT_ONCE)
+                texts = [
+                    None if not x.is_valid else decode(x.values.to_numpy(zero_copy_only=False))
+                    for x in part.column(part.num_columns - 1)
+                ]
+                names = [*part.schema.names[:-1], "text"]
+                yield pa.record_batch([*part.columns[:-1], pa.array(texts, pa.string())], names=names)
 
     return run
 
@@ -201,6 +206,7 @@ def _decoding(shared) -> Callable[[Batches], Batches]:
 def _applied(
     df: DataFrame, vocabulary: Vocabulary, column: str, run: Callable, name: str, kind: str, keep: list[str]
 ) -> DataFrame:
+    small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)
     kept = [F.col(x).alias(f"_{i}") for i, x in enumerate(keep)]
     layout = ", ".join(f"_{i} {df.schema[x].dataType.simpleString()}" for i, x in enumerate(keep))
@@ -222,6 +228,27 @@ def encode(
     return _applied(df, vocabulary, text, _encoding, name, "ids array<int>", list(keep))
 
 
+def encode_and_check(
+    df: DataFrame, vocabulary: Vocabulary, text: str = "text", name: str = "ids",
+    keep: tuple[str, ...] = ("doc_id",),
+) -> DataFrame:
+    """As :func:`encode`, and ``restored``: whether decoding the ids gives the text again.
+
+    Only the hash and the length of a text go along with its ids, not the text.
+    """
+    marked = df.select(
+        *(F.col(x).alias(f"keep{i}") for i, x in enumerate(keep)), F.col(text).alias("text"),
+        F.xxhash64(text).alias("hash"), F.length(text).alias("length"),
+    )
+    kept = [f"keep{i}" for i in range(len(keep))]
+    ids = encode(marked, vocabulary, keep=(*kept, "hash", "length"))
+    back = decode(ids, vocabulary, keep=(*kept, "hash", "length", "ids"))
+    same = F.xxhash64("text").eqNullSafe(F.col("hash")) & F.length("text").eqNullSafe(F.col("length"))
+    return back.select(
+        *(F.col(own).alias(x) for own, x in zip(kept, keep)), F.col("ids").alias(name), same.alias("restored")
+    )
+
+
 def decode(
     df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", name: str = "text",
     keep: tuple[str, ...] = ("doc_id",),

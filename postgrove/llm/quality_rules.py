@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from postgrove.llm.stored import layout
+from postgrove.llm.stored import layout, small_batches
 from postgrove.llm.words import U64, Words, mixed, slices, windows
 
 BUCKETS = 1 << 16
@@ -170,6 +170,7 @@ def quality_rules(
     id and ids of ``trusted`` that ``docs`` lacks are allowed; other columns are
     not read. An empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     ratio = weights(docs, trusted, id, text, buckets)
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
     columns = layout(

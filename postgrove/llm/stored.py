@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from postgrove.session import shared_folder
 
@@ -18,6 +18,20 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+ROWS_PER_BATCH = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Spark hand texts to Python a thousand at a time, unless the submitter chose a number.
+
+    Texts are long: ten thousand of them, Spark's default, are held by the executor
+    and by its Python process several times over.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not spark.sparkContext.getConf().contains(name):
+        spark.conf.set(name, str(ROWS_PER_BATCH))
+
+
 def layout(id: T.DataType, rest: str) -> T.StructType:
     """The columns of a task's result: an id of any type, also a whole row, and those named in ``rest``."""
     return T.StructType([T.StructField("id", id), *T.StructType.fromDDL(rest).fields])
