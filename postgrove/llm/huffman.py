@@ -15,6 +15,7 @@ written ones, and any shared store will do.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Callable, Iterator
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from postgrove.llm.stored import stored
+from postgrove.llm.stored import small_batches, stored
 from postgrove.session import shared_folder
 
 END = 0
@@ -32,7 +33,8 @@ LIMIT = 18
 BLOCK = 1 << 16
 STRETCH = 256
 # Distinct cuts of texts remembered by a task; then it starts anew.
-MAX_REMEMBERED = 400_000
+MAX_REMEMBERED = 250_000
+TEXTS_AT_ONCE = 128
 # Rows put in order by one task.
 ROWS_PER_PART = 20_000
 
@@ -47,6 +49,8 @@ def _tokenizer(definition: str) -> Callable[[list[str]], list[np.ndarray]]:
     encodes each distinct cut once. It is given many cuts as one text; as tokens of
     a byte-level vocabulary stand for bytes, their lengths tell where a cut ends.
     """
+    # The cores of an executor have tasks of their own.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_str(definition)
@@ -110,8 +114,8 @@ def _encoding(definition, size: int) -> Callable[[Batches], Batches]:
             )
 
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
+            for start in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(start, TEXTS_AT_ONCE)
                 texts = [x or "" for x in part.column(1).to_pylist()]
                 tokens = [np.concatenate((x, end)) for x in encode(texts)]
                 counts += np.bincount(np.concatenate(tokens), minlength=size)
@@ -279,6 +283,7 @@ def write(
     from tokenizers import Tokenizer
 
     spark = docs.sparkSession
+    small_batches(spark)
     with open(tokenizer, encoding="utf-8") as file:
         definition = file.read()
     size = Tokenizer.from_str(definition).get_vocab_size()
