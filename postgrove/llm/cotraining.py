@@ -25,7 +25,7 @@ from postgrove.llm.stored import layout, small_batches
 from postgrove.llm.words import U64, Words, lowered, mixed, slices
 
 # The bound of the sample, and how it is used.
-LABELLED, POOL = 8_000, 8_000
+LABELLED, POOL = 6_000, 4_000
 ROUNDS, SURE, PER_ROUND = 4, 0.95, 400
 WORD_BUCKETS, NAME_BUCKETS, LAYOUT = 512, 64, 10
 PENALTY = 1.0
@@ -93,15 +93,22 @@ def _probability(logit: np.ndarray) -> np.ndarray:
 
 
 def _fit(rows: np.ndarray, labels: np.ndarray, weight: np.ndarray, penalty: float = PENALTY) -> np.ndarray:
-    """Weights of a logistic classifier, the last one the constant, by Newton steps."""
-    rows = np.hstack((rows.astype(float), np.ones((len(rows), 1))))
-    solution = np.zeros(rows.shape[1])
-    ridge = np.full(rows.shape[1], penalty)
+    """Weights of a logistic classifier, the last one the constant, by Newton steps.
+
+    Rows are widened to double precision a block at a time.
+    """
+    size = rows.shape[1] + 1
+    solution = np.zeros(size)
+    ridge = np.full(size, penalty)
     ridge[-1] = 1e-3
     for _ in range(12):
-        p = _probability(rows @ solution)
-        slope = rows.T @ (weight * (p - labels)) + ridge * solution
-        curve = (rows * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ rows + np.diag(ridge)
+        slope, curve = ridge * solution, np.diag(ridge)
+        for start in range(0, len(rows), 1024):
+            here = slice(start, start + 1024)
+            part = np.hstack((rows[here].astype(float), np.ones((len(rows[here]), 1))))
+            p = _probability(part @ solution)
+            slope = slope + part.T @ (weight[here] * (p - labels[here]))
+            curve = curve + (part * (weight[here] * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ part
         step = np.linalg.solve(curve, slope)
         solution -= step
         if np.abs(step).max() < 1e-6:
@@ -236,10 +243,15 @@ def train(
     if not found.num_rows:
         return co_train([np.zeros((0, WORD_BUCKETS)), np.zeros((0, LAYOUT + 2 * NAME_BUCKETS))], np.zeros(0), [np.zeros((0, 1))] * 2)
     value = found["label"].to_numpy()
-    views = [
-        np.frombuffer(b"".join(found[name].to_pylist()), np.float32).reshape(len(value), -1)
-        for name in ("content", "page")
-    ]
+    # All rows are of one size and none is NULL, so the features stand one behind the other.
+    views = []
+    for name in ("content", "page"):
+        column = found[name].combine_chunks()
+        start = column.buffers()[1]
+        first = int(np.frombuffer(start, np.int32)[column.offset])
+        width = WORD_BUCKETS if name == "content" else LAYOUT + 2 * NAME_BUCKETS
+        flat = np.frombuffer(column.buffers()[2], np.float32, len(value) * width, first)
+        views.append(flat.reshape(len(value), width))
     # In order of hash, so that neither fold nor pool follows the order of ids.
     mix = np.argsort(mixed(np.arange(len(value), dtype=U64)))
     with_label, without = mix[value[mix] >= 0], mix[value[mix] < 0]
