@@ -15,9 +15,9 @@ A bucket may hold a large share of all texts, and its pairs are never listed:
    confirmed on the full sets, and confirmed links give first groups;
 3. buckets whose classes are still in several groups are gone through
    exhaustively, in pieces of bounded size, for pairs of different groups.
-   Pairs within T are compared there by the low 16 bits of their shingles,
-   which can only add to what two sets share; those that may reach the
-   similarity are confirmed on the full sets.
+   All pairs are compared there by the low 16 bits of their shingles, however
+   many symbols of their signatures differ. That can only add to what two sets
+   share; those that may reach the similarity are confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -149,7 +149,6 @@ def _comparer(
 
     def compare(rows: pa.Table) -> pa.Table:
         choices = _choices(chunks, chunk, errors)
-        threshold = chunks * (errors + 1) - 1
         low = (1 << len(choices).bit_length()) - 1
         rows = rows.combine_chunks()
         rows = rows.sort_by([("key", "ascending"), ("low_part", "ascending"), ("high_part", "ascending")])
@@ -173,8 +172,7 @@ def _comparer(
             for i in left:
                 equal = matrix[right] == matrix[i]
                 small, large = np.minimum(sizes[right], sizes[i]), np.maximum(sizes[right], sizes[i])
-                near = (~equal).sum(axis=1) <= threshold
-                near &= (group[right] != group[i]) & (100 * small >= percent * large)
+                near = (group[right] != group[i]) & (100 * small >= percent * large)
                 if same:
                     near &= right > i
                 near = np.flatnonzero(near)

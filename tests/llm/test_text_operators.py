@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -241,6 +242,28 @@ def test_any_two_signatures_within_the_threshold_share_a_key(spark):
     assert df.where(shared).count() == len(pairs)
 
 
+def test_pairs_of_a_bucket_are_compared_whatever_their_other_symbols():
+    """Their sets are equal but for one shingle; their signatures agree in one key alone."""
+    symbols = minhash.CHUNKS * minhash.CHUNK
+    choices = minhash._choices(minhash.CHUNKS, minhash.CHUNK, minhash.ERRORS)
+    number = 7
+    one, two = np.zeros(symbols, "<u2"), np.ones(symbols, "<u2")
+    two[choices[number]] = 0
+    lows = [np.arange(100, dtype="<u2"), np.arange(99, dtype="<u2")]
+    rows = pa.table({
+        "key": pa.array([number, number], pa.int64()),
+        "low_part": pa.array([0, 0], pa.int32()),
+        "high_part": pa.array([0, 0], pa.int32()),
+        "part": pa.array([0, 0], pa.int32()),
+        "id": pa.array([4, 9], pa.int64()),
+        "component": pa.array([1, 2], pa.int64()),
+        "signature": pa.array([one.tobytes(), two.tobytes()], pa.binary()),
+        "low": pa.array([x.tobytes() for x in lows], pa.binary()),
+    })
+    compare = minhash._comparer(minhash.CHUNKS, minhash.CHUNK, minhash.ERRORS, minhash.PERCENT)
+    assert compare(rows).to_pylist() == [{"a": 4, "b": 9}]
+
+
 def test_language_of_held_out_texts(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/documents.parquet")
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
