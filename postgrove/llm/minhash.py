@@ -13,8 +13,12 @@ A bucket may hold a large share of all texts, and its pairs are never listed:
 1. texts with the same set are one class, whatever their number;
 2. every class is linked with the smallest of each of its buckets, the link is
    confirmed on the full sets, and confirmed links give first groups;
-3. buckets whose classes are still in several groups are gone through
-   exhaustively, in pieces of bounded size, for pairs of different groups.
+3. in buckets whose classes are still in several groups, those outside the
+   largest group are linked in the same way with a random class of that group,
+   as long as this settles most of them;
+4. buckets that remain are gone through exhaustively for pairs of different
+   groups, in pieces of bounded size; pairs within the largest group of a bucket
+   are left out, so its size counts once for each part of the other classes.
    All pairs are compared there by the low 16 bits of their shingles, however
    many symbols of their signatures differ. That can only add to what two sets
    share; those that may reach the similarity are confirmed on the full sets.
@@ -39,6 +43,8 @@ PERCENT = 80
 CHUNKS, CHUNK, ERRORS = 10, 5, 1
 # Classes of a bucket that are compared with each other in one piece.
 PIECE = 1024
+# Rounds of links with a class of the largest group of a bucket, at most.
+AGAIN = 4
 
 Batches = Iterator[pa.RecordBatch]
 
@@ -252,9 +258,19 @@ def near_duplicates(
     )
     stars = shared.where("least < id").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
     links = stored(_confirmed(stars, sets, percent), "confirmed")
-    left = stored(_open_buckets(shared, _towards_components(links)), "open")
-    slots = F.pmod(F.xxhash64("key", "low_part", "high_part"), F.lit(left.count() // PIECE + 1))
-    pieces = _pieces(left, signatures, sets).groupBy(slots.alias("slot"))
+    left = stored(_open_buckets(shared, _towards_components(links), 0), "open")
+    outside = left.where("not major").count()
+    for turn in range(1, AGAIN + 1):
+        if outside <= PIECE:
+            break
+        pair = F.least("centre", "id").alias("a"), F.greatest("centre", "id").alias("b")
+        found = _confirmed(left.where("not major").select(*pair).distinct(), sets, percent)
+        links = stored(links.union(found), "confirmed")
+        left = stored(_open_buckets(shared, components(links), turn), "open")
+        before, outside = outside, left.where("not major").count()
+        if outside > before // 2:
+            break
+    pieces = _pieces(left, signatures, sets).groupBy(_slot(left))
     compare = _comparer(chunks, chunk, errors, percent)
     pairs = pieces.applyInArrow(compare, "a bigint, b bigint").distinct()
     more = stored(_confirmed(pairs, sets, percent), "confirmed")
@@ -288,28 +304,52 @@ def _towards_components(stars: DataFrame) -> DataFrame:
     )
 
 
-def _open_buckets(shared: DataFrame, known: DataFrame) -> DataFrame:
-    """The rows of buckets whose classes are in more than one component."""
+def _open_buckets(shared: DataFrame, known: DataFrame, turn: int) -> DataFrame:
+    """The rows of buckets whose classes are in more than one component.
+
+    ``major`` are those of the bucket's largest component, and ``centre`` is one
+    of them, another in every turn. ``majors`` and ``minors`` are the numbers of
+    parts that those rows and the others are cut into.
+    """
     component: Column = F.coalesce("component", "id").alias("component")
     rows = shared.join(known.withColumnRenamed("node", "id"), "id", "left").select("key", "id", component)
+    groups = rows.groupBy("key", "component").agg(
+        F.count("*").alias("n"), F.min_by("id", F.xxhash64("id", F.lit(turn))).alias("centre")
+    )
     several = (
-        rows.groupBy("key")
-        .agg(
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-            F.ceil(F.count("*") / PIECE).cast("int").alias("parts"),
+        groups.groupBy("key")
+        .agg(F.max(F.struct("n", "component", "centre")).alias("top"), F.sum("n").alias("n"))
+        .where("top.n < n")
+        .select(
+            "key",
+            F.col("top.component").alias("largest"),
+            F.col("top.centre").alias("centre"),
+            F.ceil(F.col("top.n") / PIECE).cast("int").alias("majors"),
+            F.ceil((F.col("n") - F.col("top.n")) / PIECE).cast("int").alias("minors"),
         )
-        .where("low < high")
-        .select("key", "parts")
     )
-    return rows.join(several, "key")
+    major = (F.col("component") == F.col("largest")).alias("major")
+    return rows.join(several, "key").select("key", "id", "component", major, "centre", "majors", "minors")
+
+
+def _slot(left: DataFrame) -> Column:
+    """The task group of a piece: so many that each has a few pieces, whatever the size of a bucket."""
+    copies = F.when(F.col("major"), F.col("minors")).otherwise(F.col("minors") + F.col("majors"))
+    rows = left.agg(F.coalesce(F.sum(copies.cast("long")), F.lit(0))).head()[0]
+    return F.pmod(F.xxhash64("key", "low_part", "high_part"), F.lit(rows // (2 * PIECE) + 1)).alias("slot")
 
 
 def _pieces(rows: DataFrame, signatures: DataFrame, sets: DataFrame) -> DataFrame:
-    """Rows once for every piece (two parts of a bucket, or one with itself) they belong to."""
-    part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+    """Rows once for every piece (two parts of a bucket, or one with itself) they belong to.
+
+    Parts of the largest component come after the others and meet only those.
+    """
+    mixed_id = F.xxhash64("id")
+    inner = F.pmod(mixed_id, F.col("minors"))
+    part = F.when(F.col("major"), F.col("minors") + F.pmod(mixed_id, F.col("majors"))).otherwise(inner).cast("int")
+    reach = F.when(F.col("major"), F.col("minors")).otherwise(F.col("minors") + F.col("majors"))
     others = F.transform(
-        F.sequence(F.lit(0), F.col("parts") - 1),
+        F.sequence(F.lit(0), reach - 1),
         lambda x: F.struct(F.least("part", x).alias("low_part"), F.greatest("part", x).alias("high_part")),
     )
     return (

@@ -213,6 +213,35 @@ def test_near_duplicates_of_a_large_group_of_near_copies(spark):
     assert all(got[i]["kept"] == (component[i] == i) for i in range(len(texts)))
 
 
+def test_near_duplicates_hold_a_few_pieces_of_a_large_bucket_at_once(spark, monkeypatch):
+    """Buckets of many texts that share keys with each other and are linked with none."""
+    rng = np.random.default_rng(6)
+    texts = []
+    for i in range(300):
+        own = [f"w{j}" for j in range(240)]
+        for at in rng.choice(len(own), 8, replace=False):
+            own[at] = f"x{i}y{at}"
+        texts.append(" ".join(own))
+    piece, comparer = 8, minhash._comparer
+
+    def watched(*arguments):
+        compare = comparer(*arguments)
+
+        def run(rows):
+            if rows.num_rows > 16 * piece:
+                raise ValueError(f"{rows.num_rows} rows at once")
+            return compare(rows)
+
+        return run
+
+    monkeypatch.setattr(minhash, "PIECE", piece)
+    monkeypatch.setattr(minhash, "_comparer", watched)
+    component, _ = grouped(texts, 4)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    got = by_id(minhash.near_duplicates(docs))
+    assert [got[i]["component_id"] for i in range(len(texts))] == component
+
+
 def test_near_duplicates_on_awkward_rows(awkward, nothing):
     rows = minhash.near_duplicates(awkward).collect()
     assert len(rows) == awkward.count()
