@@ -41,9 +41,12 @@ ROWS_PER_PART = 20_000
 Batches = Iterator[pa.RecordBatch]
 
 
-def _tokenizer(definition: str) -> Callable[[list[str]], list[np.ndarray]]:
+def _tokenizer(definition: str, specials_as_text: bool = True) -> Callable[[list[str]], list[np.ndarray]]:
     """Ids of many texts, by the tokenizers library.
 
+    A special token of the definition that stands in a text is encoded like any
+    other text, or with ``specials_as_text`` off as its own id, the library's default.
+
     A byte-level pattern never joins a space that stands alone between two other
     characters with what is before it, so texts are cut there, and the library
     encodes each distinct cut once. It is given many cuts as one text; as tokens of
@@ -54,12 +57,15 @@ def _tokenizer(definition: str) -> Callable[[list[str]], list[np.ndarray]]:
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_str(definition)
-    library.encode_special_tokens = True
+    library.encode_special_tokens = specials_as_text
     cut = re.compile(r"(?<=\S) (?=\S)")
     # Without white space beside a space, and of other kinds than these, all spaces stand alone.
     other, beside = re.compile(r"[^\S \n]"), ("  ", " \n", "\n ")
     size = library.get_vocab_size()
     bytes_of = np.array([len(library.id_to_token(i) or "") for i in range(size)])
+    # Tokens added to the vocabulary are written as they are, not as letters that stand for bytes.
+    for i, added in library.get_added_tokens_decoder().items():
+        bytes_of[i] = len(added.content.encode("utf-8"))
     remembered: dict[str, bytes] = {}
     most, together = MAX_REMEMBERED, 256
 
@@ -94,9 +100,9 @@ def _tokenizer(definition: str) -> Callable[[list[str]], list[np.ndarray]]:
     return encode
 
 
-def _encoding(definition, size: int) -> Callable[[Batches], Batches]:
+def _encoding(definition, size: int, specials_as_text: bool) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
-        encode = _tokenizer(definition.value)
+        encode = _tokenizer(definition.value, specials_as_text)
         narrow = "<u2" if size <= 1 << 16 else "<u4"
         end = np.array([END], "<u4")
         counts = np.zeros(size, np.int64)
@@ -272,13 +278,16 @@ LAYOUT = (
 
 
 def write(
-    docs: DataFrame, path: str, tokenizer: str, id: str = "doc_id", text: str = "text", limit: int = LIMIT
+    docs: DataFrame, path: str, tokenizer: str, id: str = "doc_id", text: str = "text", limit: int = LIMIT,
+    specials_as_text: bool = False,
 ) -> None:
     """Encode texts with a tokenizers definition and write them at ``path`` in order of id.
 
     A document's tokens are followed by id 0; a NULL or empty text has that one
     alone. Rows without an id come first, rows with equal ids stand together.
     An empty table writes a table without blocks. Other columns are not read.
+    A special token that stands in a text gets its own id, as by the library's
+    default, or with ``specials_as_text`` the ids of its letters.
     """
     from tokenizers import Tokenizer
 
@@ -290,7 +299,7 @@ def write(
     shared = spark.sparkContext.broadcast(definition)
     rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     kinds = "id bigint, kind int, n_tokens bigint, tokens binary"
-    encoded = stored(rows.mapInArrow(_encoding(shared, size), kinds), "tokens")
+    encoded = stored(rows.mapInArrow(_encoding(shared, size, specials_as_text), kinds), "tokens")
     counts = np.zeros(size, np.int64)
     summed = encoded.where("kind = 1").select("tokens").mapInArrow(_counts, "id int, n bigint")
     table = summed.groupBy("id").agg(F.sum("n").alias("n")).toArrow()

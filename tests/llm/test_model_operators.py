@@ -261,6 +261,26 @@ def test_tokens_do_not_depend_on_where_texts_are_cut():
         assert [*ids.tolist(), 0] == ids_of(text), text
 
 
+def test_special_tokens_in_texts_get_the_ids_of_the_library(spark, tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    texts = [
+        "a <|endoftext|> b", "a<|endoftext|>b c", "<|endoftext|>", "x  <|endoftext|>  y", "a\n<|endoftext|> é b",
+        "no such token", "<|endoftext|><|endoftext|> d <|endoftext|>", "a <|endoftext|", "",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    huffman.write(docs, f"{tmp_path}/own", path)
+    rows = huffman.read(spark, f"{tmp_path}/own").orderBy("start").collect()
+    assert [row["ids"] for row in rows] == [[*library.encode(x, add_special_tokens=False).ids, 0] for x in texts]
+    assert rows[0]["ids"] == [64, 220, 50256, 275, 0]
+    huffman.write(docs, f"{tmp_path}/text", path, specials_as_text=True)
+    rows = huffman.read(spark, f"{tmp_path}/text").orderBy("start").collect()
+    assert [row["ids"] for row in rows] == [ids_of(x) for x in texts]
+
+
 def test_classifier_agrees_with_held_out_labels(spark, sf_dir):
     folder = sf_dir.replace("0.001", "0.1")
     docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
