@@ -221,7 +221,8 @@ def train(
     """Fit on the bounded sample; ``label`` is 1 for good rows and 0 for bad ones.
 
     Rows of ``labels`` without id or label are left out, and of several for an id
-    the lowest counts. The sample is the rows of lowest hash, the same in every run.
+    the lowest counts. Labels of rows that ``docs`` does not have take no place
+    of the sample. The sample is the rows of lowest hash, the same in every run.
     """
     small_batches(docs.sparkSession)
     rows = _columns(docs, id, text, source, lang, chars).where("id is not null")
@@ -229,6 +230,7 @@ def train(
         labels.where(F.col(id).isNotNull() & F.col(label).isNotNull())
         .groupBy(F.col(id).alias("id"))
         .agg(F.min(label).cast("int").alias("label"))
+        .join(rows.select("id").distinct(), "id", "left_semi")
     )
     lowest = F.xxhash64("id")
     chosen = known.orderBy(lowest, "id").limit(labelled)

@@ -292,6 +292,22 @@ def test_classifier_agrees_with_held_out_labels(spark, sf_dir):
     assert np.mean(good) >= 0.99
 
 
+def pages_of_two_kinds(spark, count):
+    """Even ids are prose, odd ones marks."""
+    rows = [
+        (i, f"quiet words about number {i} and the sea", "web", "en", 40) if i % 2 == 0 else (i, f"### $$$ {i} >>>", "web", "en", 15)
+        for i in range(count)
+    ]
+    return spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string, n_chars bigint")
+
+
+def test_labels_of_other_rows_take_no_place_of_the_sample(spark):
+    docs = pages_of_two_kinds(spark, 60)
+    labels = spark.range(100_000).selectExpr("id doc_id", "cast(1 - id % 2 as int) quality")
+    rows = cotraining.classify(docs, cotraining.train(docs, labels, labelled=50)).collect()
+    assert all(row["kept"] == (row["doc_id"] % 2 == 0) for row in rows)
+
+
 def test_views_teach_each_other():
     """One view is nearly blind on the few labelled rows and learns from the other."""
     rng = np.random.default_rng(8)
