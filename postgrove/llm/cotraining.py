@@ -3,13 +3,13 @@
 One view is a text's words, hashed; the other is what describes the page: its
 source, language and length, and its layout in lines, marks, capitals and
 repetitions. Each view has its own logistic classifier. In every round each
-labels a pool of unlabelled rows, and those it is surest of become training rows
-of the other (Blum, Mitchell, "Combining Labeled and Unlabeled Data with
+labels all unlabelled rows, where they are, and those it is surest of become
+training rows of the other (Blum, Mitchell, "Combining Labeled and Unlabeled Data with
 Co-Training", 1998). Labelled rows set aside calibrate both at the end, and the
 calibrated views are added to score all documents.
 
-Fitting works on a bounded sample, at most ``labelled`` labelled and ``pool`` other
-rows, chosen by a hash of the id; everything else covers all rows.
+Fitting works on at most ``labelled`` labelled rows, chosen by a hash of the id,
+and the rows added in the rounds; everything else covers all rows.
 """
 
 from __future__ import annotations
@@ -19,13 +19,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from postgrove.llm.stored import layout, small_batches
+from postgrove.llm.stored import layout, small_batches, stored
 from postgrove.llm.words import U64, Words, lowered, mixed, slices
 
-# The bound of the sample, and how it is used.
-LABELLED, POOL = 6_000, 4_000
+# The bound of the labelled sample, and how it is used.
+LABELLED = 8_000
+# Ids of labelled rows that are broadcast to be left out, at most.
+MOST_SENT = 1_000_000
 ROUNDS, SURE, PER_ROUND = 4, 0.95, 400
 WORD_BUCKETS, NAME_BUCKETS, LAYOUT = 512, 64, 10
 PENALTY = 1.0
@@ -137,11 +139,96 @@ class Classifier:
         return _probability(one + two - self.prior)
 
 
+# For the weights of both views and, for each as teacher, the numbers of good and
+# bad rows wanted: the other view's features of those rows, and their classes.
+Surest = Callable[[list[np.ndarray], list[tuple[int, int]]], list[tuple[np.ndarray, np.ndarray]]]
+
+
+def _surest_in_memory(pool: list[np.ndarray], sure: float) -> Surest:
+    taken = [np.zeros(len(pool[0]), bool), np.zeros(len(pool[0]), bool)]
+
+    def surest(weights: list[np.ndarray], wanted: list[tuple[int, int]]) -> list[tuple[np.ndarray, np.ndarray]]:
+        found = []
+        for teacher, (w, (n_good, n_bad)) in enumerate(zip(weights, wanted)):
+            pupil = 1 - teacher
+            p = _probability(pool[teacher] @ w[:-1] + w[-1])
+            p_free = np.where(taken[pupil], 0.5, p)
+            good = [i for i in np.argsort(-p_free, kind="stable")[:n_good] if p_free[i] >= sure]
+            bad = [i for i in np.argsort(p_free, kind="stable")[:n_bad] if p_free[i] <= 1 - sure]
+            rows = np.array(good + bad, int)
+            taken[pupil][rows] = True
+            found.append((pool[pupil][rows], np.array([1.0] * len(good) + [0.0] * len(bad))))
+        return found
+
+    return surest
+
+
+def _task_surest(shared, sure: float) -> Callable[[Batches], Batches]:
+    """Of a task's rows, those each view is surest of, as many as are wanted of all."""
+
+    def run(batches: Batches) -> Batches:
+        weights, wanted, taken = shared.value
+        best: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for batch in batches:
+            keys = batch.column(0).to_numpy()
+            for first, last, *views in _features(*batch.columns[1:5]):
+                key = keys[first:last]
+                for teacher, w in enumerate(weights):
+                    logit = views[teacher].astype(float) @ w[:-1] + w[-1]
+                    free = ~np.isin(key, taken[teacher])
+                    for value, most in zip((1, 0), wanted[teacher]):
+                        own = logit if value else -logit
+                        at = np.flatnonzero(free & (_probability(own) >= sure))
+                        part = own[at], key[at], views[1 - teacher][at]
+                        if (teacher, value) in best:
+                            part = tuple(np.concatenate(x) for x in zip(best[teacher, value], part))
+                        order = np.lexsort((part[1], -part[0]))[:most]
+                        best[teacher, value] = tuple(x[order] for x in part)
+        for (teacher, value), (own, key, rows) in best.items():
+            yield pa.record_batch(
+                [
+                    pa.array(np.full(len(own), teacher, np.int32)),
+                    pa.array(np.full(len(own), value, np.int32)),
+                    pa.array(own, pa.float64()),
+                    pa.array(key, pa.int64()),
+                    pa.array([x.tobytes() for x in rows], pa.binary()),
+                ],
+                names=["teacher", "value", "own", "key", "row"],
+            )
+
+    return run
+
+
+def _surest_on_spark(rows: DataFrame, sure: float) -> Surest:
+    """The same over all rows of (key, text, source, lang, chars), which stay where they are."""
+    taken = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
+    order = Window.partitionBy("teacher", "value").orderBy(F.col("own").desc(), "key")
+    widths = WORD_BUCKETS, LAYOUT + 2 * NAME_BUCKETS
+
+    def surest(weights: list[np.ndarray], wanted: list[tuple[int, int]]) -> list[tuple[np.ndarray, np.ndarray]]:
+        shared = rows.sparkSession.sparkContext.broadcast((weights, wanted, taken))
+        columns = "teacher int, value int, own double, key bigint, row binary"
+        near = rows.mapInArrow(_task_surest(shared, sure), columns)
+        top = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= max(map(max, wanted)))
+        table = top.toArrow().sort_by([("teacher", "ascending"), ("value", "descending"), ("rank", "ascending")])
+        teachers, values, ranks, keys = (table[x].to_numpy() for x in ("teacher", "value", "rank", "key"))
+        blobs = table["row"].to_pylist()
+        found = []
+        for teacher, (n_good, n_bad) in enumerate(wanted):
+            at = np.flatnonzero((teachers == teacher) & (ranks <= np.where(values == 1, n_good, n_bad)))
+            taken[teacher] = np.union1d(taken[teacher], keys[at])
+            own = np.frombuffer(b"".join([blobs[i] for i in at]), np.float32).reshape(-1, widths[1 - teacher])
+            found.append((own, values[at].astype(float)))
+        return found
+
+    return surest
+
+
 def co_train(
-    views: list[np.ndarray], labels: np.ndarray, pool: list[np.ndarray],
+    views: list[np.ndarray], labels: np.ndarray, pool: list[np.ndarray] | Surest,
     rounds: int = ROUNDS, sure: float = SURE, per_round: int = PER_ROUND,
 ) -> Classifier:
-    """Fit from labelled rows of both views and the unlabelled pool."""
+    """Fit from labelled rows of both views and the unlabelled pool, in memory or anywhere else."""
     if len(np.unique(labels)) < 2:
         # One class alone: every row belongs to it.
         constant = 5.0 if len(labels) == 0 or labels[0] else -5.0
@@ -152,28 +239,22 @@ def co_train(
         aside = np.zeros(len(labels), bool)
     learn = [x[~aside] for x in views]
     target = [labels[~aside].astype(float)] * 2
-    taken = [np.zeros(len(pool[0]), bool), np.zeros(len(pool[0]), bool)]
+    surest = pool if callable(pool) else _surest_in_memory(pool, sure)
 
     def fitted() -> list[np.ndarray]:
         return [_fit(x, y, np.ones(len(y))) for x, y in zip(learn, target)]
 
     weights = fitted()
-    for _ in range(rounds if len(pool[0]) else 0):
-        gains = []
-        for teacher, pupil in ((0, 1), (1, 0)):
-            w = weights[teacher]
-            p = _probability(pool[teacher] @ w[:-1] + w[-1])
-            p_free = np.where(taken[pupil], 0.5, p)
-            share = target[pupil].mean()
-            # Both classes are added in the proportion in which they occur.
-            good = [i for i in np.argsort(-p_free, kind="stable")[: round(per_round * share)] if p_free[i] >= sure]
-            bad = [i for i in np.argsort(p_free, kind="stable")[: round(per_round * (1 - share))] if p_free[i] <= 1 - sure]
-            gains.append((pupil, np.array(good + bad, int), np.array([1.0] * len(good) + [0.0] * len(bad))))
-        for pupil, rows, values in gains:
-            taken[pupil][rows] = True
-            learn[pupil] = np.vstack((learn[pupil], pool[pupil][rows]))
+    for _ in range(rounds):
+        # Both classes are added in the proportion in which they occur.
+        shares = [target[1 - teacher].mean() for teacher in (0, 1)]
+        wanted = [(round(per_round * share), round(per_round * (1 - share))) for share in shares]
+        gains = surest(weights, wanted)
+        for teacher, (rows, values) in enumerate(gains):
+            pupil = 1 - teacher
+            learn[pupil] = np.vstack((learn[pupil], rows))
             target[pupil] = np.concatenate((target[pupil], values))
-        if not any(len(rows) for _, rows, _ in gains):
+        if not any(len(values) for _, values in gains):
             break
         weights = fitted()
     held = aside if aside.any() else ~aside
@@ -216,9 +297,9 @@ def train(
     lang: str = "lang",
     chars: str = "n_chars",
     labelled: int = LABELLED,
-    pool: int = POOL,
+    pool: int | None = None,
 ) -> Classifier:
-    """Fit on the bounded sample; ``label`` is 1 for good rows and 0 for bad ones.
+    """Fit on the bounded labelled sample and all other rows, or ``pool`` of them; ``label`` is 1 for good rows and 0 for bad ones.
 
     Rows of ``labels`` without id or label are left out, and of several for an id
     the lowest counts. Labels of rows that ``docs`` does not have take no place
@@ -226,20 +307,24 @@ def train(
     """
     small_batches(docs.sparkSession)
     rows = _columns(docs, id, text, source, lang, chars).where("id is not null")
-    known = (
+    known = stored(
         labels.where(F.col(id).isNotNull() & F.col(label).isNotNull())
         .groupBy(F.col(id).alias("id"))
         .agg(F.min(label).cast("int").alias("label"))
-        .join(rows.select("id").distinct(), "id", "left_semi")
+        .join(rows.select("id").distinct(), "id", "left_semi"),
+        "labels",
     )
     lowest = F.xxhash64("id")
-    chosen = known.orderBy(lowest, "id").limit(labelled)
-    others = (
-        rows.select("id").distinct().join(known, "id", "left_anti")
-        .orderBy(lowest, "id").limit(pool).withColumn("label", F.lit(-1))
-    )
-    # At most labelled + pool ids.
-    sample = F.broadcast(chosen.unionByName(others))
+    # At most labelled ids.
+    sample = F.broadcast(known.orderBy(lowest, "id").limit(labelled))
+    left_out = known.select("id")
+    if left_out.count() <= MOST_SENT:
+        left_out = F.broadcast(left_out)
+    others = rows.join(left_out, "id", "left_anti")
+    if pool is not None:
+        few = others.select("id").distinct().orderBy(lowest, "id").limit(pool)
+        others = others.join(F.broadcast(few), "id", "left_semi")
+    others = others.select(lowest.alias("key"), "text", "source", "lang", "chars")
     columns = layout(rows.schema["id"].dataType, "label int, content binary, page binary")
     found = rows.join(sample, "id").mapInArrow(_sampled, columns).toArrow().sort_by("id")
     if not found.num_rows:
@@ -254,10 +339,9 @@ def train(
         width = WORD_BUCKETS if name == "content" else LAYOUT + 2 * NAME_BUCKETS
         flat = np.frombuffer(column.buffers()[2], np.float32, len(value) * width, first)
         views.append(flat.reshape(len(value), width))
-    # In order of hash, so that neither fold nor pool follows the order of ids.
+    # In order of hash, so that no fold follows the order of ids.
     mix = np.argsort(mixed(np.arange(len(value), dtype=U64)))
-    with_label, without = mix[value[mix] >= 0], mix[value[mix] < 0]
-    return co_train([x[with_label] for x in views], (value[with_label] > 0).astype(int), [x[without] for x in views])
+    return co_train([x[mix] for x in views], (value[mix] > 0).astype(int), _surest_on_spark(others, SURE))
 
 
 def _scoring(shared, threshold: float) -> Callable[[Batches], Batches]:

@@ -308,6 +308,38 @@ def test_labels_of_other_rows_take_no_place_of_the_sample(spark):
     assert all(row["kept"] == (row["doc_id"] % 2 == 0) for row in rows)
 
 
+def test_every_unlabelled_row_may_teach(spark, monkeypatch):
+    """The pool is all rows without a label, not a sample of them."""
+    docs = pages_of_two_kinds(spark, 12_000)
+    labels = spark.range(60).selectExpr("id doc_id", "cast(1 - id % 2 as int) quality")
+    seen = []
+    known = cotraining._surest_on_spark
+
+    def watched(rows, sure):
+        seen.append(rows.count())
+        return known(rows, sure)
+
+    monkeypatch.setattr(cotraining, "_surest_on_spark", watched)
+    rows = cotraining.classify(docs, cotraining.train(docs, labels)).collect()
+    assert seen == [12_000 - 60]
+    assert all(row["kept"] == (row["doc_id"] % 2 == 0) for row in rows)
+
+
+def test_surest_rows_on_spark_are_those_of_memory(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = cotraining._columns(docs, "doc_id", "text", "source", "lang", "n_chars")
+    table = rows.select(F.xxhash64("id").alias("key"), "text", "source", "lang", "chars")
+    found = table.orderBy("key").toArrow().combine_chunks().to_batches()[0]
+    parts = [x[2:] for x in cotraining._features(*found.columns[1:5])]
+    pool = [np.concatenate([x[i] for x in parts]) for i in (0, 1)]
+    rng = np.random.default_rng(4)
+    weights = [rng.normal(size=x.shape[1] + 1) for x in pool]
+    near, far = cotraining._surest_in_memory(pool, 0.6), cotraining._surest_on_spark(table.repartition(5), 0.6)
+    for _ in range(3):
+        for (a, x), (b, y) in zip(near(weights, [(7, 4), (3, 9)]), far(weights, [(7, 4), (3, 9)])):
+            assert x.tolist() == y.tolist() and len(a) and np.allclose(a, b)
+
+
 def test_views_teach_each_other():
     """One view is nearly blind on the few labelled rows and learns from the other."""
     rng = np.random.default_rng(8)
