@@ -16,20 +16,42 @@ from postgrove.llm.stored import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-# A text is in none of the learnt languages if its cosine with all of them is
-# within what unrelated vectors of 1,024 components have.
-LEAST_COSINE = 0.05
+# A text is in none of the learnt languages if its cosine with all of them is below
+# this quantile of what texts of its length have with their own language.
+OWN_COSINES = 0.005
+# Lengths are told apart by powers of two, up to this one.
+SIZES = 32
 # Words of a shingle.
 WIDTH = 5
 
 
+def _least_cosines(own: DataFrame) -> list[float]:
+    """The limit for each size, from (size, score) of texts that are in their own language.
+
+    A size without such texts has the limit of the next smaller one, or of the smallest.
+    """
+    least = F.percentile_approx("score", OWN_COSINES, 100_000).alias("least")
+    seen = {row["size"]: row["least"] for row in own.groupBy("size").agg(least).collect()}
+    limits, last = [], seen[min(seen)] if seen else 0.0
+    for size in range(SIZES + 1):
+        last = seen.get(size, last)
+        limits.append(last)
+    return limits
+
+
 def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text is in a language of the labelled rows; texts without letters go."""
     profiles = language_vectors.learn(docs)
-    rows = docs.select(F.struct("*").alias("row"), "text")
-    found = language_vectors.identify(rows, profiles, id="row")
-    good = (F.col("lang_pred") != language_vectors.UNKNOWN) & (F.col("score") >= LEAST_COSINE)
-    return found.where(good).select("row.*")
+    size = F.coalesce(F.least(F.floor(F.log2(F.length("text") + 1)), F.lit(SIZES)), F.lit(0)).cast("int")
+    named = docs.where("lang is not null").select(F.struct("lang", size.alias("size")).alias("row"), "text")
+    own = language_vectors.identify(named, profiles, id="row").where("row.lang = lang_pred")
+    limits = _least_cosines(own.select("row.size", "score"))
+    rows = docs.select(F.struct(F.struct("*").alias("row"), size.alias("size")).alias("sized"), "text")
+    found = language_vectors.identify(rows, profiles, id="sized")
+    # Sums of another batch may differ in their last bits.
+    least = F.element_at(F.array(*map(F.lit, limits)), F.col("sized.size") + 1) - 1e-6
+    good = (F.col("lang_pred") != language_vectors.UNKNOWN) & (F.col("score") >= least)
+    return found.where(good).select("sized.row.*")
 
 
 def of_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -399,6 +399,21 @@ def test_every_stage_keeps_clean_rows_and_columns(spark, sf_dir):
     assert max(collections.Counter(row["doc_id"] for row in done).values()) == 2
 
 
+def test_texts_of_a_language_that_was_not_learnt_are_rejected(spark, sf_dir):
+    import corpus_pipeline
+
+    folder = sf_dir.replace("0.001", "0.01")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    unnamed = docs.withColumn("lang", F.when(F.col("lang") != "de", F.col("lang")))
+    kept = {row["doc_id"] for row in corpus_pipeline.in_known_language(spark, unnamed, folder).collect()}
+    clean = spark.read.parquet(f"{folder}/labels.parquet").where("quality = 1").select("doc_id")
+    rows = docs.join(clean, "doc_id", "left_semi").select("doc_id", "lang").collect()
+    left_out = [row["doc_id"] in kept for row in rows if row["lang"] == "de"]
+    learnt = [row["doc_id"] in kept for row in rows if row["lang"] != "de"]
+    assert len(left_out) > 10 and np.mean(left_out) <= 0.1
+    assert np.mean(learnt) >= 0.98
+
+
 def test_pipeline_on_awkward_rows(spark, awkward, nothing, tmp_path):
     import corpus_pipeline
 
