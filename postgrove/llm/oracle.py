@@ -68,7 +68,46 @@ WITH sizes AS (
 SELECT doc_id, size, source_size, target, copies, size * copies AS taken FROM counted
 """
 
+_OP11 = rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_SMALL}, '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), words AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), totals AS (
+    SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang
+), grams AS (
+    SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i+k-1])) AS g
+    FROM words, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k
+), counts AS (
+    SELECT lang, g, CAST(count(*) AS BIGINT) AS f FROM grams GROUP BY lang, g HAVING count(*) >= 100
+), cuts AS (
+    SELECT c.lang, c.g, c.f, unnest(range(1, len(c.g))) AS k FROM counts c WHERE len(c.g) > 1
+), scored AS (
+    SELECT x.lang, x.g, x.f AS a, x.k, l.f AS l, r.f AS r, n,
+        (1000::HUGEINT * x.f * n) // (l.f::HUGEINT * r.f) AS score
+    FROM cuts x JOIN totals ON x.lang = totals.lang
+    JOIN counts l ON l.lang = x.lang AND l.g = x.g[1:x.k]
+    JOIN counts r ON r.lang = x.lang AND r.g = x.g[x.k+1:len(x.g)]
+), lowest AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
+), parts AS (
+    SELECT c.lang, c.f, list_slice(c.g, i, i + size - 1) AS part
+    FROM counts c, (SELECT unnest(range(1, 6)) AS i), (SELECT unnest(range(2, 5)) AS size)
+    WHERE size < len(c.g) AND i + size - 1 <= len(c.g)
+), held AS (
+    SELECT lang, part, max(f) AS f FROM parts GROUP BY lang, part
+), kept AS (
+    SELECT x.*, array_to_string(x.g, ' ') AS phrase FROM lowest x LEFT JOIN held h ON h.lang = x.lang AND h.part = x.g
+    WHERE h.f IS NULL OR 100 * h.f < 100 * x.a
+)
+SELECT lang, row_number() OVER best AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM kept
+WINDOW best AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+QUALIFY rank <= 2000
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_mixing": _OP3,
     "op4_minhash": _OP4,
+    "op11_collocations": _OP11,
 }

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from postgrove.llm import (
+    collocations,
     cotraining,
     huffman,
     language_vectors,
@@ -105,6 +106,11 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 phrases of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_neighbours": op2_neighbours,
@@ -116,4 +122,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_huffman": op8_huffman,
     "op9_cotraining": op9_cotraining,
     "op10_pieces": op10_pieces,
+    "op11_collocations": op11_collocations,
 }

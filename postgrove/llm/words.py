@@ -8,7 +8,7 @@ the slice, or its longest text, and not the batch Spark hands over.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -65,9 +65,9 @@ def lowered(raw: np.ndarray) -> np.ndarray:
 class Words:
     """The words of a slice: byte ranges, and the range of words of each text."""
 
-    def __init__(self, raw: np.ndarray, offsets: np.ndarray):
+    def __init__(self, raw: np.ndarray, offsets: np.ndarray, separators: Sequence[int] = SEPARATORS):
         inside = np.ones(256, bool)
-        inside[list(SEPARATORS)] = False
+        inside[list(separators)] = False
         self.raw = raw
         self.inside = inside = inside[raw]
         opens, closes = inside.copy(), inside.copy()
