@@ -224,14 +224,15 @@ def _replacer(shared, first: bool, last: bool) -> Callable[[Batches], Batches]:
     return run
 
 
-def _encoded(rows: DataFrame, words: DataFrame, most: int) -> DataFrame:
-    """The corpus as rows of ``tokens``, 32-bit ids of ``words``, with 0 for all others and between phrases."""
+def _encoded(rows: DataFrame, words: DataFrame, parts: int) -> DataFrame:
+    """The corpus as rows of ``tokens``, 32-bit ids of ``words``, with 0 for all others and between phrases.
+
+    Tasks hold one of ``parts`` parts of the words at a time.
+    """
     spark = rows.sparkSession
-    parts = words.count() // most + 1
     tokens = rows.mapInArrow(_key_writer, "tokens binary")
     short = F.shiftrightunsigned("key", 1)
     for part in range(parts):
-        # At most about ``most`` rows.
         table = words.select(short.alias("key"), "id").where(F.pmod("key", F.lit(parts)) == part).toArrow()
         table = table.sort_by("key")
         shared = spark.sparkContext.broadcast((table["key"].to_numpy(), table["id"].to_numpy()))
@@ -338,37 +339,39 @@ def phrase_levels(
     )
     counted = stored(counted, "words")
     totals = counted.where("word is null").select("lang", F.col("n").alias("total"))
-    words = numbered(counted.where("word is not null"), "id", "ids", first=1)
-    radix = words.count() + 1
+    words, different = numbered(counted.where("word is not null"), "id", "ids", first=1)
+    radix = different + 1
     if radix >= 1 << 31:
-        raise ValueError(f"{radix - 1} frequent words: raise the least count")
-    tokens = _encoded(rows, words, most_words)
+        raise ValueError(f"{different} frequent words: raise the least count")
+    tokens = _encoded(rows, words, different // most_words + 1)
     nothing = F.array().cast("array<bigint>")
     single = words.select(
         F.col("id").alias("node"), "n", F.col("id").alias("root"), F.array(F.col("id").cast("int")).alias("path"),
         nothing.alias("left"), nothing.alias("right"),
     )
-    levels = [single]
+
+    def arrays(level: DataFrame, rounds: int, turn: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of the subtrees of one part of the first words, what leads to each node."""
+        code = (F.col("parent") * radix + F.col("word")).alias("code")
+        table = level.where(F.pmod("root", F.lit(rounds)) == turn).select(code, "node").toArrow().sort_by("code")
+        return table["code"].to_numpy(), table["node"].to_numpy()
+
+    levels, nodes, whole = [single], 0, []
     for size in range(2, longest + 1):
-        nodes = sum(level.count() for level in levels[1:])
         rounds = nodes // most_nodes + 1
         merged = []
         for turn in range(rounds):
-            # Subtrees of one part of the first words.
-            own = F.pmod("root", F.lit(rounds)) == turn
-            known = []
-            for level in levels[1:]:
-                table = level.where(own).select(
-                    (F.col("parent") * radix + F.col("word")).alias("code"), "node"
-                ).toArrow().sort_by("code")
-                known.append((table["code"].to_numpy(), table["node"].to_numpy()))
+            if rounds == 1:
+                whole += [arrays(level, 1, 0) for level in levels[1 + len(whole) :]]
+            known = whole if rounds == 1 else [arrays(level, rounds, turn) for level in levels[1:]]
             shared = spark.sparkContext.broadcast(known)
             count = _phrase_counter(shared, radix, size == 2, rounds == 1, burst, full)
             runs = tokens.mapInArrow(count, "parent bigint, word int, n bigint")
             merged.append(stored(_merged(runs, least), "phrases"))
             shared.destroy()
         found = reduce(DataFrame.union, merged)
-        levels.append(numbered(_level(found, levels[-1], size), "node", "nodes", first=1))
+        level, more = numbered(_level(found, levels[-1], size), "node", "nodes", first=1)
+        levels, nodes = [*levels, level], nodes + more
     return totals, words, levels[1:]
 
 

@@ -18,8 +18,8 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def numbered(df: DataFrame, name: str, purpose: str, first: int = 0) -> DataFrame:
-    """``df``, stored, with the numbers from ``first`` on in a column ``name``.
+def numbered(df: DataFrame, name: str, purpose: str, first: int = 0) -> tuple[DataFrame, int]:
+    """``df``, stored, with the numbers from ``first`` on in a column ``name``, and how many rows there are.
 
     Every task counts its own rows while it writes them; the sizes of the tasks,
     one row each, then tell where each begins.
@@ -30,10 +30,10 @@ def numbered(df: DataFrame, name: str, purpose: str, first: int = 0) -> DataFram
     for row in rows.groupBy(task.alias("task")).count().orderBy("task").collect():
         begins[row["task"]], total = total, total + row["count"]
     if not begins:
-        return rows.select(*df.columns, F.lit(None).cast("long").alias(name))
+        return rows.select(*df.columns, F.lit(None).cast("long").alias(name)), 0
     starts = df.sparkSession.createDataFrame(list(begins.items()), "_task bigint, _begin bigint")
     placed = rows.withColumn("_task", task).join(F.broadcast(starts), "_task")
-    return placed.select(*df.columns, (F.col("_begin") + own).alias(name))
+    return placed.select(*df.columns, (F.col("_begin") + own).alias(name)), total - first
 
 
 ROWS_PER_BATCH = 1_000
