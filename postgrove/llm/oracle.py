@@ -106,8 +106,68 @@ WINDOW best AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
 QUALIFY rank <= 2000
 """
 
+# Vectors in whole numbers, without those that are NULL or hold a NULL or non-finite component.
+_WHOLE = """
+    SELECT vec_id{more}, list_transform(embedding, lambda x: CAST(floor({scale} * x::DOUBLE) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+"""
+
+_OP12 = f"""
+WITH vectors AS ({_WHOLE.format(more="", scale=256)}
+), ranked AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+        CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+    FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id, score FROM ranked
+WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY rank <= 5
+"""
+
+_NEAREST = """
+near{i} AS (
+    SELECT parts.vec_id, parts.label, parts.p, parts.part, e,
+        list_sum(list_transform(list_zip(parts.part, entry), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS distance
+    FROM parts JOIN book{i} ON book{i}.p = parts.p
+    QUALIFY row_number() OVER (PARTITION BY parts.vec_id, parts.p ORDER BY distance, e) = 1
+)"""
+
+_MOVED = """
+sums{i} AS (
+    SELECT p, e, place, CAST(sum(part[place]) AS BIGINT) AS total, count(*) AS n
+    FROM near{i}, (SELECT unnest(range(1, 1 + (SELECT max(len(part)) FROM parts))) AS place) GROUP BY p, e, place
+), book{next} AS (
+    SELECT p, e, coalesce(moved, entry) AS entry
+    FROM book{i} LEFT JOIN (
+        SELECT p, e, list((total - ((total % n) + n) % n) // n ORDER BY place) AS moved FROM sums{i} GROUP BY p, e
+    ) USING (p, e)
+)"""
+
+_ROUNDS = ",".join(_NEAREST.format(i=i) + "," + _MOVED.format(i=i, next=i + 1) for i in range(6))
+_OP13 = f"""
+WITH vectors AS ({_WHOLE.format(more=", label", scale=4096)}
+), parts AS (
+    SELECT vec_id, label, p, v[p * (len(v) // 8) + 1 : (p + 1) * (len(v) // 8)] AS part
+    FROM vectors, (SELECT unnest(range(8)) AS p)
+), book0 AS (
+    SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, part AS entry FROM parts
+    QUALIFY e < 16
+), {_ROUNDS}, {_NEAREST.format(i=6)}, coded AS (
+    SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(distance) AS BIGINT) AS error
+    FROM near6 GROUP BY vec_id, label
+), digest AS (
+    SELECT sha256(string_agg(array_to_string(entry, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book6
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded, digest
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_mixing": _OP3,
     "op4_minhash": _OP4,
     "op11_collocations": _OP11,
+    "op12_maxscore": _OP12,
+    "op13_vector_codes": _OP13,
 }

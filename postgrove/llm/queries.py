@@ -13,12 +13,14 @@ from postgrove.llm import (
     huffman,
     language_vectors,
     lengths,
+    maxscore,
     minhash,
     mixing,
     neighbours,
     pieces,
     quality_rules,
     suffix_tree,
+    vector_codes,
 )
 
 
@@ -111,6 +113,17 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five greatest inner products of every fiftieth vector among all vectors."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return maxscore.top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of eight bytes of all vectors, with what they lose."""
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_neighbours": op2_neighbours,
@@ -123,4 +136,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_cotraining": op9_cotraining,
     "op10_pieces": op10_pieces,
     "op11_collocations": op11_collocations,
+    "op12_maxscore": op12_maxscore,
+    "op13_vector_codes": op13_vector_codes,
 }
