@@ -35,11 +35,15 @@ NO_LANGUAGE = "und"
 BREAKS = (0x2E, 0x2C, 0x3B, 0x3A, 0x21, 0x3F, 0x0A, 0x0B, 0x0C, 0x0D)
 GAPS = (0x20, 0x09)
 # Entries at which a container bursts, and at which a task's trie is thinned out.
-BURST, FULL = 1 << 16, 1 << 21
+BURST, FULL = 1 << 16, 1 << 20
 # Words, and nodes of all levels, that tasks hold at a time: 16 and 24 bytes each. More
 # take as many passes over the corpus as they have parts of this size.
 MOST_WORDS, MOST_NODES = 1 << 22, 1 << 22
-TOKENS_AT_ONCE = 1 << 20
+TOKENS_AT_ONCE = 1 << 19
+# Different words a task holds before it hands them on.
+WORDS_AT_ONCE = 1 << 18
+# Tokens of a stored row; one without a break among them is longer.
+ROW = 1 << 13
 # The followers of one prefix are merged in so many places.
 FOLLOWERS = 16
 SALTS = 64
@@ -59,7 +63,7 @@ class Container:
         """Add to the counts of ``keys``, all different."""
         if 2 * (self.size + len(keys)) > len(self.keys):
             old = self.items()
-            self.__init__(1 << int(4 * (self.size + len(keys))).bit_length())
+            self.__init__(1 << int(2 * (self.size + len(keys))).bit_length())
             self._put(*old)
         self._put(keys, counts)
 
@@ -155,8 +159,18 @@ def _read(batch: pa.RecordBatch) -> Iterator[tuple[Words, np.ndarray, np.ndarray
 
 def _word_counter(batches: Batches) -> Batches:
     """Counts of a task's words; a NULL word counts all words of its language."""
+    held, size = [], 0
+
+    def merged() -> pa.Table:
+        rows = pa.concat_tables(held)
+        _, first, inverse = np.unique(rows["key"].to_numpy(), return_index=True, return_inverse=True)
+        n = np.bincount(inverse, rows["n"].to_numpy(), len(first)).astype(np.int64)
+        return rows.take(pa.array(first)).set_column(3, "n", pa.array(n))
+
     for batch in batches:
         names = list(dict.fromkeys(batch.column(0).to_pylist()))
+        # Words of every language in all, under a key of the language alone.
+        langs, salts = pa.array(names, pa.string()), np.array([_salt(x) for x in names], U64)
         for words, own, keys, _ in _read(batch):
             _, first, n = np.unique(keys, return_index=True, return_counts=True)
             sizes = words.lengths[first]
@@ -165,16 +179,25 @@ def _word_counter(batches: Batches) -> Batches:
             written = pa.StringArray.from_buffers(
                 len(first), pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(words.raw[place].tobytes())
             )
-            total = np.bincount(own, minlength=len(names))
-            yield pa.record_batch(
-                [
-                    pa.array(np.array(names, object)[np.append(own[first], np.arange(len(names)))], pa.string()),
-                    pa.concat_arrays([written, pa.nulls(len(names), pa.string())]),
-                    pa.array(np.append(keys[first], np.zeros(len(names), U64)).view(np.int64)),
-                    pa.array(np.append(n, total), pa.int64()),
-                ],
-                names=["lang", "word", "key", "n"],
+            held.append(
+                pa.table(
+                    {
+                        "lang": langs.take(pa.array(np.append(own[first], np.arange(len(names))))),
+                        "word": pa.concat_arrays([written, pa.nulls(len(names), pa.string())]),
+                        "key": np.append(keys[first], salts).view(np.int64),
+                        "n": np.append(n, np.bincount(own, minlength=len(names))),
+                    }
+                )
             )
+            size += len(held[-1])
+            if size >= 2 * WORDS_AT_ONCE:
+                held = [merged()]
+                size = len(held[0])
+                if size >= WORDS_AT_ONCE:
+                    yield from held[0].combine_chunks().to_batches(1 << 16)
+                    held, size = [], 0
+    if held:
+        yield from merged().combine_chunks().to_batches(1 << 16)
 
 
 def _found(values: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -185,41 +208,41 @@ def _found(values: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, values[at] == keys
 
 
-def _sequences(tokens: np.ndarray) -> pa.RecordBatch:
-    return pa.record_batch([pa.array([tokens.tobytes()], pa.binary())], names=["tokens"])
-
-
-def _key_writer(batches: Batches) -> Batches:
-    """Keys of a slice's words in their order, and 0 before every phrase."""
+def _key_sequences(batches: Batches) -> Iterator[np.ndarray]:
+    """Keys of a slice's words in their order, without the lowest bit, and 0 before every phrase."""
     for batch in batches:
         for words, _, keys, opens in _read(batch):
-            place = np.arange(len(words)) + np.cumsum(opens)
             tokens = np.zeros(len(words) + int(opens.sum()), np.int64)
-            tokens[place] = keys.view(np.int64)
-            yield _sequences(tokens)
+            tokens[np.arange(len(words)) + np.cumsum(opens)] = (keys >> U64(1)).view(np.int64)
+            yield tokens
+
+
+def _stored_sequences(batches: Batches) -> Iterator[np.ndarray]:
+    for batch in batches:
+        for blob in batch.column(0):
+            yield np.frombuffer(blob.as_py(), np.int64)
 
 
-def _replacer(shared, first: bool, last: bool) -> Callable[[Batches], Batches]:
-    """Ids in place of the keys of one part of the words.
+def _encoder(shared, first: bool, last: bool) -> Callable[[Batches], Batches]:
+    """Ids in place of the keys of one part of the words; the ``first`` part reads texts.
 
-    Ids are written as negative numbers until the last part, and keys as positive
-    ones, without their lowest bit; the last part leaves 0 for what has no id.
+    Until the last part ids are written as negative numbers and keys as positive
+    ones; the last part leaves 0 for what has no id.
     """
 
     def run(batches: Batches) -> Batches:
         keys, ids = shared.value
-        for batch in batches:
-            for blob in batch.column(0):
-                tokens = np.frombuffer(blob.as_py(), np.int64)
-                if first:
-                    tokens = np.where(tokens != 0, (tokens.view(U64) >> U64(1)).view(np.int64), 0)
-                at, known = _found(keys, tokens)
-                tokens = np.where(known & (tokens > 0), -ids[at] if len(ids) else 0, tokens)
-                if last:
-                    tokens = np.maximum(-tokens, 0).astype(np.int32)
-                    # Of several zeros one after the other one is enough.
-                    tokens = tokens[np.append(True, (tokens[1:] != 0) | (tokens[:-1] != 0))]
-                yield _sequences(tokens)
+        for tokens in (_key_sequences if first else _stored_sequences)(batches):
+            at, known = _found(keys, tokens)
+            tokens = np.where(known & (tokens > 0), -ids[at] if len(ids) else 0, tokens)
+            if last:
+                tokens = np.maximum(-tokens, 0).astype(np.int32)
+                # Of several zeros one after the other one is enough.
+                tokens = tokens[np.append(True, (tokens[1:] != 0) | (tokens[:-1] != 0))[: len(tokens)]]
+            breaks = np.flatnonzero(tokens == 0)
+            cuts = breaks[np.searchsorted(breaks, np.arange(ROW, len(tokens) - ROW, ROW)) % max(len(breaks), 1)]
+            rows = [x.tobytes() for x in np.split(tokens, np.unique(cuts))]
+            yield pa.record_batch([pa.array(rows, pa.binary())], names=["tokens"])
 
     return run
 
@@ -230,14 +253,14 @@ def _encoded(rows: DataFrame, words: DataFrame, parts: int) -> DataFrame:
     Tasks hold one of ``parts`` parts of the words at a time.
     """
     spark = rows.sparkSession
-    tokens = rows.mapInArrow(_key_writer, "tokens binary")
+    tokens = rows
     short = F.shiftrightunsigned("key", 1)
     for part in range(parts):
         table = words.select(short.alias("key"), "id").where(F.pmod("key", F.lit(parts)) == part).toArrow()
         table = table.sort_by("key")
         shared = spark.sparkContext.broadcast((table["key"].to_numpy(), table["id"].to_numpy()))
-        replaced = tokens.mapInArrow(_replacer(shared, part == 0, part == parts - 1), "tokens binary")
-        tokens = stored(replaced, "tokens")
+        encode = _encoder(shared, part == 0, part == parts - 1)
+        tokens = stored(tokens.mapInArrow(encode, "tokens binary"), "tokens")
         shared.destroy()
     return tokens
 
