@@ -714,7 +714,8 @@ def streamed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         f"{folder}/checkpoint",
         trigger={"availableNow": True},
     ).awaitTermination()
-    return (spark.read.text(f"{folder}/out"), spark.read.text(f"{folder}/dead"))
+    # Each batch has a folder of its own, whose name would be a column.
+    return tuple(spark.read.text(f"{folder}/{end}").select("value") for end in ("out", "dead"))
 
 
 def fields(lines: DataFrame, *names: str) -> DataFrame:
@@ -765,7 +766,7 @@ def stream_conservation(spark, sf_dir):
     ).awaitTermination()
     ends = {"messages": "in", "answers": "out", "dead_letters": "dead"}
     lines = terms.union_tagged(
-        {name: spark.read.text(f"{folder}/{end}") for name, end in ends.items()}, "end"
+        {name: spark.read.text(f"{folder}/{end}").select("value") for name, end in ends.items()}, "end"
     )
     return lines.agg(*(F.count_if(F.col("end") == name).alias(name) for name in ends))
 
