@@ -346,7 +346,7 @@ def train(
 
 def _scoring(shared, threshold: float) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
-        model = shared.value
+        model = Classifier(*shared.value)
         for batch in batches:
             for first, last, content, page in _features(*batch.columns[1:5]):
                 one, two = model.logits([content, page])
@@ -384,7 +384,7 @@ def classify(
     gives an empty result.
     """
     small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.views, model.calibration, model.prior))
     rows = _columns(docs, id, text, source, lang, chars)
     columns = layout(
         rows.schema["id"].dataType, "content_score double, page_score double, score double, kept boolean"

@@ -141,16 +141,16 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", dimensions: i
 
 def _scorer(shared, dimensions: int) -> Callable[[Batches], Batches]:
     def score(batches: Batches) -> Batches:
-        profiles = shared.value
-        names = np.array([*profiles.names, UNKNOWN], dtype=object)
+        known, languages = shared.value
+        names = np.array([*known, UNKNOWN], dtype=object)
         for batch in batches:
             best, cosine = np.full(batch.num_rows, len(names) - 1), np.zeros(batch.num_rows)
             for first, last, counts, vectors, letters in _trigrams(batch.column(1), dimensions):
-                if not len(profiles.names):
+                if not len(known):
                     continue
                 own = counts @ vectors
                 length = np.linalg.norm(own, axis=1)
-                product = own @ profiles.vectors.T / np.maximum(length, 1e-9)[:, None]
+                product = own @ languages.T / np.maximum(length, 1e-9)[:, None]
                 top = product.argmax(axis=1)
                 some = letters > 0
                 best[first:last][some] = top[some]
@@ -177,7 +177,7 @@ def identify(docs: DataFrame, profiles: Profiles, id: str = "doc_id", text: str
     empty result.
     """
     small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(profiles)
+    shared = docs.sparkSession.sparkContext.broadcast((profiles.names, profiles.vectors))
     columns = layout(docs.schema[id].dataType, "lang_pred string, score double")
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     dimensions = profiles.vectors.shape[1]

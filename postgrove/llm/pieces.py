@@ -175,7 +175,7 @@ def _lists(parts: list[bytes | None]) -> pa.Array:
 
 def _encoding(shared) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
-        encode = encoder(shared.value)
+        encode = encoder(Vocabulary(*shared.value))
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(start, ROWS_AT_ONCE)
@@ -189,7 +189,7 @@ def _encoding(shared) -> Callable[[Batches], Batches]:
 
 def _decoding(shared) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
-        decode = decoder(shared.value)
+        decode = decoder(Vocabulary(*shared.value))
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(start, ROWS_AT_ONCE)
@@ -207,7 +207,9 @@ def _applied(
     df: DataFrame, vocabulary: Vocabulary, column: str, run: Callable, name: str, kind: str, keep: list[str]
 ) -> DataFrame:
     small_batches(df.sparkSession)
-    shared = df.sparkSession.sparkContext.broadcast(vocabulary)
+    # Lists and dictionaries alone: workers have no copy of this class to read it by.
+    fields = vocabulary.pieces, vocabulary.scores, vocabulary.usable, vocabulary.bytes, vocabulary.unknown
+    shared = df.sparkSession.sparkContext.broadcast(fields)
     kept = [F.col(x).alias(f"_{i}") for i, x in enumerate(keep)]
     layout = ", ".join(f"_{i} {df.schema[x].dataType.simpleString()}" for i, x in enumerate(keep))
     rows = df.select(*kept, F.col(column).alias("_value"))
