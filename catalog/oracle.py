@@ -464,6 +464,9 @@ ORACLE_SQL: dict[str, str] = {
     "keyed_compaction": """SELECT CASE WHEN c_nationkey % 9 <> 0 THEN c_nationkey END AS c_nationkey, c_custkey,
         CASE WHEN c_custkey % 5 = 0 THEN 4 WHEN c_custkey % 4 = 0 THEN 3 WHEN c_custkey % 3 = 0 THEN 2
             WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS turn FROM customer""",
+    "keyed_writers": """SELECT o_orderkey, o_orderstatus, (CASE WHEN o_orderkey % 5 = 0 AND seen = 'after' THEN 4
+            WHEN o_orderkey % 4 = 0 THEN 3 WHEN o_orderkey % 3 = 0 THEN 2 WHEN o_orderkey % 2 = 0 THEN 1
+            ELSE 0 END)::INTEGER AS turn, seen FROM orders, (VALUES ('before'), ('after')) s(seen)""",
     "train_split": """SELECT doc_id,
         ('0x' || md5('7|' || doc_id)[1:8])::BIGINT % 10000 < 7500 AS train FROM documents""",
     "feature_index": """
@@ -487,6 +490,8 @@ ORACLE_SQL: dict[str, str] = {
         FROM (SELECT *, uuid[2:]::BIGINT AS n FROM ({REQUESTS}))""",
     "stream_score": f"""SELECT uuid, {KNOWN_SENTIMENT} AS prediction
         FROM (SELECT *, uuid[2:]::BIGINT AS n FROM ({REQUESTS})) WHERE n % 7 <> 0 AND n % 11 <> 0""",
+    "stream_upsert": f"""SELECT uuid, {KNOWN_SENTIMENT} AS prediction
+        FROM (SELECT *, uuid[2:]::BIGINT AS n FROM ({REQUESTS})) WHERE n % 7 <> 0 AND n % 11 <> 0""",
     "stream_conservation": """SELECT count(*) AS messages, count(*) FILTER (WHERE event_id % 5 <> 0
             AND event_id % 7 <> 0 AND event_id % 11 <> 0 AND event_id % 13 <> 0 AND event_id % 17 <> 0)
             AS answers, count(*) - answers AS dead_letters FROM events""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -12,11 +13,11 @@ from postgrove.dimensions import LANGUAGE_NAMES, UNKNOWN_LANGUAGE
 from postgrove.functions import codec, labels, text, timefeat
 from postgrove.operators import geo, language, lookup, pivot, sentiment, series, terms
 from postgrove.plans import enrich, ingest, reports, training
-from postgrove.schemas import CLEAN_POST, CONTRACTS, ENRICHED_POST, RAW_POST, TableContract
+from postgrove.schemas import ANSWERS, CLEAN_POST, CONTRACTS, ENRICHED_POST, RAW_POST, TableContract
 from postgrove.session import shared_folder
 from postgrove.sources import files
 from postgrove.sources.keyed import KeyedTable
-from postgrove.sources.messages import Sink, read_messages
+from postgrove.sources.messages import KeyedSink, Sink, read_messages
 from postgrove.streaming import scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -774,3 +775,53 @@ def stream_conservation(spark, sf_dir):
 @query
 def stream_dead_letter(spark, sf_dir):
     return fields(streamed(spark, sf_dir)[1], "message", "reason")
+
+
+@query
+def stream_upsert(spark, sf_dir):
+    """Answers by ``uuid`` where every third request is sent twice and all are streamed twice.
+
+    The second stream has a new checkpoint, so it repeats every batch of the first.
+    """
+    folder = shared_folder(spark, "upserted")
+    sent = messages(spark, sf_dir)
+    number = F.xxhash64("value")
+    sent.union(sent.where(F.pmod(number, F.lit(3)) == 0)).write.text(f"{folder}/in")
+    model, _, _ = trained(spark, sf_dir, training.REQUEST_FEATURES)
+    answers = KeyedTable(spark, f"{folder}/answers", ANSWERS)
+    for turn in ("first", "second"):
+        arriving = read_messages(spark, "text", "arrived", path=f"{folder}/in")
+        scoring.start_scoring(
+            scoring.each_once(arriving, "arrived"),
+            model.model,
+            KeyedSink(answers),
+            Sink("text", f"{folder}/dead-{turn}"),
+            f"{folder}/checkpoint-{turn}",
+            trigger={"availableNow": True},
+        ).awaitTermination()
+    return answers.read()
+
+
+@query
+def keyed_writers(spark, sf_dir):
+    """Orders of each customer, by as many writers at once as there are order states, then folded beside another."""
+    contract = TableContract(
+        T.StructType().add("o_orderkey", T.LongType()).add("o_orderstatus", T.StringType())
+        .add("turn", T.IntegerType()),
+        ("o_orderkey",),
+    )
+    path = shared_folder(spark, "writers")
+    orders = table(spark, sf_dir, "orders")
+
+    def write(turn: int) -> None:
+        # Each writer opens the table itself, as jobs of their own would.
+        own = orders.where(F.pmod("o_orderkey", F.lit(turn + 1)) == 0).withColumn("turn", F.lit(turn))
+        KeyedTable(spark, path, contract).upsert(own, version=turn)
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(write, range(4)))
+        stored = KeyedTable(spark, path, contract)
+        before = stored.snapshot()
+        list(pool.map(lambda job: job(), (stored.compact, lambda: write(4), KeyedTable(spark, path, contract).compact)))
+    stored.vacuum()
+    return terms.union_tagged({"before": stored.read(before), "after": stored.read()}, "seen")

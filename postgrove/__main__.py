@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from postgrove.dimensions import CORRECTED_BOXES, POLARITY_WORDS, REGION_BOXES, STOP_WORDS
 from postgrove.operators.language import LanguageModel
 from postgrove.plans import enrich, ingest, reports, training
-from postgrove.schemas import CLEAN_POST, CONTRACTS, ENRICHED_POST, RAW_POST
+from postgrove.schemas import ANSWERS, CLEAN_POST, CONTRACTS, ENRICHED_POST, RAW_POST
 from postgrove.session import build_session
 from postgrove.sources import files
 from postgrove.sources.keyed import KeyedTable
-from postgrove.sources.messages import Sink, read_messages
-from postgrove.streaming.scoring import start_scoring
+from postgrove.sources.messages import KeyedSink, Sink, read_messages
+from postgrove.streaming.scoring import each_once, start_scoring
 
 
 def raw_posts(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -101,7 +101,10 @@ def job_report(spark, args):
 
 def job_compact(spark, args):
     """Fold the versions of a result table into a new base."""
-    KeyedTable(spark, args.output, CONTRACTS[args.table]).compact()
+    table = KeyedTable(spark, args.output, CONTRACTS[args.table])
+    table.compact()
+    if args.vacuum_hours is not None:
+        table.vacuum(args.vacuum_hours * 3600)
 
 
 def job_train(spark, args):
@@ -123,10 +126,18 @@ def job_score(spark, args):
 def job_serve(spark, args):
     """Score request messages until stopped."""
     source = options(args.source_option)
+    if args.once_within:
+        messages = each_once(read_messages(spark, args.source, "arrived", **source), "arrived", args.once_within)
+    else:
+        messages = read_messages(spark, args.source, **source)
+    if args.sink == "keyed":
+        answers = KeyedSink(KeyedTable(spark, args.answers, ANSWERS))
+    else:
+        answers = Sink(args.sink, args.answers, options(args.sink_option))
     start_scoring(
-        read_messages(spark, args.source, **source),
+        messages,
         training.load_model(args.model),
-        Sink(args.sink, args.answers, options(args.sink_option)),
+        answers,
         Sink("text", args.dead_letters),
         args.checkpoint,
         {"availableNow": True} if args.once else None,
@@ -180,11 +191,13 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--seed", type=int, required=True)
     sub = job("compact", job_compact, "output")
     sub.add_argument("table", choices=REPORTS)
+    sub.add_argument("--vacuum-hours", type=float, help="also remove folders not in use for so long")
     job("score", job_score, "input", "model", "output")
     sub = job("serve", job_serve, "model", "checkpoint", "dead-letters")
     sub.add_argument("--source", default="kafka")
     sub.add_argument("--source-option", action="append", default=[])
-    sub.add_argument("--sink", default="kafka")
+    sub.add_argument("--sink", default="kafka", help="a format, or keyed for a table with one answer per uuid")
+    sub.add_argument("--once-within", help="drop requests whose uuid came before within this time, as 1 hour")
     sub.add_argument("--answers", help="folder of answers, for file sinks")
     sub.add_argument("--sink-option", action="append", default=[])
     sub.add_argument("--once", action="store_true", help="stop when all pending are answered")

@@ -126,3 +126,6 @@ CONTRACTS: dict[str, TableContract] = {
         ("candidate", "state", "word"),
     ),
 }
+
+# Answers to scoring requests.
+ANSWERS = TableContract(_struct(uuid=T.StringType(), prediction=T.StringType()), ("uuid",))

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from postgrove.functions.codec import decode_one_object, encode_json
 from postgrove.plans.training import PREDICTED, score
 from postgrove.schemas import SCORE_REQUEST
-from postgrove.sources.messages import Sink
+from postgrove.sources.messages import KeyedSink, Sink, once
 
 
 def parse_requests(messages: DataFrame) -> DataFrame:
@@ -35,10 +35,21 @@ def parse_requests(messages: DataFrame) -> DataFrame:
     return parsed.select("value", reason.alias("reason"), "_request.*")
 
 
+def answered(requests: DataFrame, model: PipelineModel) -> DataFrame:
+    """(uuid, prediction) for every request that can be scored."""
+    scored = score(model, requests.where(F.col("reason").isNull()).drop("value", "reason"))
+    return scored.select("uuid", F.col(PREDICTED).alias("prediction"))
+
+
 def responses(requests: DataFrame, model: PipelineModel) -> DataFrame:
     """``{"uuid", "prediction"}`` for every request that can be scored."""
-    scored = score(model, requests.where(F.col("reason").isNull()).drop("value", "reason"))
-    return scored.select(encode_json("uuid", F.col(PREDICTED).alias("prediction")).alias("value"))
+    return answered(requests, model).select(encode_json("uuid", "prediction").alias("value"))
+
+
+def each_once(messages: DataFrame, arrived: str, within: str = "1 hour") -> DataFrame:
+    """Messages without those whose ``uuid`` came before, within that time; see :func:`once`."""
+    key = decode_one_object(F.col("value"), SCORE_REQUEST)["uuid"]
+    return once(messages, key, arrived, within).select("value")
 
 
 def rejects(requests: DataFrame) -> DataFrame:
@@ -50,7 +61,7 @@ def rejects(requests: DataFrame) -> DataFrame:
 def start_scoring(
     messages: DataFrame,
     model: PipelineModel,
-    answers: Sink,
+    answers: Sink | KeyedSink,
     dead_letters: Sink,
     checkpoint: str,
     trigger: dict | None = None,
@@ -58,13 +69,15 @@ def start_scoring(
     """Score a stream of messages; those that cannot be scored go to a sink of their own.
 
     All pending messages of a micro-batch are scored in parallel by the model
-    loaded once. A restart goes on from the checkpoint.
+    loaded once. A restart goes on from the checkpoint. A keyed sink has one answer for
+    each ``uuid``, however often a request is sent or a batch repeated.
     """
+    made = answered if isinstance(answers, KeyedSink) else responses
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         requests = parse_requests(batch).persist()
         try:
-            answers.write(responses(requests, model), batch_id)
+            answers.write(made(requests, model), batch_id)
             dead_letters.write(rejects(requests), batch_id)
         finally:
             requests.unpersist()
