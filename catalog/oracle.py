@@ -504,14 +504,19 @@ ORACLE_SQL: dict[str, str] = {
         FROM events WHERE event_id % 7 = 0 OR event_id % 11 = 0""",
 }
 
-ORACLE_SQL["all_result_tables"] = " UNION ALL ".join(
-    as_rows(name, ORACLE_SQL[query])
-    for name, query in {
-        "hour": "hourly_counts",
-        "state": "state_counts",
-        "language": "language_counts",
-        "state_analyze": "state_sentiment_counts",
-        "date_cumulative": "cumulative_by_language",
-        "word_list": "top_words",
-    }.items()
-)
+RESULT_TABLES = {
+    "hour": "hourly_counts",
+    "state": "state_counts",
+    "language": "language_counts",
+    "state_analyze": "state_sentiment_counts",
+    "date_cumulative": "cumulative_by_language",
+    "word_list": "top_words",
+}
+
+
+def tables_as_rows(*names: str) -> str:
+    return " UNION ALL ".join(as_rows(name, ORACLE_SQL[RESULT_TABLES[name]]) for name in names)
+
+
+ORACLE_SQL["all_result_tables"] = tables_as_rows(*RESULT_TABLES)
+ORACLE_SQL["report_increments"] = tables_as_rows(*list(RESULT_TABLES)[:5])

@@ -12,7 +12,7 @@ from catalog import posts
 from postgrove.dimensions import LANGUAGE_NAMES, UNKNOWN_LANGUAGE
 from postgrove.functions import codec, labels, text, timefeat
 from postgrove.operators import geo, language, lookup, pivot, sentiment, series, terms
-from postgrove.plans import enrich, ingest, reports, training
+from postgrove.plans import enrich, increments, ingest, reports, training
 from postgrove.schemas import ANSWERS, CLEAN_POST, CONTRACTS, ENRICHED_POST, RAW_POST, TableContract
 from postgrove.session import shared_folder
 from postgrove.sources import files
@@ -570,13 +570,16 @@ def all_result_tables(spark, sf_dir):
         stored = KeyedTable(spark, f"{folder}/{name}", CONTRACTS[name])
         stored.upsert(report)
         stored.upsert(report)
-        columns = [F.coalesce(F.col(x).cast("string"), F.lit("-")) for x in CONTRACTS[name].schema.names]
-        shown.append(
-            stored.read().select(F.lit(name).alias("table_name"), F.concat_ws("|", *columns).alias("row"))
-        )
+        shown.append(as_rows(name, stored.read()))
     return reduce(DataFrame.unionByName, shown)
 
 
+def as_rows(name: str, report: DataFrame) -> DataFrame:
+    """A result table as text, a row each."""
+    columns = [F.coalesce(F.col(x).cast("string"), F.lit("-")) for x in CONTRACTS[name].schema.names]
+    return report.select(F.lit(name).alias("table_name"), F.concat_ws("|", *columns).alias("row"))
+
+
 # --- models ------------------------------------------------------------------
 
 
@@ -825,3 +828,37 @@ def keyed_writers(spark, sf_dir):
         list(pool.map(lambda job: job(), (stored.compact, lambda: write(4), KeyedTable(spark, path, contract).compact)))
     stored.vacuum()
     return terms.union_tagged({"before": stored.read(before), "after": stored.read()}, "seen")
+
+
+# --- reports that follow new posts ---------------------------------------------
+
+
+@query
+def report_increments(spark, sf_dir):
+    """The reports as text, from posts that come in five parts by two streams, the last part in two writings."""
+    folder = shared_folder(spark, "increments")
+    counts = increments.ReportCounts(spark, f"{folder}/counts")
+    part = F.pmod(F.xxhash64("tweet", "date"), F.lit(5))
+    arriving = {"clean": clean(spark, sf_dir), "enriched": stored_posts(spark, sf_dir)}
+    schemas = {"clean": CLEAN_POST, "enriched": ENRICHED_POST}
+    follow = {"clean": counts.follow_clean, "enriched": counts.follow_enriched}
+    for kind, rows in arriving.items():
+        files.write_parquet(rows.withColumn("part", part), f"{folder}/all-{kind}", partition_by=("part",))
+        # Every part is a batch of its own; the stream starts again after the third.
+        whole = files.read_parquet(spark, f"{folder}/all-{kind}")
+        for own in ((0, 1, 2), (3, 4)):
+            for number in own:
+                mine = whole.where(F.col("part") == number).select(*schemas[kind].names)
+                mine.coalesce(1).write.mode("append").parquet(f"{folder}/{kind}")
+            stream = spark.readStream.schema(schemas[kind]).option("maxFilesPerTrigger", 1).parquet(f"{folder}/{kind}")
+            follow[kind](stream, f"{folder}/checkpoint-{kind}", {"availableNow": True}).awaitTermination()
+        if kind == "clean":
+            counts.compact()
+    made = {
+        "hour": counts.hourly_counts(),
+        "state": counts.state_counts(),
+        "language": counts.language_counts(),
+        "state_analyze": counts.state_sentiment_counts(),
+        "date_cumulative": counts.cumulative_by_language(),
+    }
+    return reduce(DataFrame.unionByName, (as_rows(name, report) for name, report in made.items()))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from postgrove.dimensions import CORRECTED_BOXES, POLARITY_WORDS, REGION_BOXES, STOP_WORDS
 from postgrove.operators.language import LanguageModel
 from postgrove.plans import enrich, ingest, reports, training
+from postgrove.plans.increments import ReportCounts
 from postgrove.schemas import ANSWERS, CLEAN_POST, CONTRACTS, ENRICHED_POST, RAW_POST
 from postgrove.session import build_session
 from postgrove.sources import files
@@ -99,6 +100,15 @@ def job_report(spark, args):
         KeyedTable(spark, args.output, CONTRACTS[args.table]).upsert(result, args.version)
 
 
+def job_follow(spark, args):
+    """Keep the counts behind the result tables up to date with a folder that posts are added to."""
+    schema = ENRICHED_POST if args.kind == "enriched" else CLEAN_POST
+    counts = ReportCounts(spark, args.output)
+    follow = counts.follow_enriched if args.kind == "enriched" else counts.follow_clean
+    posts = spark.readStream.schema(schema).parquet(args.input)
+    follow(posts, args.checkpoint, {"availableNow": True} if args.once else None).awaitTermination()
+
+
 def job_compact(spark, args):
     """Fold the versions of a result table into a new base."""
     table = KeyedTable(spark, args.output, CONTRACTS[args.table])
@@ -192,6 +202,9 @@ def parser() -> argparse.ArgumentParser:
     sub = job("compact", job_compact, "output")
     sub.add_argument("table", choices=REPORTS)
     sub.add_argument("--vacuum-hours", type=float, help="also remove folders not in use for so long")
+    sub = job("follow", job_follow, "input", "output", "checkpoint")
+    sub.add_argument("kind", choices=("clean", "enriched"))
+    sub.add_argument("--once", action="store_true", help="stop when all posts so far are counted")
     job("score", job_score, "input", "model", "output")
     sub = job("serve", job_serve, "model", "checkpoint", "dead-letters")
     sub.add_argument("--source", default="kafka")

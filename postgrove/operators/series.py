@@ -61,10 +61,37 @@ def cumulative_by_day(
     A NULL key gets zeros on every day, as it equals nothing.
     """
     first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
+    counted = df.groupBy(F.col(key), _day_in_span(date, first, last).alias("_day")).agg(F.count(column).alias("_n"))
+    return _summed_over_days(counted, key, first, last, date, name)
+
+
+def cumulative_of_counts(
+    counts: DataFrame,
+    key: str,
+    start: str,
+    end: str,
+    measure: str,
+    date: str = "date",
+    name: str = "cumulative",
+) -> DataFrame:
+    """:func:`cumulative_by_day` from rows that are counts already: ``measure`` per key and day.
+
+    Its cost follows the days, not the rows that were counted.
+    """
+    first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
+    counted = counts.groupBy(F.col(key), _day_in_span(date, first, last).alias("_day")).agg(F.sum(measure).alias("_n"))
+    return _summed_over_days(counted, key, first, last, date, name)
+
+
+def _day_in_span(date: str, first: Column, last: Column) -> Column:
     parsed = F.col(date).try_cast("date")
-    in_span = F.when(parsed.between(first, last) & (parsed.cast("string") == F.col(date)), parsed)
-    counted = df.groupBy(F.col(key), in_span.alias("_day")).agg(F.count(column).alias("_n"))
+    return F.when(parsed.between(first, last) & (parsed.cast("string") == F.col(date)), parsed)
+
 
+def _summed_over_days(
+    counted: DataFrame, key: str, first: Column, last: Column, date: str, name: str
+) -> DataFrame:
+    """Rows of (key, _day, _n) as running totals over every day from ``first`` to ``last``."""
     # The row without a day, if any, comes first: it counts nothing.
     by_day = Window.partitionBy(key).orderBy(F.asc_nulls_first("_day"))
     counts = F.when(F.col("_day").isNotNull() & F.col(key).isNotNull(), F.col("_n")).otherwise(0)

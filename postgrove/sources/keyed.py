@@ -187,8 +187,21 @@ class KeyedTable:
         if not now.parts:
             return rows.select(*names)
         keys = list(self.contract.keys)
-        rest = [name for name in names if name not in keys]
+        return self._joined(rows, keys, [name for name in names if name not in keys]).select(*names)
+
+    def _joined(self, rows: DataFrame, keys: list[str], rest: list[str]) -> DataFrame:
+        """One row per key from those of all versions."""
         newest = rows.groupBy(*keys).agg(F.max(F.struct("version", *rest)).alias("_row"))
-        return newest.select(
-            *(F.col(name) if name in keys else F.col(f"_row.{name}").alias(name) for name in names)
-        )
+        return newest.select(*keys, *(F.col(f"_row.{name}").alias(name) for name in rest))
+
+
+class SummedTable(KeyedTable):
+    """A table in which the numbers of rows with the same key add up.
+
+    An upsert brings what is to be added, so counts follow new rows at the cost of
+    those rows. Sums do not depend on the order of versions; what must not
+    be added twice is written as a numbered batch of a writer.
+    """
+
+    def _joined(self, rows: DataFrame, keys: list[str], rest: list[str]) -> DataFrame:
+        return rows.groupBy(*keys).agg(*(F.sum(name).alias(name) for name in rest))
