@@ -504,6 +504,9 @@ ORACLE_SQL: dict[str, str] = {
         FROM events WHERE event_id % 7 = 0 OR event_id % 11 = 0""",
 }
 
+ORACLE_SQL["top_words_summaries"] = ORACLE_SQL["top_words"]
+ORACLE_SQL["frequent_terms"] = ORACLE_SQL["topk_terms"]
+
 RESULT_TABLES = {
     "hour": "hourly_counts",
     "state": "state_counts",

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from catalog import posts
 from postgrove.dimensions import LANGUAGE_NAMES, UNKNOWN_LANGUAGE
 from postgrove.functions import codec, labels, text, timefeat
-from postgrove.operators import geo, language, lookup, pivot, sentiment, series, terms
+from postgrove.operators import geo, heavy, language, lookup, pivot, sentiment, series, terms
 from postgrove.plans import enrich, increments, ingest, reports, training
 from postgrove.schemas import ANSWERS, CLEAN_POST, CONTRACTS, ENRICHED_POST, RAW_POST, TableContract
 from postgrove.session import shared_folder
@@ -440,6 +440,20 @@ def top_words(spark, sf_dir):
     return reports.top_words(ingest.word_posts(raw), batch_id="run-1")
 
 
+@query
+def top_words_summaries(spark, sf_dir):
+    """The same from summaries of the tasks."""
+    raw = posts.raw_posts(texts(spark, sf_dir, "documents", "doc_id", "text"))
+    return reports.top_words(ingest.word_posts(raw), batch_id="run-1", summaries=True)
+
+
+@query
+def frequent_terms(spark, sf_dir):
+    """Top words of languages and sources from summaries so small that all ways of counting are taken."""
+    docs = texts(spark, sf_dir, "documents", "lang", "source", "text")
+    return heavy.frequent_terms(docs, ["lang", "source"], text.tokens(F.col("text")), remembered=4000, sent=2)
+
+
 # --- sources and sinks -------------------------------------------------------
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from postgrove.dimensions import STOP_WORDS
 from postgrove.functions.labels import row_uuid
+from postgrove.functions.text import tokens
+from postgrove.operators.heavy import frequent_terms
 from postgrove.operators.pivot import conditional_pivot, largest_first
 from postgrove.operators.series import cumulative_by_day
 from postgrove.operators.terms import explode_terms, term_counts, top_terms
@@ -61,15 +63,21 @@ def top_words(
     candidates: Sequence[str] = CANDIDATES,
     stop_words: Sequence[str] = STOP_WORDS,
     full_mentions: bool = False,
+    summaries: bool = False,
 ) -> DataFrame:
     """The ``k`` most frequent words of each class and region.
 
-    One pass for all classes: the class is part of the group, not a branch.
+    One pass for all classes: the class is part of the group, not a branch. With
+    ``summaries`` tasks send what may be among the first words, not all words:
+    the same result, for posts so many that the shuffle costs more than reading them again.
     """
     named = posts.where(F.col("candidate").isin(list(candidates))).withColumn(
         "candidate", F.lower("candidate")
     )
     keys = ["candidate", "state"]
+    if summaries:
+        words = tokens(F.col("tweet"), stop_words, full_mentions)
+        return frequent_terms(named, keys, words, k).withColumn("uuid", F.lit(batch_id))
     terms = explode_terms(named, keys, F.col("tweet"), stop_words, full_mentions)
     ranked = top_terms(term_counts(terms, keys), keys, k)
     return ranked.withColumn("uuid", F.lit(batch_id))
