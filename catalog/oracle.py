@@ -373,6 +373,14 @@ ORACLE_SQL: dict[str, str] = {
     "box_match_smallest": f"""SELECT c_custkey,
         {box_case("lat", "lon", sorted(REGION_BOXES, key=lambda box: box.area))} AS state
         FROM (SELECT c_custkey, {PLACE.format(key="c_custkey")} FROM customer)""",
+    "box_cover": f"""WITH centres AS (
+            SELECT i, CASE WHEN i % 3 <> 0 THEN 37.0::DOUBLE ELSE 24 + (i * 37 % 2600)::DOUBLE / 100 END AS y,
+                CASE WHEN i % 3 <> 0 THEN -96.0::DOUBLE ELSE -125 + (i * 101 % 5800)::DOUBLE / 100 END AS x,
+                (1 + i // 3)::DOUBLE / 128 AS size FROM range(3000) r(i)),
+        points AS (SELECT c_custkey, {PLACE.format(key="c_custkey")} FROM customer)
+        SELECT c_custkey, (SELECT 'box' || min(i) FROM centres
+            WHERE lat BETWEEN y - size AND y + size / 2
+            AND lon BETWEEN x - size * (1 + i % 5) AND x + size) AS state FROM points""",
     "code_lookup": f"""SELECT doc_id, code,
             {lookup_case("code", LANGUAGE_NAMES, UNKNOWN_LANGUAGE)} AS language
         FROM (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'xx' ELSE lang END AS code

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from postgrove.dimensions import Box
 from postgrove.schemas import RAW_POST
 
 # Polarity of words that occur in the generated prose of the test tables.
@@ -32,6 +33,16 @@ def place(key: Column) -> list[Column]:
     ]
 
 
+def many_boxes() -> list[Box]:
+    """Boxes that overlap: two of three are nested in some degrees, the smallest first."""
+    made = []
+    for i in range(3000):
+        lat, lon = (37.0, -96.0) if i % 3 else (24 + i * 37 % 2600 / 100, -125 + i * 101 % 5800 / 100)
+        size = (1 + i // 3) / 128
+        made.append(Box(f"box{i}", lat - size, lat + size / 2, lon - size * (1 + i % 5), lon + size))
+    return made
+
+
 def raw_posts(documents: DataFrame) -> DataFrame:
     """One raw post per document, plus the name of the file it would have come from."""
     key = F.col("doc_id")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from catalog import posts
 from postgrove.dimensions import LANGUAGE_NAMES, UNKNOWN_LANGUAGE
 from postgrove.functions import codec, labels, text, timefeat
-from postgrove.operators import geo, heavy, language, lookup, pivot, sentiment, series, terms
+from postgrove.operators import cover, geo, heavy, language, lookup, pivot, sentiment, series, terms
 from postgrove.plans import enrich, increments, ingest, reports, training
 from postgrove.schemas import ANSWERS, CLEAN_POST, CONTRACTS, ENRICHED_POST, RAW_POST, TableContract
 from postgrove.session import shared_folder
@@ -234,6 +234,13 @@ def box_match_smallest(spark, sf_dir):
     return geo.box_match(points, tie_break="smallest_area").select("c_custkey", "state")
 
 
+@query
+def box_cover(spark, sf_dir):
+    """Points among 3,000 overlapping boxes, many nested around one place and some with equal edges."""
+    points = table(spark, sf_dir, "customer").select("c_custkey", *posts.place(F.col("c_custkey")))
+    return cover.cover_match(points, posts.many_boxes()).select("c_custkey", "state")
+
+
 @query
 def code_lookup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(
