@@ -460,6 +460,14 @@ ORACLE_SQL: dict[str, str] = {
     "csv_roundtrip": f"WITH {CLEAN} SELECT {CLEAN_COLUMNS} FROM clean",
     "csv_records": f"WITH {CLEAN} SELECT {CLEAN_COLUMNS} FROM clean",
     "raw_csv_ingest": f"WITH {CLEAN} SELECT {CLEAN_COLUMNS} FROM clean",
+    "ingest_quarantine": f"""WITH {placed("hour")}, judged AS (
+            SELECT doc_id, CASE WHEN doc_id % 31 = 0 THEN 'malformed line' WHEN doc_id % 29 = 0 THEN 'no place'
+                WHEN {found_time("created_at", "hour")} IS NULL THEN 'no time'
+                WHEN {found_time("joined", "hour")} IS NULL THEN 'no join time'
+                WHEN {box_case("lat", "lon", REGION_BOXES)} IS NULL THEN 'no region'
+                WHEN candidate IS NULL THEN 'no class' ELSE 'kept' END AS verdict FROM raw)
+        SELECT verdict, {CLEAN_COLUMNS} FROM judged LEFT JOIN placed
+            ON judged.doc_id = placed.doc_id AND verdict = 'kept'""",
     "parquet_roundtrip": f"WITH {CLEAN} SELECT {CLEAN_COLUMNS} FROM clean WHERE candidate = 'Biden'",
     "table_append": f"""WITH {CLEAN}, counts AS (SELECT hour,
             count(*) FILTER (WHERE candidate = 'Trump') AS trump,
@@ -477,6 +485,9 @@ ORACLE_SQL: dict[str, str] = {
             ELSE 0 END)::INTEGER AS turn, seen FROM orders, (VALUES ('before'), ('after')) s(seen)""",
     "train_split": """SELECT doc_id,
         ('0x' || md5('7|' || doc_id)[1:8])::BIGINT % 10000 < 7500 AS train FROM documents""",
+    "train_split_exact": """SELECT doc_id, lang, row_number() OVER (
+            PARTITION BY lang ORDER BY ('0x' || md5('7|' || doc_id)[1:13])::BIGINT)
+            <= floor(0.75 * count(*) OVER (PARTITION BY lang) + 0.5) AS train FROM documents""",
     "feature_index": """
         WITH langs AS (SELECT lang, row_number() OVER (ORDER BY count(*) DESC, lang) - 1 AS i
             FROM documents GROUP BY lang),

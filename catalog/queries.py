@@ -486,6 +486,15 @@ def raw_csv_ingest(spark, sf_dir):
     The name of every post has a quotation mark of its own, and is written unquoted.
     """
     folder = shared_folder(spark, "raw_csv")
+    write_raw_csv(spark, sf_dir, folder, F.lit(False))
+    back = files.read_csv(
+        spark, f"{folder}/hashtag_*", RAW_POST, header=False, file_column="filename"
+    )
+    return ingest.clean_posts(back)
+
+
+def write_raw_csv(spark: SparkSession, sf_dir: str, folder: str, cut: Column) -> None:
+    """Raw posts as CSV files; of those in ``cut`` only the beginning of the line."""
     docs = texts(spark, sf_dir, "documents", "doc_id", "text")
     raw = posts.raw_posts(docs).withColumn("user_name", F.lit('the 5" pipe'))
     cells = [
@@ -495,15 +504,26 @@ def raw_csv_ingest(spark, sf_dir):
         for name in RAW_POST.fieldNames()
     ]
     line = F.concat_ws(",", *(F.coalesce(cell, F.lit("")) for cell in cells))
+    line = F.when(cut, F.concat_ws(",", "tweet_id", F.lit("cut"))).otherwise(line)
     for label in ("donaldtrump", "joebiden", "other"):
         named = F.col("filename").contains(label)
         if label == "other":
             named = ~F.col("filename").rlike("donaldtrump|joebiden")
         raw.where(named).select(line).write.text(f"{folder}/hashtag_{label}")
-    back = files.read_csv(
-        spark, f"{folder}/hashtag_*", RAW_POST, header=False, file_column="filename"
+
+
+@query
+def ingest_quarantine(spark, sf_dir):
+    """Every line of raw CSV files with its verdict; every 31st line is cut short."""
+    folder = shared_folder(spark, "judged")
+    write_raw_csv(spark, sf_dir, f"{folder}/raw", F.col("tweet_id").cast("bigint") % 31 == 0)
+    raw = files.read_csv(
+        spark, f"{folder}/raw/hashtag_*", RAW_POST, header=False, file_column="filename", corrupt_column="corrupt"
     )
-    return ingest.clean_posts(back)
+    ingest.write_judged(raw, f"{folder}/posts", corrupt_column="corrupt")
+    kept, rejected = ingest.read_kept(spark, f"{folder}/posts"), ingest.read_rejected(spark, f"{folder}/posts")
+    nothing = [F.lit(None).cast(field.dataType).alias(field.name) for field in CLEAN_POST]
+    return kept.select(F.lit(ingest.KEPT).alias("verdict"), "*").union(rejected.select("reason", *nothing))
 
 
 @query
@@ -610,6 +630,13 @@ def train_split(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", first.alias("train"))
 
 
+@query
+def train_split_exact(spark, sf_dir):
+    """Three quarters of the documents of every language, to the row."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    return training.with_exact_split(docs, ["doc_id"], "lang", 0.75, seed=7, name="train")
+
+
 @query
 def feature_index(spark, sf_dir):
     """Category indexes, and the vector opened up: its width and what is set."""

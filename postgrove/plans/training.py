@@ -15,7 +15,7 @@ from pyspark.ml.feature import (
     StringIndexerModel,
     VectorAssembler,
 )
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from postgrove.operators.terms import union_tagged
 
@@ -61,6 +61,59 @@ def split_rows(
     return df.where(first), df.where(~first)
 
 
+def _hash_of(keys: list[str], seed: int) -> Column:
+    """52 bits that follow from the values alone."""
+    texts = [F.coalesce(F.col(key).cast("string"), F.lit("")) for key in keys]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *texts)), 1, 13), 16, 10).cast("bigint")
+
+
+# The first pass counts hashes by their highest bits.
+HIGH_BITS = 16
+MAX_BROADCAST_LABELS = 100_000
+
+
+def with_exact_split(
+    df: DataFrame, keys: list[str], label: str, fraction: float = 0.75, seed: int = 0, name: str = "first"
+) -> DataFrame:
+    """Add whether a row falls into the first part, which has its exact share of every label.
+
+    Rows go by a hash of their ``keys``, as with :func:`in_first_part`, but up to a threshold of
+    each label, found in two passes and without a sort: the first counts hashes by their highest bits, which tells
+    the range that holds the threshold, the second only what is in that range. The share is right to one
+    row; rows that are equal in all keys fall on the same side, together. NULL is a label of its own.
+    """
+    rows = df.select(F.col(label).alias("_label"), _hash_of(keys, seed).alias("_hash"))
+    shift = 52 - HIGH_BITS
+
+    high = F.shiftright("_hash", shift).alias("high")
+    ranges = rows.groupBy("_label", high).agg(F.count("*").alias("n"))
+    sizes = ranges.withColumn("all", F.sum("n").over(Window.partitionBy("_label")))
+    want = F.floor(F.lit(fraction) * F.col("all") + 0.5)
+    # At most 2 ** HIGH_BITS rows of a label.
+    first = sizes.withColumn("want", want).where("want > 0")
+    window = Window.partitionBy("_label").orderBy("high").rowsBetween(Window.unboundedPreceding, 0)
+    crossed = (
+        first.withColumn("to", F.sum("n").over(window))
+        .where("to >= want and to - n < want")
+        .select(F.col("_label").alias("_own"), "high", "want", (F.col("to") - F.col("n")).alias("before"))
+    )
+    labels = crossed.count()
+    send = F.broadcast if labels <= MAX_BROADCAST_LABELS else (lambda x: x)
+    near = rows.join(
+        send(crossed), rows["_label"].eqNullSafe(crossed["_own"]) & (F.shiftright("_hash", shift) == F.col("high"))
+    )
+    hashes = near.groupBy("_label", "_hash", "want", "before").agg(F.count("*").alias("n"))
+    window = Window.partitionBy("_label").orderBy("_hash").rowsBetween(Window.unboundedPreceding, 0)
+    limits = (
+        hashes.withColumn("to", F.col("before") + F.sum("n").over(window))
+        .where("to >= want and to - n < want")
+        .select(F.col("_label").alias("_own"), F.col("_hash").alias("_limit"))
+    )
+    joined = df.withColumn("_hash", _hash_of(keys, seed)).join(send(limits), F.col(label).eqNullSafe(F.col("_own")), "left")
+    inside = F.coalesce(F.col("_hash") <= F.col("_limit"), F.lit(False))
+    return joined.select(*df.columns, inside.alias(name))
+
+
 def feature_stages(features: tuple[tuple[str, str], ...]) -> list[Transformer]:
     """Indexer, encoder and assembler. Unseen categories are kept as one more.
 

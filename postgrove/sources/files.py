@@ -14,6 +14,7 @@ def read_csv(
     header: bool = True,
     multi_line: bool = True,
     file_column: str | None = None,
+    corrupt_column: str | None = None,
     **options: str,
 ) -> DataFrame:
     """CSV files with a declared schema, columns bound by position.
@@ -21,8 +22,12 @@ def read_csv(
     ``multi_line`` lets quoted text hold line ends, at the price of one task
     per file: raw CSV is read once, in many files of ordinary size, and kept as
     Parquet from then on. Without it files are split. ``file_column`` names a
-    column for the path each row came from.
+    column for the path each row came from, and ``corrupt_column`` one for the
+    text of a line that has too few or too many cells, or a cell of another type; other lines have NULL there.
     """
+    if corrupt_column is not None:
+        schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType())])
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt_column} | options
     reader = spark.read.schema(schema).options(
         header=header, multiLine=multi_line, quote='"', escape='"', **options
     )

@@ -161,3 +161,52 @@ def test_versions_count_up_and_fold(spark, tmp_path):
     # A base that was not finished is not used.
     (tmp_path / "t" / "base-2").mkdir()
     assert {r.k: r.n for r in stored.read().collect()} == rows
+
+
+RAW_LINES = [
+    ["2020-10-20 10:11:12", "1", "a, \"b\"", "1", "2", "web", "7", "n", "s", "d", "2010-01-01 00:00:00", "3", "l", "40", "-83"],
+    ["2020-10-20 10:11:12", "2", "no place", "1", "2", "web", "7", "n", "s", "d", "2010-01-01 00:00:00", "3", "l", "", "-83"],
+    ["soon", "3", "no time", "1", "2", "web", "7", "n", "s", "d", "2010-01-01 00:00:00", "3", "l", "40", "-83"],
+    ["2020-10-20 10:11:12", "4", "no join time", "1", "2", "web", "7", "n", "s", "d", "", "3", "l", "40", "-83"],
+    ["2020-10-20 10:11:12", "5", "at sea", "1", "2", "web", "7", "n", "s", "d", "2010-01-01 00:00:00", "3", "l", "0", "0"],
+    ["2020-10-20 10:11:12", "6", "bad number", "1", "2", "web", "7", "n", "s", "d", "2010-01-01 00:00:00", "3", "l", "forty", "-83"],
+]
+
+
+def test_no_line_is_lost_between_kept_and_rejected(spark, tmp_path):
+    import csv
+
+    for label in ("donaldtrump", "unnamed"):
+        with open(tmp_path / f"hashtag_{label}.csv", "w", newline="") as file:
+            writer = csv.writer(file, lineterminator="\n")
+            for line in RAW_LINES:
+                writer.writerow(line + [""] * 6)
+            file.write("too,few,cells\n" + ",".join(["x"] * 25) + "\n")
+    raw = files.read_csv(
+        spark, f"{tmp_path}/hashtag_*.csv", RAW_POST, header=False, file_column="filename", corrupt_column="bad"
+    )
+    counts = ingest.write_judged(raw, f"{tmp_path}/out", corrupt_column="bad")
+    assert counts == {
+        "lines": 16, "kept": 1, "malformed line": 6, "no place": 2, "no time": 2, "no join time": 2, "no region": 2,
+        "no class": 1,
+    }
+    kept = ingest.read_kept(spark, f"{tmp_path}/out")
+    plain = files.read_csv(spark, f"{tmp_path}/hashtag_*.csv", RAW_POST, header=False, file_column="filename")
+    assert kept.columns == CLEAN_POST.names
+    assert kept.collect() == [r for r in ingest.clean_posts(plain).collect() if r.tweet == 'a, "b"']
+    rejected = ingest.read_rejected(spark, f"{tmp_path}/out").collect()
+    assert len(rejected) == 15 and all(r.raw for r in rejected)
+    texts = {r.reason: [x.raw for x in rejected if x.reason == r.reason] for r in rejected}
+    assert any('"bad":"too,few,cells"' in x for x in texts["malformed line"])
+    assert all('"tweet_id":"4"' in x for x in texts["no join time"])
+
+
+def test_judged_posts_keep_what_the_filter_keeps(spark):
+    from catalog import posts
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    raw = posts.raw_posts(docs)
+    judged = ingest.judged_posts(raw)
+    kept = judged.where("verdict = 'kept'").select(*CLEAN_POST.names)
+    assert sorted(map(str, kept.collect())) == sorted(map(str, ingest.clean_posts(raw).collect()))
+    assert judged.count() == docs.count()
