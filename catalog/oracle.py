@@ -523,6 +523,34 @@ ORACLE_SQL: dict[str, str] = {
         FROM events WHERE event_id % 7 = 0 OR event_id % 11 = 0""",
 }
 
+_SEEDS = ", ".join(f"('{word}', {round(value * 1_000_000)}::BIGINT)" for word, value in LEXICON.items())
+_SPREAD = """, spread{i} AS (
+        SELECT word, sum(weight * coalesce(value, 0)) AS value, sum(weight) AS whole
+        FROM links LEFT JOIN (SELECT word AS other, value FROM known{i}) USING (other) GROUP BY word),
+    known{next} AS (SELECT * FROM seeds UNION ALL
+        SELECT word, CAST(sign(value) * (abs(value) // whole) AS BIGINT) AS value FROM spread{i}
+        WHERE word NOT IN (SELECT word FROM seeds) AND abs(value) >= whole)"""
+ORACLE_SQL["learnt_lexicon"] = f"""WITH cut AS (
+        SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}'']+'), lambda x: x <> '') AS w
+        FROM documents),
+    spoken AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM cut),
+    frequent AS (SELECT word FROM spoken GROUP BY word HAVING count(*) >= 20),
+    near AS (
+        SELECT x.word, y.word AS other FROM spoken x JOIN (SELECT unnest(range(1, 6)) AS step) s ON true
+        JOIN spoken y ON y.doc_id = x.doc_id AND y.i = x.i + step
+        WHERE x.word <> y.word AND x.word IN (FROM frequent) AND y.word IN (FROM frequent)),
+    pairs AS (
+        SELECT word, other, count(*) AS n FROM (SELECT word, other FROM near UNION ALL SELECT other, word FROM near)
+        GROUP BY ALL),
+    sizes AS (SELECT word, sum(n) AS size FROM pairs GROUP BY word),
+    links AS (
+        SELECT p.word, p.other, CAST(floor(1000 * ln(n::DOUBLE * (SELECT sum(size) FROM sizes)::DOUBLE
+            / (x.size::DOUBLE * y.size::DOUBLE))) AS BIGINT) AS weight
+        FROM pairs p JOIN sizes x ON x.word = p.word JOIN sizes y ON y.word = p.other
+        WHERE n >= 20 AND weight > 0),
+    seeds AS (SELECT * FROM (VALUES {_SEEDS}) s(word, value)), known0 AS (FROM seeds)
+    {"".join(_SPREAD.format(i=i, next=i + 1) for i in range(3))}
+    SELECT word, value::DOUBLE / 1000000 AS polarity FROM known3"""
 ORACLE_SQL["top_words_summaries"] = ORACLE_SQL["top_words"]
 ORACLE_SQL["frequent_terms"] = ORACLE_SQL["topk_terms"]
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from catalog import posts
 from postgrove.dimensions import LANGUAGE_NAMES, UNKNOWN_LANGUAGE
 from postgrove.functions import codec, labels, text, timefeat
-from postgrove.operators import cover, geo, heavy, language, lookup, pivot, sentiment, series, terms
+from postgrove.operators import cover, geo, heavy, language, lexicon, lookup, pivot, sentiment, series, terms
 from postgrove.plans import enrich, increments, ingest, reports, training
 from postgrove.schemas import ANSWERS, CLEAN_POST, CONTRACTS, ENRICHED_POST, RAW_POST, TableContract
 from postgrove.session import shared_folder
@@ -398,6 +398,13 @@ def sentiment_lexicon(spark, sf_dir):
     )
 
 
+@query
+def learnt_lexicon(spark, sf_dir):
+    """Polarity spread from a few words to those that stand near them."""
+    docs = texts(spark, sf_dir, "documents", "text")
+    return lexicon.learn_lexicon(docs, posts.LEXICON, rounds=3, least_pairs=20)
+
+
 @query
 def ingest_clean(spark, sf_dir):
     return clean(spark, sf_dir)

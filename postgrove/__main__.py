@@ -9,14 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from postgrove.dimensions import CORRECTED_BOXES, POLARITY_WORDS, REGION_BOXES, STOP_WORDS
 from postgrove.operators.language import LanguageModel
+from postgrove.operators.lexicon import learn_lexicon
 from postgrove.plans import enrich, ingest, reports, training
 from postgrove.plans.increments import ReportCounts
+from postgrove.plans.models import ModelFolder
 from postgrove.schemas import ANSWERS, CLEAN_POST, CONTRACTS, ENRICHED_POST, RAW_POST
 from postgrove.session import build_session
 from postgrove.sources import files
 from postgrove.sources.keyed import KeyedTable
 from postgrove.sources.messages import KeyedSink, Sink, read_messages
-from postgrove.streaming.scoring import each_once, start_scoring
+from postgrove.streaming.scoring import each_once, keep_running, start_scoring
 
 
 def raw_posts(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -45,6 +47,9 @@ def enriched(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 
 def job_ingest(spark, args):
+    if args.with_rejected:
+        print(ingest.write_judged(raw_posts(spark, args), args.output, **placing(args)))
+        return
     files.write_parquet(ingest.clean_posts(raw_posts(spark, args), **placing(args)), args.output)
 
 
@@ -54,6 +59,15 @@ def job_train_language(spark, args):
     LanguageModel.fit(labelled, args.text, args.language).save(args.output)
 
 
+def job_learn_lexicon(spark, args):
+    """Spread the polarity of seed words, a Parquet table of word and polarity, over the words of texts."""
+    given = POLARITY_WORDS
+    if args.seeds:
+        seeds = files.read_parquet(spark, args.seeds).select("word", "polarity").toArrow()
+        given = dict(zip(seeds["word"].to_pylist(), seeds["polarity"].to_pylist()))
+    files.write_parquet(learn_lexicon(files.read_parquet(spark, args.input), given, args.text), args.output)
+
+
 def job_enrich(spark, args):
     model = LanguageModel.load(spark, args.model)
     posts = files.spread(clean(spark, args))
@@ -144,14 +158,14 @@ def job_serve(spark, args):
         answers = KeyedSink(KeyedTable(spark, args.answers, ANSWERS))
     else:
         answers = Sink(args.sink, args.answers, options(args.sink_option))
-    start_scoring(
+    keep_running(lambda: start_scoring(
         messages,
-        training.load_model(args.model),
+        ModelFolder(spark, args.model) if args.versions else training.load_model(args.model),
         answers,
         Sink("text", args.dead_letters),
         args.checkpoint,
         {"availableNow": True} if args.once else None,
-    ).awaitTermination()
+    ), args.restarts)
 
 
 def options(pairs: list[str]) -> dict[str, str]:
@@ -176,10 +190,16 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--boxes", choices=("listed", "corrected"), default="listed")
         sub.add_argument("--tie-break", choices=("order", "smallest_area"), default="order")
 
-    raw(job("ingest", job_ingest, "input", "output"))
+    sub = job("ingest", job_ingest, "input", "output")
+    raw(sub)
+    sub.add_argument("--with-rejected", action="store_true",
+                     help="write all lines in folders verdict=..., clean posts in verdict=kept")
     sub = job("train-language", job_train_language, "input", "output")
     sub.add_argument("--text", default="text")
     sub.add_argument("--language", default="lang")
+    sub = job("learn-lexicon", job_learn_lexicon, "input", "output")
+    sub.add_argument("--seeds", help="by default the library's own list")
+    sub.add_argument("--text", default="tweet")
     sub = job("enrich", job_enrich, "input", "model", "output")
     sub.add_argument("--lexicon", help="a table of word and polarity")
     sub.add_argument("--lexicon-format", default="parquet")
@@ -210,6 +230,8 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--source", default="kafka")
     sub.add_argument("--source-option", action="append", default=[])
     sub.add_argument("--sink", default="kafka", help="a format, or keyed for a table with one answer per uuid")
+    sub.add_argument("--versions", action="store_true", help="the model is a folder of versions, the newest in use")
+    sub.add_argument("--restarts", type=int, default=5, help="starts after failures in a row")
     sub.add_argument("--once-within", help="drop requests whose uuid came before within this time, as 1 hour")
     sub.add_argument("--answers", help="folder of answers, for file sinks")
     sub.add_argument("--sink-option", action="append", default=[])

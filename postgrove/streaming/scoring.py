@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
+from pyspark.errors import StreamingQueryException
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, functions as F, types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from postgrove.functions.codec import decode_one_object, encode_json
+from postgrove.plans.models import ModelFolder
 from postgrove.plans.training import PREDICTED, score
 from postgrove.schemas import SCORE_REQUEST
 from postgrove.sources.messages import KeyedSink, Sink, once
@@ -60,7 +65,7 @@ def rejects(requests: DataFrame) -> DataFrame:
 
 def start_scoring(
     messages: DataFrame,
-    model: PipelineModel,
+    model: PipelineModel | ModelFolder,
     answers: Sink | KeyedSink,
     dead_letters: Sink,
     checkpoint: str,
@@ -69,15 +74,16 @@ def start_scoring(
     """Score a stream of messages; those that cannot be scored go to a sink of their own.
 
     All pending messages of a micro-batch are scored in parallel by the model
-    loaded once. A restart goes on from the checkpoint. A keyed sink has one answer for
+    loaded once; of a folder of models, by the version in use when the batch begins. A restart goes on from the checkpoint. A keyed sink has one answer for
     each ``uuid``, however often a request is sent or a batch repeated.
     """
     made = answered if isinstance(answers, KeyedSink) else responses
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        now = model.newest()[1] if isinstance(model, ModelFolder) else model
         requests = parse_requests(batch).persist()
         try:
-            answers.write(made(requests, model), batch_id)
+            answers.write(made(requests, now), batch_id)
             dead_letters.write(rejects(requests), batch_id)
         finally:
             requests.unpersist()
@@ -88,3 +94,58 @@ def start_scoring(
         .trigger(**(trigger or {"processingTime": "1 second"}))
         .start()
     )
+
+
+class Progress(StreamingQueryListener):
+    """Counts of what streams have done, by the id their checkpoint keeps; ``failures`` by its error.
+
+    Add it with ``spark.streams.addListener``.
+    """
+
+    def __init__(self) -> None:
+        self.batches: dict[str, int] = {}
+        self.rows: dict[str, int] = {}
+        self.failures: list[str] = []
+
+    def onQueryStarted(self, event) -> None:
+        self.batches.setdefault(str(event.id), 0)
+        self.rows.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        stream = str(event.progress.id)
+        if event.progress.numInputRows:
+            self.batches[stream] = self.batches.get(stream, 0) + 1
+            self.rows[stream] = self.rows.get(stream, 0) + event.progress.numInputRows
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if event.exception:
+            self.failures.append(event.exception)
+
+
+def keep_running(
+    start: Callable[[], StreamingQuery], restarts: int = 5, wait: float = 1.0, longest: float = 60.0,
+    sleep: Callable[[float], None] = time.sleep,
+) -> int:
+    """Run a stream to its end, starting it again from its checkpoint after a failure of source, task or sink.
+
+    It is started again at most ``restarts`` times in a row without a finished batch in between, after a wait that
+    doubles from ``wait`` to ``longest`` seconds; then the failure is raised. Returns how often it was.
+    """
+    in_row = times = 0
+    while True:
+        query = None
+        try:
+            query = start()
+            query.awaitTermination()
+            return times
+        except StreamingQueryException:
+            # A source that cannot be reached fails before the first batch, or in any later one.
+            done = query is not None and any(x.numInputRows for x in query.recentProgress)
+            in_row = 1 if done else in_row + 1
+            if in_row > restarts:
+                raise
+            times += 1
+            sleep(min(wait * 2 ** (in_row - 1), longest))
