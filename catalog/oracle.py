@@ -483,6 +483,10 @@ ORACLE_SQL: dict[str, str] = {
     "keyed_writers": """SELECT o_orderkey, o_orderstatus, (CASE WHEN o_orderkey % 5 = 0 AND seen = 'after' THEN 4
             WHEN o_orderkey % 4 = 0 THEN 3 WHEN o_orderkey % 3 = 0 THEN 2 WHEN o_orderkey % 2 = 0 THEN 1
             ELSE 0 END)::INTEGER AS turn, seen FROM orders, (VALUES ('before'), ('after')) s(seen)""",
+    "range_layout": f"""WITH {CLEAN} SELECT {CLEAN_COLUMNS} FROM clean
+        WHERE date BETWEEN '2020-10-20' AND '2020-10-22' AND state BETWEEN 'Georgia' AND 'Ohio'""",
+    "bucketed_join": """SELECT o_custkey, c_name, count(*) AS orders, max(o_totalprice) AS dearest
+        FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL""",
     "train_split": """SELECT doc_id,
         ('0x' || md5('7|' || doc_id)[1:8])::BIGINT % 10000 < 7500 AS train FROM documents""",
     "train_split_exact": """SELECT doc_id, lang, row_number() OVER (

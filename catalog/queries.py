@@ -15,7 +15,7 @@ from postgrove.operators import cover, geo, heavy, language, lexicon, lookup, pi
 from postgrove.plans import enrich, increments, ingest, reports, training
 from postgrove.schemas import ANSWERS, CLEAN_POST, CONTRACTS, ENRICHED_POST, RAW_POST, TableContract
 from postgrove.session import shared_folder
-from postgrove.sources import files
+from postgrove.sources import files, layout
 from postgrove.sources.keyed import KeyedTable
 from postgrove.sources.messages import KeyedSink, Sink, read_messages
 from postgrove.streaming import scoring
@@ -917,3 +917,32 @@ def report_increments(spark, sf_dir):
         "date_cumulative": counts.cumulative_by_language(),
     }
     return reduce(DataFrame.unionByName, (as_rows(name, report) for name, report in made.items()))
+
+
+# --- layout on disk --------------------------------------------------------------
+
+
+@query
+def range_layout(spark, sf_dir):
+    """Posts of three days in the larger part of the states, from a table laid out by day and state."""
+    folder = shared_folder(spark, "ranges")
+    layout.write_ranges(clean(spark, sf_dir), folder, ["date", "state"], files=16)
+    return layout.read_ranges(
+        spark, folder, CLEAN_POST, ["date", "state"], date=("2020-10-20", "2020-10-22"), state=("Georgia", "Ohio")
+    )
+
+
+@query
+def bucketed_join(spark, sf_dir):
+    """Orders and prices of each customer from two tables in equal buckets."""
+    folder = shared_folder(spark, "buckets")
+    read = {}
+    for name, key in (("orders", "o_custkey"), ("customer", "c_custkey")):
+        rows = table(spark, sf_dir, name)
+        layout.write_buckets(rows, f"{folder}/{name}", [key], 8)
+        read[name] = layout.read_buckets(spark, f"{folder}/{name}", rows.schema, [key], 8)
+    # Merged, as tables too large to send would be.
+    joined = read["orders"].join(read["customer"].hint("merge"), F.col("o_custkey") == F.col("c_custkey"))
+    return joined.groupBy("o_custkey", "c_name").agg(
+        F.count("*").alias("orders"), F.max("o_totalprice").alias("dearest")
+    )
