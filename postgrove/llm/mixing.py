@@ -3,8 +3,9 @@
 The words of every source are summed, the words the mix should hold are shared
 among the sources by weight, and the ratio of the two is how often a source is
 repeated. A document is taken floor(ratio) times, and once more if a number
-drawn from a hash of its id and a seed is below the fraction: no order, state or
-second pass over the corpus, and a rerun takes the same documents.
+drawn from a hash of its id, text, source and a seed is below the fraction: no order or state,
+and a rerun takes the same documents. Rows that are equal in all three are numbered,
+so that each has a draw of its own; they alone are looked at again.
 """
 
 from __future__ import annotations
@@ -64,16 +65,51 @@ def targets(
     return stepped.withColumn("first", first).select("source", "source_size", target.alias("target"))
 
 
-def draw(id: Column, seed: int = SEED) -> Column:
-    """A number from 0 to below 1 that follows from the id and the seed alone."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(id.cast("string"), F.lit(""))))
+def name_of(id: Column, text: Column, source: Column, seed: int = SEED) -> Column:
+    """What a draw follows from: seed, id, text and source."""
+    parts = [F.coalesce(x.cast("string"), F.lit("")) for x in (id, F.md5(text), source)]
+    return F.concat_ws(":", F.lit(str(seed)), *parts)
+
+
+def draw(name: Column, number: Column) -> Column:
+    """A number from 0 to below 1 that follows from the name and the number among rows of that name."""
+    digest = F.md5(F.concat(name, F.when(number > 1, F.concat(F.lit(":"), number.cast("string"))).otherwise(F.lit(""))))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(1 << 52)
 
 
-def copies(id: Column, size: Column, target: Column, seed: int = SEED) -> Column:
-    """How often a document of a source of this size and target is taken."""
+def copies(size: Column, target: Column) -> Column:
+    """How often a document, by its ``name`` and ``number``, of a source of this size and target is taken."""
     rate = F.when(size > 0, target / size).otherwise(F.lit(0.0))
-    return (F.floor(rate) + (draw(id, seed) < rate - F.floor(rate)).cast("long")).cast("long")
+    return (F.floor(rate) + (draw(F.col("name"), F.col("number")) < rate - F.floor(rate)).cast("long")).cast("long")
+
+
+def _numbered_equals(rows: DataFrame) -> DataFrame:
+    """``rows`` with their ``number`` among those of equal ``name``, from 1 on.
+
+    Most names have one row. Rows of the others are stored, each task numbers its own,
+    and the counts of the tasks before are added: which of two equal rows comes first
+    may change, that there is a first and a second does not. A name that very many rows
+    share is so numbered by many tasks.
+    """
+    one = F.lit(1).cast("long")
+    often = stored(rows.groupBy("name").count().where("count > 1").select(F.col("name").alias("_name")), "equal")
+    number = often.count()
+    if not number:
+        return rows.withColumn("number", one)
+    often = F.broadcast(often) if number <= MAX_BROADCAST_SOURCES else often
+    equal = F.col("name") == F.col("_name")
+    marked = rows.join(often, equal, "left_semi").withColumn("_task", F.spark_partition_id())
+    several = stored(marked.withColumn("_at", F.monotonically_increasing_id()), "several")
+    own = F.row_number().over(Window.partitionBy("name", "_task").orderBy("_at"))
+    before = Window.partitionBy("_own").orderBy("_number").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = several.groupBy(F.col("name").alias("_own"), F.col("_task").alias("_number")).count().select(
+        "_own", "_number", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before")
+    )
+    placed = several.withColumn("_mine", own).join(
+        tasks, (F.col("name") == F.col("_own")) & (F.col("_task") == F.col("_number"))
+    )
+    placed = placed.select(*rows.columns, (F.col("_before") + F.col("_mine")).cast("long").alias("number"))
+    return rows.join(often, equal, "left_anti").withColumn("number", one).union(placed)
 
 
 def _with_source(rows: DataFrame, sources: DataFrame, few: bool) -> DataFrame:
@@ -96,18 +132,19 @@ def mix_plan(
 
     ``taken`` is the words the mix takes of the row, ``copies`` times its
     ``size``. A NULL or empty text has size 0. NULL is a source of its own, and
-    a source without words has target 0. Rows without an id share one draw, and
-    so do rows with the same id. Other columns are not read. An empty table
+    a source without words has target 0. Rows without an id, with the same id, or
+    equal rows each have a draw of their own. Other columns are not read. An empty table
     gives an empty result.
     """
     sizes = docs.select(
-        F.col(id).alias("id"), F.col(source).alias("source"), size_of(F.col(text)).alias("size")
+        F.col(id).alias("id"), F.col(source).alias("source"), size_of(F.col(text)).alias("size"),
+        name_of(F.col(id), F.col(text), F.col(source), seed).alias("name"),
     )
     sizes = stored(sizes, "sizes")
     sources = stored(targets(sizes, weights, share, cap), "targets")
     few = sources.count() <= MAX_BROADCAST_SOURCES
-    taken = copies(F.col("id"), F.col("source_size"), F.col("target"), seed)
-    return _with_source(sizes, sources, few).select(
+    taken = copies(F.col("source_size"), F.col("target"))
+    return _with_source(_numbered_equals(sizes), sources, few).select(
         F.col("id").alias(id), "size", "source_size", "target", taken.alias("copies"),
         (F.col("size") * taken).alias("taken"),
     )
@@ -131,10 +168,13 @@ def mixed_documents(
     sizes = docs.select(F.col(source).alias("source"), size_of(F.col(text)).alias("size"))
     sources = stored(targets(sizes, weights, share, cap), "targets")
     few = sources.count() <= MAX_BROADCAST_SOURCES
-    packed = docs.select(F.struct("*").alias("row"), F.col(id).alias("id"), F.col(source).alias("source"))
-    often = copies(F.col("id"), F.col("source_size"), F.col("target"), seed)
+    packed = docs.select(
+        F.struct("*").alias("row"), F.col(source).alias("source"),
+        name_of(F.col(id), F.col(text), F.col(source), seed).alias("name"),
+    )
+    often = copies(F.col("source_size"), F.col("target"))
     return (
-        _with_source(packed, sources, few)
+        _with_source(_numbered_equals(packed), sources, few)
         .withColumn("copies", often)
         .where("copies > 0")
         .select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))))

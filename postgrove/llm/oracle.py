@@ -35,7 +35,8 @@ FROM shingled JOIN least USING (doc_id)
 
 _OP3 = f"""
 WITH sizes AS (
-    SELECT doc_id, source, CAST(len({_WORDS.format("coalesce(text, '')")}) AS BIGINT) AS size FROM documents
+    SELECT doc_id, source, CAST(len({_WORDS.format("coalesce(text, '')")}) AS BIGINT) AS size, concat('17:', doc_id, ':',
+        md5(text), ':', source) AS name, row_number() OVER (PARTITION BY name) AS number FROM documents
 ), sources AS (
     SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sizes GROUP BY source
 ), weighed AS (
@@ -59,7 +60,7 @@ WITH sizes AS (
     FROM stepped, opened o
 ), rated AS (
     SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END AS rate,
-        ('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE / 4503599627370496
+        ('0x' || substr(md5(name || CASE WHEN number > 1 THEN concat(':', number) ELSE '' END), 1, 13))::BIGINT::DOUBLE / 4503599627370496
             AS draw
     FROM sizes JOIN targets ON sizes.source IS NOT DISTINCT FROM targets.source
 ), counted AS (
