@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from postgrove.llm.stored import components, small_batches, stored
+from postgrove.llm.stored import components, numbered, small_batches, stored
 from postgrove.llm.words import U64, Words, lowered, mixed, numbers, slices, windows
 
 WIDTH = 4
@@ -46,6 +46,8 @@ PIECE = 1024
 # Rounds of links with a class of the largest group of a bucket, at most.
 AGAIN = 4
 
+OF_SET = ["n_shingles", "one", "two"]
+
 Batches = Iterator[pa.RecordBatch]
 
 
@@ -60,15 +62,23 @@ def _sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
             yield np.unique(windows(own, min(width, max(len(own), 1))))
 
 
+def _digests(sets: list[np.ndarray]) -> list[list[int]]:
+    """What tells sets apart: their sizes and two sums of hashes."""
+    return [
+        [len(x) for x in sets],
+        [int(x.sum().astype(np.int64)) for x in sets],
+        [int(mixed(x).sum().astype(np.int64)) for x in sets],
+    ]
+
+
 def _sketcher(width: int, symbols: int) -> Callable[[Batches], Batches]:
     def sketch(batches: Batches) -> Batches:
         factors, terms = numbers(symbols, 3) | U64(1), numbers(symbols, 4)
         for batch in batches:
-            size, one, two, signatures = [], [], [], []
+            digests, signatures = [[], [], []], []
             for shingles in _sets(batch.column(1), width):
-                size.append(len(shingles))
-                one.append(int(shingles.sum().astype(np.int64)))
-                two.append(int(mixed(shingles).sum().astype(np.int64)))
+                for all, own in zip(digests, _digests([shingles])):
+                    all += own
                 least = np.full(symbols, ~U64(0))
                 for start in range(0, len(shingles), 4096):
                     part = shingles[None, start : start + 4096] * factors[:, None] + terms[:, None]
@@ -77,12 +87,10 @@ def _sketcher(width: int, symbols: int) -> Callable[[Batches], Batches]:
             yield pa.record_batch(
                 [
                     batch.column(0),
-                    pa.array(size, pa.int64()),
-                    pa.array(one, pa.int64()),
-                    pa.array(two, pa.int64()),
+                    *(pa.array(x, pa.int64()) for x in digests),
                     pa.array(signatures, pa.binary()),
                 ],
-                names=["id", "n_shingles", "one", "two", "signature"],
+                names=["id", *OF_SET, "signature"],
             )
 
     return sketch
@@ -120,7 +128,7 @@ def _setter(width: int) -> Callable[[Batches], Batches]:
                 found = list(_sets(part.column(1), width))
                 full = pa.array([x.tobytes() for x in found], pa.binary())
                 low = pa.array([np.sort(x.astype("<u2")).tobytes() for x in found], pa.binary())
-                yield pa.record_batch([part.column(0), full, low], names=["id", "shingles", "low"])
+                yield pa.record_batch([*map(pa.array, _digests(found)), full, low], names=[*OF_SET, "shingles", "low"])
 
     return sets
 
@@ -224,20 +232,19 @@ def near_duplicates(
     whether it is the row's own. A-Z and a-z are the same. A text of fewer words
     than ``width`` is one shingle. A NULL, empty or wordless text has no shingles,
     is linked with nothing and kept. A row without an id is linked with nothing,
-    kept, and has no component. Repeated rows come back as often as they came in.
+    kept, and has no component. Repeated rows come back as often as they came in, and unlike
+    texts of the same id each have their own links. Ids are whole numbers.
     Other columns are not read. An empty table gives an empty result.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     layout = "id bigint, n_shingles bigint, one bigint, two bigint, signature binary"
     sketches = stored(rows.mapInArrow(_sketcher(width, chunks * chunk), layout), "sketches")
-    of_set = ["n_shingles", "one", "two"]
-    classes = stored(
-        sketches.where("id is not null and n_shingles > 0")
-        .groupBy(*of_set)
-        .agg(F.min("id").alias("id"), F.first("signature").alias("signature")),
-        "classes",
+    found = sketches.where("id is not null and n_shingles > 0").groupBy(*OF_SET).agg(
+        F.min("id").alias("least_id"), F.first("signature").alias("signature")
     )
+    # Ids may have several texts, so classes have numbers of their own.
+    classes, _ = numbered(found, "id", "classes")
     signatures = classes.select("id", "signature")
     keyed = signatures.select(
         F.explode(_keys(F.col("signature"), _choices(chunks, chunk, errors))).alias("key"), "id"
@@ -249,12 +256,16 @@ def near_duplicates(
         .select("key", "least")
     )
     shared = stored(keyed.join(buckets, "key"), "buckets")
-    met = shared.select("id").distinct()
+    met = stored(
+        classes.join(shared.select("id").distinct(), "id", "left_semi").select(*OF_SET, "id", "least_id"), "met"
+    )
+    ids = met.select(F.col("least_id").alias("id")).distinct()
+    spelt = rows.join(ids, "id", "left_semi").mapInArrow(
+        _setter(width), "n_shingles bigint, one bigint, two bigint, shingles binary, low binary"
+    )
+    # A row may have the id of a class and another text, or be there twice.
     sets = stored(
-        rows.join(met, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(
-            _setter(width), "id bigint, shingles binary, low binary"
-        ),
-        "sets",
+        spelt.join(met.drop("least_id"), OF_SET).dropDuplicates(["id"]).select("id", "shingles", "low"), "sets"
     )
     stars = shared.where("least < id").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
     links = stored(_confirmed(stars, sets, percent), "confirmed")
@@ -274,15 +285,16 @@ def near_duplicates(
     compare = _comparer(chunks, chunk, errors, percent)
     pairs = pieces.applyInArrow(compare, "a bigint, b bigint").distinct()
     more = stored(_confirmed(pairs, sets, percent), "confirmed")
-    final = components(links.union(more))
-    lead = classes.select(*of_set, F.col("id").alias("lead"))
-    named = lead.join(final.withColumnRenamed("node", "lead"), "lead", "left").select(
-        *of_set, F.coalesce("component", "lead").alias("component")
+    final = stored(components(links.union(more)).withColumnRenamed("node", "id"), "components")
+    linked = classes.select(*OF_SET, "id", "least_id").join(final, "id", "left")
+    least = linked.where("component is not null").groupBy("component").agg(F.min("least_id").alias("least"))
+    named = linked.join(least, "component", "left").select(
+        *OF_SET, F.coalesce("least", "least_id").alias("component")
     )
     own = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return (
-        sketches.select("id", *of_set)
-        .join(named, of_set, "left")
+        sketches.select("id", *OF_SET)
+        .join(named, OF_SET, "left")
         .select(
             F.col("id").alias(id),
             "n_shingles",
@@ -336,7 +348,7 @@ def _slot(left: DataFrame) -> Column:
     """The task group of a piece: so many that each has a few pieces, whatever the size of a bucket."""
     copies = F.when(F.col("major"), F.col("minors")).otherwise(F.col("minors") + F.col("majors"))
     rows = left.agg(F.coalesce(F.sum(copies.cast("long")), F.lit(0))).head()[0]
-    return F.pmod(F.xxhash64("key", "low_part", "high_part"), F.lit(rows // (2 * PIECE) + 1)).alias("slot")
+    return F.pmod(F.xxhash64("key", "low_part", "high_part"), F.lit(rows // PIECE + 1)).alias("slot")
 
 
 def _pieces(rows: DataFrame, signatures: DataFrame, sets: DataFrame) -> DataFrame:
