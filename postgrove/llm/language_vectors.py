@@ -23,6 +23,8 @@ from postgrove.llm.words import MIX_C, U64, mixed, slices
 
 DIMENSIONS = 1024
 UNKNOWN = "und"
+# Different trigrams whose vectors are made at a time.
+TRIGRAMS = 4096
 
 Batches = Iterator[pa.RecordBatch]
 
@@ -37,11 +39,11 @@ def _letter_vectors(points: np.ndarray, dimensions: int) -> np.ndarray:
 
 def _trigrams(
     texts: pa.Array, dimensions: int
-) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    """Slices as (first text, last text, counts, vectors, letters).
+) -> Iterator[tuple[int, int, Iterator[tuple[np.ndarray, np.ndarray]], np.ndarray]]:
+    """Slices as (first text, last text, parts, letters).
 
-    ``counts`` has a row per text and a column per trigram of the slice, in the
-    order of the rows of ``vectors``; ``letters`` counts each text's letters.
+    A part has some of the trigrams of the slice: counts with a row per text and a column per
+    trigram, in the order of the rows of its vectors. ``letters`` counts each text's letters.
     Letters are lower-cased, whatever lies between words is one space, and a text
     begins and ends with one.
     """
@@ -75,13 +77,26 @@ def _trigrams(
         inside = text[:-2] == text[1:-1]
         code = ((letter[:-2] * size + letter[1:-1]) * size + letter[2:])[inside]
         owner = text[:-2][inside]
-        used, column = np.unique(code, return_inverse=True)
-        counts = np.bincount(owner * len(used) + column, minlength=(last - first) * len(used))
-        counts = counts.reshape(last - first, len(used))
-        base = _letter_vectors(alphabet, dimensions)
-        twice, once = np.roll(base, 2, axis=1), np.roll(base, 1, axis=1)
-        vectors = twice[used // (size * size)] * once[used // size % size] * base[used % size]
-        yield first, last, counts.astype(np.float32), vectors, letters
+        yield first, last, _parts(code, owner, last - first, alphabet, dimensions), letters
+
+
+def _parts(
+    code: np.ndarray, owner: np.ndarray, texts: int, alphabet: np.ndarray, dimensions: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Counts and vectors of the trigrams ``code`` of the texts ``owner``, some trigrams at a time."""
+    size = len(alphabet)
+    order = np.argsort(code, kind="stable")
+    code, owner = code[order], owner[order]
+    opens = np.append(True, code[1:] != code[:-1])[: len(code)]
+    column, used = np.cumsum(opens) - 1, code[opens]
+    base = _letter_vectors(alphabet, dimensions)
+    twice, once = np.roll(base, 2, axis=1), np.roll(base, 1, axis=1)
+    for start in range(0, len(used), TRIGRAMS):
+        part = used[start : start + TRIGRAMS]
+        here = slice(*np.searchsorted(column, (start, start + len(part))))
+        counts = np.bincount(owner[here] * len(part) + column[here] - start, minlength=texts * len(part))
+        vectors = twice[part // (size * size)] * once[part // size % size] * base[part % size]
+        yield counts.reshape(texts, len(part)).astype(np.float32), vectors
 
 
 def _bundler(dimensions: int) -> Callable[[Batches], Batches]:
@@ -89,11 +104,12 @@ def _bundler(dimensions: int) -> Callable[[Batches], Batches]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             names = np.array(batch.column(1).to_pylist(), dtype=object)
-            for first, last, counts, vectors, _ in _trigrams(batch.column(0), dimensions):
+            for first, last, parts, _ in _trigrams(batch.column(0), dimensions):
                 own = names[first:last]
-                for name in set(own):
-                    total = counts[own == name].sum(axis=0, dtype=np.float64)
-                    sums[name] = sums.get(name, 0.0) + total @ vectors.astype(np.float64)
+                for counts, vectors in parts:
+                    for name in set(own):
+                        total = counts[own == name].sum(axis=0, dtype=np.float64)
+                        sums[name] = sums.get(name, 0.0) + total @ vectors.astype(np.float64)
         for name, total in sums.items():
             yield pa.record_batch(
                 [
@@ -145,10 +161,12 @@ def _scorer(shared, dimensions: int) -> Callable[[Batches], Batches]:
         names = np.array([*known, UNKNOWN], dtype=object)
         for batch in batches:
             best, cosine = np.full(batch.num_rows, len(names) - 1), np.zeros(batch.num_rows)
-            for first, last, counts, vectors, letters in _trigrams(batch.column(1), dimensions):
+            for first, last, parts, letters in _trigrams(batch.column(1), dimensions):
                 if not len(known):
                     continue
-                own = counts @ vectors
+                own = np.zeros((last - first, dimensions))
+                for counts, vectors in parts:
+                    own += counts @ vectors
                 length = np.linalg.norm(own, axis=1)
                 product = own @ languages.T / np.maximum(length, 1e-9)[:, None]
                 top = product.argmax(axis=1)
