@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from postgrove.llm.stored import small_batches
+from postgrove.llm.stored import small_batches, stored
 
 # Lengths that are summed in one task of the suffix sums.
 SPAN = 4096
@@ -73,6 +73,8 @@ def suffix_sums(counts: DataFrame) -> DataFrame:
     that need no cut. Sums go over spans of lengths first, so a task holds one
     span, and one row per span in the last step.
     """
+    # Used twice below: texts are encoded once.
+    counts = stored(counts, "lengths")
     rows = counts.withColumn("n_tokens", F.col("length") * F.col("n_docs")).withColumn(
         "span", F.floor(F.col("length") / SPAN)
     )
