@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from postgrove.llm import cotraining, language_vectors, minhash, mixing, pieces
-from postgrove.llm.stored import stored
+from postgrove.llm.stored import numbered, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -63,13 +63,19 @@ def of_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near duplicates, the one of the smallest id.
+    """One row of each group of near duplicates, the one of the smallest id; rows without an id come last.
 
-    Of rows with the same id one stays; rows without an id stay.
+    Rows are told apart by a number of their own, so unlike texts of one id all stay, and
+    so do all rows without words.
     """
-    kept = minhash.near_duplicates(docs, width=WIDTH).where("kept").select("doc_id")
-    known = docs.where("doc_id is not null").join(kept.distinct(), "doc_id", "left_semi")
-    return known.dropDuplicates(["doc_id"]).select(docs.columns).union(docs.where("doc_id is null"))
+    rows, _ = numbered(docs.select(F.struct("*").alias("row")), "at", "rows")
+    groups = minhash.near_duplicates(
+        rows.select(F.col("at").alias("doc_id"), F.col("row.text").alias("text")), width=WIDTH
+    )
+    grouped = groups.select(F.col("doc_id").alias("at"), F.col("component_id").alias("component"))
+    named = rows.select("at", F.col("row.doc_id").alias("id")).join(grouped, "at")
+    first = named.groupBy("component").agg(F.min_by("at", F.struct(F.col("id").isNull(), "id", "at")).alias("at"))
+    return rows.join(first, "at", "left_semi").select("row.*")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
