@@ -24,7 +24,7 @@ from postgrove.llm.words import MIX_C, U64, mixed, slices
 DIMENSIONS = 1024
 UNKNOWN = "und"
 # Different trigrams whose vectors are made at a time.
-TRIGRAMS = 4096
+TRIGRAMS = 2048
 
 Batches = Iterator[pa.RecordBatch]
 
@@ -95,7 +95,9 @@ def _parts(
         part = used[start : start + TRIGRAMS]
         here = slice(*np.searchsorted(column, (start, start + len(part))))
         counts = np.bincount(owner[here] * len(part) + column[here] - start, minlength=texts * len(part))
-        vectors = twice[part // (size * size)] * once[part // size % size] * base[part % size]
+        vectors = twice[part // (size * size)]
+        vectors *= once[part // size % size]
+        vectors *= base[part % size]
         yield counts.reshape(texts, len(part)).astype(np.float32), vectors
 
 
