@@ -63,19 +63,21 @@ def of_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near duplicates, the one of the smallest id; rows without an id come last.
+    """One row of each group of near duplicates, the one of the smallest id.
 
-    Rows are told apart by a number of their own, so unlike texts of one id all stay, and
-    so do all rows without words.
+    Rows without an id, or with one that other rows have too, come after all others. They are told
+    apart by a number of their own, so unlike texts of one id all stay, and so do rows without words.
     """
-    rows, _ = numbered(docs.select(F.struct("*").alias("row")), "at", "rows")
-    groups = minhash.near_duplicates(
-        rows.select(F.col("at").alias("doc_id"), F.col("row.text").alias("text")), width=WIDTH
-    )
-    grouped = groups.select(F.col("doc_id").alias("at"), F.col("component_id").alias("component"))
-    named = rows.select("at", F.col("row.doc_id").alias("id")).join(grouped, "at")
-    first = named.groupBy("component").agg(F.min_by("at", F.struct(F.col("id").isNull(), "id", "at")).alias("at"))
-    return rows.join(first, "at", "left_semi").select("row.*")
+    shared = docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").select(F.col("doc_id").alias("_shared"))
+    shared = stored(shared, "shared_ids")
+    alone = docs.join(shared, F.col("doc_id") == F.col("_shared"), "left_anti").where("doc_id is not null")
+    others = docs.join(shared, F.col("doc_id").eqNullSafe(F.col("_shared")), "left_semi")
+    last = docs.agg(F.coalesce(F.max("doc_id"), F.lit(0)).cast("long")).head()[0]
+    others, _ = numbered(others.select(F.struct("*").alias("row")), "_at", "others", first=last + 1)
+    rows = alone.select("doc_id", "text").union(others.select("_at", "row.text"))
+    kept = stored(minhash.near_duplicates(rows, width=WIDTH).where("kept").select(F.col("doc_id").alias("_at")), "kept")
+    first = alone.join(kept, F.col("doc_id") == F.col("_at"), "left_semi").select(docs.columns)
+    return first.union(others.join(kept, "_at", "left_semi").select("row.*"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
