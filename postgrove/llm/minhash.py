@@ -263,9 +263,9 @@ def near_duplicates(
     spelt = rows.join(ids, "id", "left_semi").mapInArrow(
         _setter(width), "n_shingles bigint, one bigint, two bigint, shingles binary, low binary"
     )
-    # A row may have the id of a class and another text, or be there twice.
+    # A row may have the id of a class and another text, or be there twice. Both steps go by the same columns.
     sets = stored(
-        spelt.join(met.drop("least_id"), OF_SET).dropDuplicates(["id"]).select("id", "shingles", "low"), "sets"
+        spelt.dropDuplicates(OF_SET).join(met.drop("least_id"), OF_SET).select("id", "shingles", "low"), "sets"
     )
     stars = shared.where("least < id").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
     links = stored(_confirmed(stars, sets, percent), "confirmed")
