@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from postgrove.llm.stored import components, numbered, small_batches, stored
+from postgrove.llm.stored import components, maybe_among, numbered, small_batches, stored
 from postgrove.llm.words import U64, Words, lowered, mixed, numbers, slices, windows
 
 WIDTH = 4
@@ -259,13 +259,17 @@ def near_duplicates(
     met = stored(
         classes.join(shared.select("id").distinct(), "id", "left_semi").select(*OF_SET, "id", "least_id"), "met"
     )
-    ids = met.select(F.col("least_id").alias("id")).distinct()
-    spelt = rows.join(ids, "id", "left_semi").mapInArrow(
+    # Texts are not moved; of the rows only the sets of those that may be needed are.
+    wanted = maybe_among(rows, "id", met.select("least_id"), "wanted").where("wanted").select("id", "text")
+    spelt = wanted.mapInArrow(
         _setter(width), "n_shingles bigint, one bigint, two bigint, shingles binary, low binary"
     )
     # A row may have the id of a class and another text, or be there twice. Both steps go by the same columns.
     sets = stored(
-        spelt.dropDuplicates(OF_SET).join(met.drop("least_id"), OF_SET).select("id", "shingles", "low"), "sets"
+        spelt.dropDuplicates(OF_SET)
+        .join(met.drop("least_id"), OF_SET)
+        .select("id", "shingles", "low"),
+        "sets",
     )
     stars = shared.where("least < id").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
     links = stored(_confirmed(stars, sets, percent), "confirmed")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from postgrove.session import shared_folder
 
@@ -36,6 +36,34 @@ def numbered(df: DataFrame, name: str, purpose: str, first: int = 0) -> tuple[Da
     return placed.select(*df.columns, (F.col("_begin") + own).alias(name)), total - first
 
 
+# Bits of a filter: so many for each key, up to this many (32 MB) whatever the number of keys.
+BITS_PER_KEY, MOST_BITS = 64, 1 << 28
+
+
+def maybe_among(df: DataFrame, column: str, keys: DataFrame, name: str) -> DataFrame:
+    """``df`` with a boolean ``name``: false only where ``column`` is surely none of ``keys``, a table of one column.
+
+    The keys set bits at their hashes; these, never more than ``MOST_BITS``, are broadcast,
+    so the rows stay where they are. About one other row in ``BITS_PER_KEY`` is true as well,
+    more once the bits are at their bound. NULL is none of the keys.
+    """
+    key = keys.columns[0]
+    bits = min(max(keys.count() * BITS_PER_KEY, 1), MOST_BITS)
+
+    def spot(of: str) -> Column:
+        return F.pmod(F.xxhash64(of), F.lit(bits).cast("long")) + 1
+
+    part = F.bitmap_bucket_number(spot(key)).alias("_part")
+    maps = keys.where(F.col(key).isNotNull()).groupBy(part).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(spot(key))).alias("_bits")
+    )
+    at = F.bitmap_bit_position(spot(column)).cast("int")
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = F.col(column).isNotNull() & (F.getbit(byte, at % 8) == 1)
+    here = df.withColumn("_part", F.bitmap_bucket_number(spot(column))).join(F.broadcast(maps), "_part", "left")
+    return here.select(*df.columns, F.coalesce(found, F.lit(False)).alias(name))
+
+
 ROWS_PER_BATCH = 1_000
 
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from postgrove.llm import language_vectors, mixing, minhash
+from postgrove.llm import language_vectors, minhash, mixing, stored
 
 WORDS = "some words of a text that stand here one after the other to be twenty shingles and a few more of them at last"
 
@@ -75,3 +75,19 @@ def test_language_of_a_text_of_many_letters_needs_little_memory(spark):
     (found,) = language_vectors._scorer(Shared, 1024)(iter([batch]))
     assert found["lang_pred"].to_pylist() == ["x"]
     assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 600_000
+
+
+@pytest.mark.parametrize("most", [1 << 28, 40_000, 64])
+def test_a_filter_of_bits_never_misses_a_key(spark, monkeypatch, most):
+    monkeypatch.setattr(stored, "MOST_BITS", most)
+    keys = spark.sql("select explode(sequence(0, 30000, 7)) as k union all select null union all select -5")
+    rows = spark.sql("select explode(sequence(-10, 30000)) as v, 'x' as k, 1 as _at union all select null, 'y', 2")
+    marked = stored.maybe_among(rows, "v", keys, "found")
+    assert marked.columns == ["v", "k", "_at", "found"]
+    got = Counter(map(tuple, marked.select("v", "found").collect()))
+    assert sum(got.values()) == rows.count() and got[(None, False)] == 1
+    wanted = {-5, *range(0, 30001, 7)}
+    assert all(found for v, found in got if v in wanted)
+    if most == 1 << 28:
+        assert sum(found for v, found in got if v not in wanted) < 1200
+    assert not stored.maybe_among(rows, "v", keys.where("false"), "found").where("found").count()
