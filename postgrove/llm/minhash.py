@@ -251,11 +251,11 @@ def near_duplicates(
     )
     buckets = (
         keyed.groupBy("key")
-        .agg(F.min("id").alias("least"), F.max("id").alias("most"))
-        .where("least < most")
+        .agg(F.min("id").alias("least"), F.count("*").alias("n"))
+        .where("n > 1")
         .select("key", "least")
     )
-    shared = stored(keyed.join(buckets, "key"), "buckets")
+    shared = stored(_unlike_buckets(stored(keyed.join(buckets, "key"), "meetings"), chunks, chunk, errors), "buckets")
     met = stored(
         classes.join(shared.select("id").distinct(), "id", "left_semi").select(*OF_SET, "id", "least_id"), "met"
     )
@@ -308,6 +308,20 @@ def near_duplicates(
     )
 
 
+def _unlike_buckets(shared: DataFrame, chunks: int, chunk: int, errors: int) -> DataFrame:
+    """Of buckets with the same classes only the one whose key has the lowest number.
+
+    That is where their pairs are compared. Buckets are told apart as sets are:
+    by their size, their least class and two sums of hashes.
+    """
+    low = (1 << len(_choices(chunks, chunk, errors)).bit_length()) - 1
+    sums = [F.bit_xor(F.xxhash64("id", F.lit(i))).alias(f"sum_{i}") for i in range(2)]
+    found = shared.groupBy("key", "least").agg(F.count("*").alias("n"), *sums)
+    number = F.col("key").bitwiseAND(F.lit(low))
+    lowest = found.groupBy("n", "least", "sum_0", "sum_1").agg(F.min_by("key", number).alias("key"))
+    return shared.join(lowest.select("key"), "key", "left_semi")
+
+
 def _towards_components(stars: DataFrame) -> DataFrame:
     """(node, component): classes that are certainly in one component, if not all that are.
 

@@ -91,3 +91,11 @@ def test_a_filter_of_bits_never_misses_a_key(spark, monkeypatch, most):
     if most == 1 << 28:
         assert sum(found for v, found in got if v not in wanted) < 1200
     assert not stored.maybe_among(rows, "v", keys.where("false"), "found").where("found").count()
+
+
+def test_of_buckets_with_the_same_classes_the_lowest_number_stays(spark):
+    """Ten keys of one class, so four bits hold a key's number; keys 17 and 35 hold the same classes."""
+    rows = [(35, 1), (35, 2), (17, 1), (17, 2), (51, 1), (51, 2), (51, 3), (66, 4), (66, 5)]
+    shared = spark.createDataFrame([(key, id, 1 if id < 4 else 4) for key, id in rows], "key bigint, id bigint, least bigint")
+    left = minhash._unlike_buckets(shared, 2, 5, 1)
+    assert sorted((r.key, r.id) for r in left.collect()) == [(17, 1), (17, 2), (51, 1), (51, 2), (51, 3), (66, 4), (66, 5)]
