@@ -208,7 +208,13 @@ def _comparer(
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
+    """The pairs (a, b) whose full sets are similar enough; only sets of pairs of fitting sizes are fetched."""
+    size_a, size_b = (sets.select(F.col("id").alias(x), F.col("n_shingles").alias(f"size_{x}")) for x in "ab")
+    small, large = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
+    fitting = pairs.join(size_a, "a").join(size_b, "b").where(100 * small >= percent * large)
+    pairs = stored(fitting.select("a", "b"), "pairs")
+    sets = maybe_among(sets, "id", pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "wanted")
+    sets = sets.where("wanted")
     one = sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b"))
     two = sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a"))
     joined = pairs.join(one, "b").join(two, "a").select("a", "b", "set_a", "set_b")
@@ -268,7 +274,7 @@ def near_duplicates(
     sets = stored(
         spelt.dropDuplicates(OF_SET)
         .join(met.drop("least_id"), OF_SET)
-        .select("id", "shingles", "low"),
+        .select("id", "n_shingles", "shingles", "low"),
         "sets",
     )
     stars = shared.where("least < id").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
