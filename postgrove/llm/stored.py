@@ -45,13 +45,15 @@ def maybe_among(df: DataFrame, column: str, keys: DataFrame, name: str) -> DataF
 
     The keys set bits at their hashes; these, never more than ``MOST_BITS``, are broadcast,
     so the rows stay where they are. About one other row in ``BITS_PER_KEY`` is true as well,
-    more once the bits are at their bound. NULL is none of the keys.
+    more once the bits are at their bound. NULL is none of the keys. Both sides are
+    compared in the type of the keys.
     """
     key = keys.columns[0]
+    kind = keys.schema[0].dataType
     bits = min(max(keys.count() * BITS_PER_KEY, 1), MOST_BITS)
 
     def spot(of: str) -> Column:
-        return F.pmod(F.xxhash64(of), F.lit(bits).cast("long")) + 1
+        return F.pmod(F.xxhash64(F.col(of).cast(kind)), F.lit(bits).cast("long")) + 1
 
     part = F.bitmap_bucket_number(spot(key)).alias("_part")
     maps = keys.where(F.col(key).isNotNull()).groupBy(part).agg(
@@ -64,6 +66,18 @@ def maybe_among(df: DataFrame, column: str, keys: DataFrame, name: str) -> DataF
     return here.select(*df.columns, F.coalesce(found, F.lit(False)).alias(name))
 
 
+def parted(rows: DataFrame, column: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose ``column`` is among ``keys``, a table of one column, and the others, also those with NULL.
+
+    Only rows that a filter of bits lets through are joined; the others are not moved.
+    """
+    marked = maybe_among(rows, column, keys, "_maybe")
+    unsure = marked.where("_maybe").drop("_maybe")
+    keys = keys.select(F.col(keys.columns[0]).alias(column))
+    inside, others = (unsure.join(keys, column, kind).select(rows.columns) for kind in ("left_semi", "left_anti"))
+    return inside, others.union(marked.where("not _maybe").drop("_maybe"))
+
+
 ROWS_PER_BATCH = 1_000
 
 

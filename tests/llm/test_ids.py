@@ -93,6 +93,15 @@ def test_a_filter_of_bits_never_misses_a_key(spark, monkeypatch, most):
     assert not stored.maybe_among(rows, "v", keys.where("false"), "found").where("found").count()
 
 
+def test_rows_are_parted_by_a_table_of_keys(spark):
+    rows = spark.sql("select cast(v as int) as v, 'x' as _key from (select explode(sequence(1, 3000)) as v union all select null)")
+    keys = spark.sql("select explode(sequence(0L, 3000L, 3L)) as k union all select null")
+    inside, others = (sorted(map(str, part.collect())) for part in stored.parted(rows, "v", keys))
+    assert inside == sorted(map(str, rows.where("v % 3 = 0").collect()))
+    assert others == sorted(map(str, rows.where("v is null or v % 3 <> 0").collect()))
+    assert [part.count() for part in stored.parted(rows, "v", keys.where("false"))] == [0, 3001]
+
+
 def test_of_buckets_with_the_same_classes_the_lowest_number_stays(spark):
     """Ten keys of one class, so four bits hold a key's number; keys 17 and 35 hold the same classes."""
     rows = [(35, 1), (35, 2), (17, 1), (17, 2), (51, 1), (51, 2), (51, 3), (66, 4), (66, 5)]
