@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from postgrove.llm import cotraining, language_vectors, minhash, mixing, pieces
-from postgrove.llm.stored import numbered, stored
+from postgrove.llm.stored import numbered, parted, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -68,16 +68,19 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     Rows without an id, or with one that other rows have too, come after all others. They are told
     apart by a number of their own, so unlike texts of one id all stay, and so do rows without words.
     """
-    shared = docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").select(F.col("doc_id").alias("_shared"))
+    shared = docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
     shared = stored(shared, "shared_ids")
-    alone = docs.join(shared, F.col("doc_id") == F.col("_shared"), "left_anti").where("doc_id is not null")
-    others = docs.join(shared, F.col("doc_id").eqNullSafe(F.col("_shared")), "left_semi")
+    rows = docs.select(F.col("doc_id").alias("_at"), F.struct("*").alias("row"))
+    repeated, single = parted(rows, "_at", shared)
+    alone = single.where("_at is not null")
     last = docs.agg(F.coalesce(F.max("doc_id"), F.lit(0)).cast("long")).head()[0]
-    others, _ = numbered(others.select(F.struct("*").alias("row")), "_at", "others", first=last + 1)
-    rows = alone.select("doc_id", "text").union(others.select("_at", "row.text"))
-    kept = stored(minhash.near_duplicates(rows, width=WIDTH).where("kept").select(F.col("doc_id").alias("_at")), "kept")
-    first = alone.join(kept, F.col("doc_id") == F.col("_at"), "left_semi").select(docs.columns)
-    return first.union(others.join(kept, "_at", "left_semi").select("row.*"))
+    others = repeated.union(single.where("_at is null")).select("row")
+    others, _ = numbered(others, "_at", "others", first=last + 1)
+    rows = alone.union(others.select("_at", "row"))
+    found = minhash.near_duplicates(rows.select("_at", "row.text"), id="_at", width=WIDTH)
+    # Fewer rows go than stay, and only those that may go are moved.
+    copies = stored(found.where("not kept").select("_at"), "copies")
+    return parted(rows, "_at", copies)[1].select("row.*")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
