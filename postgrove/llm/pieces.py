@@ -187,6 +187,25 @@ def _encoding(shared) -> Callable[[Batches], Batches]:
     return run
 
 
+def _checking(shared) -> Callable[[Batches], Batches]:
+    """Ids of each text and whether they give it again, in one worker and one pass."""
+
+    def run(batches: Batches) -> Batches:
+        vocabulary = Vocabulary(*shared.value)
+        encode, decode = encoder(vocabulary), decoder(vocabulary)
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(start, ROWS_AT_ONCE)
+                ids, same = [], []
+                for text in part.column(part.num_columns - 1).to_pylist():
+                    ids.append(None if text is None else encode(text))
+                    same.append(text is None or decode(np.frombuffer(ids[-1], "<i4")) == text)
+                names = [*part.schema.names[:-1], "ids", "restored"]
+                yield pa.record_batch([*part.columns[:-1], _lists(ids), pa.array(same, pa.bool_())], names=names)
+
+    return run
+
+
 def _decoding(shared) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         decode = decoder(Vocabulary(*shared.value))
@@ -215,7 +234,8 @@ def _applied(
     rows = df.select(*kept, F.col(column).alias("_value"))
     done = rows.mapInArrow(run(shared), f"{layout}{', ' if keep else ''}{kind}")
     back = [F.col(f"_{i}").alias(x) for i, x in enumerate(keep)]
-    return done.select(*back, F.col(kind.split()[0]).alias(name))
+    value, *more = done.columns[len(keep) :]
+    return done.select(*back, F.col(value).alias(name), *more)
 
 
 def encode(
@@ -234,21 +254,11 @@ def encode_and_check(
     df: DataFrame, vocabulary: Vocabulary, text: str = "text", name: str = "ids",
     keep: tuple[str, ...] = ("doc_id",),
 ) -> DataFrame:
-    """As :func:`encode`, and ``restored``: whether decoding the ids gives the text again.
+    """As :func:`encode`, and ``restored``: whether decoding the ids gives the text again, true for NULL.
 
-    Only the hash and the length of a text go along with its ids, not the text.
+    Only the ids and the outcome leave the task, not the text.
     """
-    marked = df.select(
-        *(F.col(x).alias(f"keep{i}") for i, x in enumerate(keep)), F.col(text).alias("text"),
-        F.xxhash64(text).alias("hash"), F.length(text).alias("length"),
-    )
-    kept = [f"keep{i}" for i in range(len(keep))]
-    ids = encode(marked, vocabulary, keep=(*kept, "hash", "length"))
-    back = decode(ids, vocabulary, keep=(*kept, "hash", "length", "ids"))
-    same = F.xxhash64("text").eqNullSafe(F.col("hash")) & F.length("text").eqNullSafe(F.col("length"))
-    return back.select(
-        *(F.col(own).alias(x) for own, x in zip(kept, keep)), F.col("ids").alias(name), same.alias("restored")
-    )
+    return _applied(df, vocabulary, text, _checking, name, "ids array<int>, restored boolean", list(keep))
 
 
 def decode(
