@@ -9,9 +9,10 @@ from collections.abc import Callable, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, SparkSession, functions as F, types as T
 
 from postgrove.dimensions import STOP_WORDS
+from postgrove.functions.batches import batches_by_bytes, by_parts
 
 # The patterns of the cleaning chain, in order, each with its
 # replacement. `.` stops at a line end. White space is what Unicode calls so,
@@ -60,10 +61,11 @@ def _batch_cleaner(steps: Sequence[str | tuple[str, str]]) -> Callable[[pa.Array
 
 def _cleaner(steps: Sequence[str | tuple[str, str]]) -> Callable[[Column], Column]:
     clean = _batch_cleaner(steps)
+    batches_by_bytes(SparkSession.getActiveSession())
 
     @F.arrow_udf(T.StringType())
     def cleaned(texts: pa.Array) -> pa.Array:
-        return clean(texts)
+        return by_parts(clean, texts)
 
     return cleaned
 
@@ -104,9 +106,9 @@ def tokens(
     """
     clean = _batch_cleaner(_steps(full_mentions))
     noise, stop = ["", *string.ascii_letters, *NOISE_WORDS], list(stop_words)
+    batches_by_bytes(SparkSession.getActiveSession())
 
-    @F.arrow_udf(T.ArrayType(T.StringType()))
-    def cut(texts: pa.Array) -> pa.Array:
+    def kept_words(texts: pa.Array) -> pa.Array:
         lists = pc.split_pattern(clean(texts).fill_null(""), pattern=" ")
         words, borders = lists.flatten(), lists.offsets.to_numpy()
         dropped = pc.or_(
@@ -118,4 +120,8 @@ def tokens(
         ends = pa.array(before[borders - borders[0]], pa.int32())
         return pa.ListArray.from_arrays(ends, words.filter(kept), mask=texts.is_null())
 
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def cut(texts: pa.Array) -> pa.Array:
+        return by_parts(kept_words, texts)
+
     return cut(F.lower(text))

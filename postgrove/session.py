@@ -11,12 +11,14 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from postgrove.functions.batches import BATCH_BYTES
+
 _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     # Batches of long texts stay small in the Python workers.
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES),
 }
 
 
