@@ -19,6 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from postgrove.functions.batches import batches_by_bytes
 from postgrove.operators.terms import top_k
 from postgrove.session import shared_folder
 from postgrove.sources.files import read_parquet, write_parquet
@@ -27,6 +28,8 @@ from postgrove.sources.files import read_parquet, write_parquet
 REMEMBERED, SENT = 1 << 18, 32
 # Groups and candidates are broadcast up to this number, and joined by a shuffle beyond.
 MAX_BROADCAST = 1_000_000
+# Words of a batch a task counts at a time, or those of one longer text.
+WORDS_AT_ONCE = 1 << 17
 
 Batches = Iterator[pa.RecordBatch]
 
@@ -53,17 +56,22 @@ def _summary(remembered: int, sent: int) -> Callable[[Batches], Batches]:
                     keys.append(batch.column(0)[pc.index(names.indices, i).as_py()])
                 own.append(numbers[name])
             group = np.array(own, np.int64)[names.indices.to_numpy()]
-            words = batch.column(2)
-            text = pc.list_parent_indices(words).to_numpy()
-            word = pc.list_flatten(words).cast(pa.string())
-            rows = pa.table({"group": group[text], "word": word, "n": np.ones(len(word), np.int64)})
-            state = [counted([*state, rows])]
-            if len(state[0]) > remembered:
-                # The rarest go; none of them loses more than the threshold.
-                n = state[0]["n"].to_numpy()
-                threshold = int(np.partition(n, len(n) - remembered // 2 - 1)[len(n) - remembered // 2 - 1])
-                state = [state[0].filter(pa.array(n > threshold))]
-                lost += threshold
+            ends = np.cumsum(pc.list_value_length(batch.column(2)).to_numpy(), dtype=np.int64)
+            first = done = 0
+            while first < len(ends):
+                last = max(int(np.searchsorted(ends, done + WORDS_AT_ONCE, side="right")), first + 1)
+                words = batch.column(2).slice(first, last - first)
+                text = pc.list_parent_indices(words).to_numpy() + first
+                word = pc.list_flatten(words).cast(pa.string())
+                first, done = last, int(ends[last - 1])
+                rows = pa.table({"group": group[text], "word": word, "n": np.ones(len(word), np.int64)})
+                state = [counted([*state, rows])]
+                if len(state[0]) > remembered:
+                    # The rarest go; none of them loses more than the threshold.
+                    n = state[0]["n"].to_numpy()
+                    threshold = int(np.partition(n, len(n) - remembered // 2 - 1)[len(n) - remembered // 2 - 1])
+                    state = [state[0].filter(pa.array(n > threshold))]
+                    lost += threshold
         if not keys:
             return
         table = counted(state).sort_by([("group", "ascending"), ("n", "descending"), ("word", "ascending")])
@@ -100,6 +108,7 @@ def frequent_terms(
     holds and sends, and change no result. ``df`` is read up to three times.
     """
     spark = df.sparkSession
+    batches_by_bytes(spark)
     rows = df.select(F.struct(*keys).alias("key"), words.alias("words")).where(F.size("words") > 0)
     schema = T.StructType(
         [T.StructField("key", rows.schema["key"].dataType), T.StructField("word", T.StringType()),

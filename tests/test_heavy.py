@@ -60,3 +60,12 @@ def test_nothing(spark):
     df = spark.createDataFrame([("x", []), ("y", None)], "g string, words array<string>")
     assert heavy.frequent_terms(df, ["g"], F.col("words")).collect() == []
     assert heavy.frequent_terms(df.where("false"), ["g"], F.col("words")).collect() == []
+
+
+def test_words_counted_a_few_at_a_time_give_a_full_count(spark, monkeypatch):
+    monkeypatch.setattr(heavy, "WORDS_AT_ONCE", 3)
+    draw = random.Random(5)
+    rows = [(draw.choice("xy"), draw.choices("abcdefgh", k=draw.randint(0, 9))) for _ in range(40)]
+    df = spark.createDataFrame(rows, "g string, words array<string>").coalesce(1)
+    got = heavy.frequent_terms(df, ["g"], F.col("words"), 3, remembered=6, sent=2)
+    assert sorted((r.g, r.word, r["count"]) for r in got.collect()) == by_hand(rows, 3)
