@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from postgrove.dimensions import LANGUAGE_NAMES, UNKNOWN_LANGUAGE
+from postgrove.functions.batches import batches_by_bytes
 from postgrove.operators.lookup import code_lookup
 
 # What every executor holds is languages x buckets numbers, whatever the size of
@@ -139,6 +140,7 @@ def _counter(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
 
 def _counts(df: DataFrame, text: str, language: str, buckets: int) -> DataFrame:
     """(code, kind, at, n). Tasks send sums, not trigrams, to the shuffle."""
+    batches_by_bytes(df.sparkSession)
     return (
         df.where(F.col(language).isNotNull())
         .select(text, language)
@@ -200,6 +202,7 @@ class LanguageModel:
         not make the optimizer score every text again, and no filter, also none on
         other columns, is moved below it.
         """
+        batches_by_bytes(self.spark)
         shared = self.spark.sparkContext.broadcast(
             (self.priors, self.weights, self.alphabet, self.member)
         )

@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from postgrove.dimensions import POLARITY_WORDS
+from postgrove.functions.batches import batches_by_bytes, by_parts
 from postgrove.functions.labels import sign_label
 
 # Words that turn the next word around, besides those in -n't.
@@ -60,6 +61,7 @@ def polarity(
     # One more entry for words that are in no list.
     steps = np.array([round(value * UNITS / 2) for value in lexicon.values()] + [0], np.int64)
     spark = SparkSession.getActiveSession()
+    batches_by_bytes(spark)
     shared = spark.sparkContext.broadcast((known, steps))
     weigh = _weigher(negation)
 
@@ -67,7 +69,8 @@ def polarity(
     def mean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known, steps = shared.value
         values = pa.array(known, pa.string())
-        for texts in batches:
+
+        def means(texts: pa.Array) -> pa.Array:
             words, starts, weight = weigh(texts)
             place = pc.index_in(words, value_set=values.cast(words.type))
             value = weight * steps[pc.fill_null(place, len(known)).to_numpy(zero_copy_only=False)]
@@ -75,7 +78,10 @@ def polarity(
             hit = place.is_valid().to_numpy(zero_copy_only=False).astype(np.int64)
             hits = np.add.reduceat(hit, starts) if len(starts) else starts
             missing = texts.is_null().to_numpy(zero_copy_only=False)
-            yield pa.array(total / np.maximum(hits * UNITS, 1), mask=missing)
+            return pa.array(total / np.maximum(hits * UNITS, 1), mask=missing)
+
+        for texts in batches:
+            yield by_parts(means, texts)
 
     return (mean.asNondeterministic() if once else mean)(text)
 
@@ -87,9 +93,9 @@ def joined_polarity(df: DataFrame, text: str, lexicon: DataFrame, name: str, neg
     text, told apart by its SHA-256 digest.
     """
     weigh = _weigher(negation)
+    batches_by_bytes(df.sparkSession)
 
-    @F.arrow_udf("array<struct<word: string, weight: int>>")
-    def weighted(texts: pa.Array) -> pa.Array:
+    def pairs_of(texts: pa.Array) -> pa.Array:
         words, starts, weight = weigh(texts)
         pairs = pa.StructArray.from_arrays(
             [words.cast(pa.string()), pa.array(weight, pa.int32())], names=["word", "weight"]
@@ -97,6 +103,10 @@ def joined_polarity(df: DataFrame, text: str, lexicon: DataFrame, name: str, neg
         offsets = pa.array(np.append(starts, len(words)), pa.int32())
         return pa.ListArray.from_arrays(offsets, pairs)
 
+    @F.arrow_udf("array<struct<word: string, weight: int>>")
+    def weighted(texts: pa.Array) -> pa.Array:
+        return by_parts(pairs_of, texts)
+
     digest = F.sha2(F.col(text), 256)
     words = (
         df.where(F.col(text).isNotNull())
