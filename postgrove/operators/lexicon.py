@@ -16,6 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from postgrove.functions.batches import batches_by_bytes, parts
 from postgrove.operators.sentiment import WORD_GAP
 from postgrove.session import shared_folder
 from postgrove.sources.files import read_parquet, write_parquet
@@ -25,7 +26,8 @@ WINDOW, LEAST_WORDS, LEAST_PAIRS, ROUNDS = 5, 20, 5, 4
 POLARITY_UNITS, WEIGHT_UNITS = 1_000_000, 1_000
 # Words are broadcast up to this number, and joined by a shuffle beyond.
 MAX_BROADCAST_WORDS = 1_000_000
-ROWS_AT_ONCE = 512
+# Different pairs a task adds up before it sends them on.
+HELD_PAIRS = 1 << 21
 
 Batches = Iterator[pa.RecordBatch]
 
@@ -40,21 +42,31 @@ def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 def _word_counter(batches: Batches) -> Batches:
     for batch in batches:
-        counts = pc.value_counts(_words(batch.column(0))[0])
-        yield pa.record_batch([counts.field(0), counts.field(1)], names=["word", "n"])
+        for texts in parts(batch.column(0)):
+            counts = pc.value_counts(_words(texts)[0])
+            yield pa.record_batch([counts.field(0), counts.field(1)], names=["word", "n"])
 
 
-def _pair_counter(shared, window: int) -> Callable[[Batches], Batches]:
-    """Pairs of words no further apart than ``window``, as (a, b, n) with a before b in the alphabet.
+def _near(code: np.ndarray, text: np.ndarray, listed: np.ndarray, size: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of different words of a text at most ``window`` apart, as smaller code x ``size`` + larger, and how often.
 
-    Of words that ``shared`` does not list, if it lists any, there are no pairs.
+    ``listed`` tells which words have pairs.
     """
+    found = []
+    for step in range(1, window + 1):
+        one, two = code[:-step], code[step:]
+        good = (text[:-step] == text[step:]) & (one != two) & listed[:-step] & listed[step:]
+        found.append(np.minimum(one, two)[good] * size + np.maximum(one, two)[good])
+    return np.unique(np.concatenate(found), return_counts=True)
+
+
+def _pair_counter(window: int) -> Callable[[Batches], Batches]:
+    """Pairs of words no further apart than ``window``, as (a, b, n) with a before b in the alphabet."""
 
     def run(batches: Batches) -> Batches:
-        known = None if shared is None else pa.array(shared.value, pa.string())
         for batch in batches:
-            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
-                words, text = _words(batch.column(0).slice(start, ROWS_AT_ONCE))
+            for texts in parts(batch.column(0)):
+                words, text = _words(texts)
                 coded = words.dictionary_encode()
                 names = coded.dictionary
                 order = pc.array_sort_indices(names).to_numpy()
@@ -62,18 +74,8 @@ def _pair_counter(shared, window: int) -> Callable[[Batches], Batches]:
                 place[order] = np.arange(len(names))
                 code = place[coded.indices.to_numpy()] if len(words) else np.zeros(0, np.int64)
                 names = names.take(pa.array(order))
-                listed = np.ones(len(names), bool)
-                if known is not None:
-                    listed = pc.is_in(names, value_set=known).to_numpy(zero_copy_only=False)
-                found = []
-                for step in range(1, window + 1):
-                    one, two = code[:-step], code[step:]
-                    good = (text[:-step] == text[step:]) & (one != two)
-                    good &= listed[one] & listed[two] if len(one) else good
-                    low, high = np.minimum(one, two)[good], np.maximum(one, two)[good]
-                    found.append(low * len(names) + high)
-                pairs, n = np.unique(np.concatenate(found), return_counts=True)
                 size = max(len(names), 1)
+                pairs, n = _near(code, text, np.ones(len(code), bool), size, window)
                 yield pa.record_batch(
                     [names.take(pa.array(pairs // size)), names.take(pa.array(pairs % size)), pa.array(n)],
                     names=["a", "b", "n"],
@@ -82,6 +84,46 @@ def _pair_counter(shared, window: int) -> Callable[[Batches], Batches]:
     return run
 
 
+def _known_pair_counter(shared, window: int, held: int) -> Callable[[Batches], Batches]:
+    """The same as (pair, n) for the words ``shared`` lists: a pair is place of a x number of words + place of b.
+
+    A task adds pairs up, and sends them on when it holds more than ``held``.
+    """
+
+    def run(batches: Batches) -> Batches:
+        known = pa.array(shared.value, pa.string())
+        size = max(len(known), 1)
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        waiting = 0
+
+        def added() -> tuple[np.ndarray, np.ndarray]:
+            pairs, n = (np.concatenate(x) for x in zip(*found))
+            order = np.argsort(pairs)
+            pairs, n = pairs[order], n[order]
+            opens = np.flatnonzero(np.diff(pairs, prepend=-1))
+            return pairs[opens], np.add.reduceat(n, opens) if len(opens) else n
+
+        for batch in batches:
+            for texts in parts(batch.column(0)):
+                words, text = _words(texts)
+                # Words of the texts are looked up once each.
+                coded = words.dictionary_encode()
+                place = pc.fill_null(pc.index_in(coded.dictionary, value_set=known), -1).to_numpy().astype(np.int64)
+                code = place[coded.indices.to_numpy()] if len(words) else np.zeros(0, np.int64)
+                found.append(_near(code, text, code >= 0, size, window))
+                waiting += len(found[-1][0])
+                if waiting > 2 * held:
+                    found = [added()]
+                    waiting = len(found[0][0])
+                    if waiting > held:
+                        yield pa.record_batch([pa.array(x) for x in found[0]], names=["pair", "n"])
+                        found, waiting = [], 0
+        if found:
+            yield pa.record_batch([pa.array(x) for x in added()], names=["pair", "n"])
+
+    return run
+
+
 def _kept(df: DataFrame, purpose: str) -> DataFrame:
     folder = shared_folder(df.sparkSession, purpose)
     write_parquet(df, folder)
@@ -102,29 +144,44 @@ def neighbours(
     in thousandths, rounded down.
     """
     spark = df.sparkSession
+    batches_by_bytes(spark)
     texts = df.select(F.col(text).alias("text")).where("text is not null")
     words = texts.mapInArrow(_word_counter, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     frequent = _kept(words.where(F.col("n") >= least_words).select("word"), "words")
     few = frequent.count() <= MAX_BROADCAST_WORDS
-    shared = spark.sparkContext.broadcast(frequent.toArrow()["word"].to_pylist()) if few else None
-    pairs = (
-        texts.mapInArrow(_pair_counter(shared, window), "a string, b string, n bigint")
-        .groupBy("a", "b")
-        .agg(F.sum("n").alias("n"))
-    )
-    if not few:
+    send = F.broadcast if few else (lambda x: x)
+    if few:
+        listed = sorted(frequent.toArrow()["word"].to_pylist())
+        counted = texts.mapInArrow(
+            _known_pair_counter(spark.sparkContext.broadcast(listed), window, HELD_PAIRS), "pair bigint, n bigint"
+        ).groupBy("pair").agg(F.sum("n").alias("n"))
+        size = F.lit(max(len(listed), 1)).cast("long")
+        pairs = counted.select(F.call_function("div", "pair", size).alias("a"), (F.col("pair") % size).alias("b"), "n")
+    else:
+        pairs = (
+            texts.mapInArrow(_pair_counter(window), "a string, b string, n bigint")
+            .groupBy("a", "b")
+            .agg(F.sum("n").alias("n"))
+        )
         for end in ("a", "b"):
             pairs = pairs.join(frequent.withColumnRenamed("word", end), end, "left_semi")
     pairs = _kept(pairs, "pairs")
     both = pairs.select(F.col("a").alias("word"), F.col("b").alias("other"), "n").union(pairs.select("b", "a", "n"))
     sizes = _kept(both.groupBy("word").agg(F.sum("n").alias("size")), "sizes")
     total = sizes.agg(F.coalesce(F.sum("size"), F.lit(0))).head()[0]
-    send = F.broadcast if few else (lambda x: x)
     own, its = (send(sizes.select(F.col("word").alias(x), F.col("size").alias(f"{x}_size"))) for x in ("word", "other"))
     chance = F.col("n").cast("double") * float(total) / (F.col("word_size").cast("double") * F.col("other_size"))
     weight = F.floor(F.log(chance) * WEIGHT_UNITS)
     linked = both.where(F.col("n") >= least_pairs).join(own, "word").join(its, "other")
-    return linked.select("word", "other", weight.alias("weight")).where("weight > 0")
+    linked = linked.select("word", "other", weight.alias("weight")).where("weight > 0")
+    if not few:
+        return linked
+    # Places become words only in the links.
+    places = spark.createDataFrame(pa.table({"at": pa.array(range(len(listed)), pa.int64()), "name": pa.array(listed, pa.string())}))
+    named = {x: F.broadcast(places.select(F.col("at").alias(x), F.col("name").alias(f"{x}_name"))) for x in ("word", "other")}
+    return linked.join(named["word"], "word").join(named["other"], "other").select(
+        F.col("word_name").alias("word"), F.col("other_name").alias("other"), "weight"
+    )
 
 
 def learn_lexicon(

@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from postgrove.operators import lexicon
@@ -69,3 +70,19 @@ def test_equals_plain_python(spark, monkeypatch, rounds, window, most):
 def test_without_texts_the_seeds_remain(spark):
     df = spark.createDataFrame([], "text string")
     assert {r.word: r.polarity for r in lexicon.learn_lexicon(df, SEEDS).collect()} == SEEDS
+
+
+@pytest.mark.parametrize("held", [0, 3])
+def test_pairs_sent_early_are_still_added_up(spark, monkeypatch, held):
+    monkeypatch.setattr(lexicon, "HELD_PAIRS", held)
+    texts = list(made_texts())
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    got = lexicon.learn_lexicon(df, SEEDS, rounds=2, window=2, least_words=3, least_pairs=2)
+    assert {row.word: row.polarity for row in got.collect()} == by_hand(texts, 2, 2, 3, 2)
+
+
+def test_a_task_sends_a_pair_of_many_texts_once():
+    shared = type("Shared", (), {"value": ["a", "b", "c"]})
+    batches = [pa.record_batch([pa.array(["b a", "x c b", None, "a B"])], names=["text"]) for _ in range(3)]
+    sent = [batch.to_pydict() for batch in lexicon._known_pair_counter(shared, 2, 100)(iter(batches))]
+    assert sent == [{"pair": [1, 5], "n": [6, 3]}]
