@@ -49,7 +49,7 @@ def _trigrams(
     """
     for first, last, raw, offsets in slices(texts):
         points = np.frombuffer(raw.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
-        before = np.concatenate(([0], np.cumsum((raw & 0xC0) != 0x80)))
+        before = np.append(np.int32(0), np.cumsum((raw & 0xC0) != 0x80, dtype=np.int32))
         bounds = before[offsets] + np.arange(len(offsets))
         # A space is put before each text, and one more after the last.
         spaced = np.full(len(points) + len(offsets), 32, np.uint32)
@@ -63,7 +63,8 @@ def _trigrams(
             if chr(point).isalpha():
                 fold[point] = ord(chr(point).lower()[0])
         stream = fold[spaced]
-        text = np.repeat(np.arange(len(offsets)), np.diff(np.append(bounds, len(spaced))))
+        text = np.repeat(np.arange(len(offsets), dtype=np.int32), np.diff(np.append(bounds, len(spaced))))
+        del raw, points, before, spaced, inner
         is_letter = stream != 32
         letters = np.bincount(text[is_letter], minlength=len(offsets))[: last - first]
         # One space between words, kept with the word before it or the text's start.
@@ -73,20 +74,23 @@ def _trigrams(
         stream, text = stream[kept], text[kept]
         alphabet, letter = np.unique(stream, return_inverse=True)
         size = len(alphabet)
+        del stream, is_letter, kept
         # A trigram may end with the space that begins the next text.
         inside = text[:-2] == text[1:-1]
         code = ((letter[:-2] * size + letter[1:-1]) * size + letter[2:])[inside]
         owner = text[:-2][inside]
+        # What is not needed is given back before the vectors are made.
+        order = np.argsort(code, kind="stable")
+        code, owner = code[order], owner[order]
+        del text, letter, inside, order
         yield first, last, _parts(code, owner, last - first, alphabet, dimensions), letters
 
 
 def _parts(
     code: np.ndarray, owner: np.ndarray, texts: int, alphabet: np.ndarray, dimensions: int
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Counts and vectors of the trigrams ``code`` of the texts ``owner``, some trigrams at a time."""
+    """Counts and vectors of the trigrams ``code``, in order, of the texts ``owner``, some trigrams at a time."""
     size = len(alphabet)
-    order = np.argsort(code, kind="stable")
-    code, owner = code[order], owner[order]
     opens = np.append(True, code[1:] != code[:-1])[: len(code)]
     column, used = np.cumsum(opens) - 1, code[opens]
     base = _letter_vectors(alphabet, dimensions)
@@ -94,7 +98,7 @@ def _parts(
     for start in range(0, len(used), TRIGRAMS):
         part = used[start : start + TRIGRAMS]
         here = slice(*np.searchsorted(column, (start, start + len(part))))
-        counts = np.bincount(owner[here] * len(part) + column[here] - start, minlength=texts * len(part))
+        counts = np.bincount(owner[here].astype(np.int64) * len(part) + column[here] - start, minlength=texts * len(part))
         vectors = twice[part // (size * size)]
         vectors *= once[part // size % size]
         vectors *= base[part % size]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from postgrove.functions.batches import batches_by_bytes
 from postgrove.session import shared_folder
 
 
@@ -85,11 +86,12 @@ def small_batches(spark: SparkSession) -> None:
     """Let Spark hand texts to Python a thousand at a time, unless the submitter chose a number.
 
     Texts are long: ten thousand of them, Spark's default, are held by the executor
-    and by its Python process several times over.
+    and by its Python process several times over. A batch also ends at some bytes.
     """
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not spark.sparkContext.getConf().contains(name):
         spark.conf.set(name, str(ROWS_PER_BATCH))
+    batches_by_bytes(spark)
 
 
 def layout(id: T.DataType, rest: str) -> T.StructType:
