@@ -69,7 +69,8 @@ def op6_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log-probability of every text, learnt from nine of ten documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = docs.select(F.struct("doc_id", (fold("doc_id", 10) == 0).alias("held_out")).alias("row"), "text")
-    found = suffix_tree.scores(rows, docs.where(fold("doc_id", 10) != 0), id="row")
+    # A row without an id is in no fold, and not learnt from.
+    found = suffix_tree.scores(rows, ~F.col("row.held_out"), id="row")
     return found.select(
         "row.doc_id", "row.held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )

@@ -90,3 +90,33 @@ def test_the_tree_grows_with_the_corpus(sf_dir):
     texts = [x["text"] for x in pq.read_table("/root/testdata/sf0.01/documents.parquet").to_pylist()]
     small, large = ByHand(texts[:60], 8.0, 64.0), ByHand(texts[:240], 8.0, 64.0)
     assert len(large.kept) > 1.3 * len(small.kept)
+
+
+@pytest.mark.parametrize("bucket", [suffix_tree.BUCKET, 700])
+def test_no_context_is_too_rare(spark, sf_dir, monkeypatch, bucket):
+    """Contexts and followers seen once count too, also where words fill more than a bucket."""
+    monkeypatch.setattr(suffix_tree, "BUCKET", bucket)
+    documents = pq.read_table(f"{sf_dir}/documents.parquet").to_pylist()
+    held_out = {x["doc_id"]: zlib.crc32(str(x["doc_id"]).encode()) % 10 == 0 for x in documents}
+    tree = ByHand([x["text"] for x in documents if not held_out[x["doc_id"]]], math.inf, math.inf)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    learnt = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 != 0
+    for training in (learnt, docs.where(learnt)):
+        got = {row["doc_id"]: row["score"] for row in suffix_tree.scores(docs, training).collect()}
+        assert len(got) == len(documents)
+        for x in documents:
+            assert got[x["doc_id"]] == pytest.approx(tree.score(x["text"]), rel=1e-9, abs=1e-6)
+
+
+@pytest.mark.parametrize("depth", [1, 3])
+def test_other_depths_in_small_buckets(spark, monkeypatch, depth):
+    monkeypatch.setattr(suffix_tree, "BUCKET", 40)
+    texts = ["a b a b c a b a b c", "a a a a a a b", "c", "", "a b c d e a b c d e A B", "x a b c", "a b a b c a b a b c"]
+    texts = [(i, x) for i, x in enumerate(texts * 3)]
+    docs = spark.createDataFrame([*texts, (None, None), (3, "a b c q")], "doc_id int, text string").repartition(3)
+    learnt = [x["text"] for x in docs.where("doc_id % 4 > 0").collect()]
+    tree = ByHand(learnt, math.inf, math.inf, depth)
+    assert any(len(before) == depth for before in tree.kept)
+    rows = suffix_tree.scores(docs.withColumnRenamed("text", "t"), F.expr("doc_id % 4 > 0"), text="t", depth=depth).collect()
+    want = sorted(round(tree.score(x["text"], depth), 6) for x in docs.collect())
+    assert sorted(round(row["score"], 6) for row in rows) == want
