@@ -41,8 +41,9 @@ FINE = 1e-6
 PRIOR = 10.0
 # Standard deviations beyond chance at which a context diverges.
 DEVIATIONS = 3.0
-# Tokens of a bucket, and tokens a task deals to buckets at a time.
-BUCKET = 1_500_000
+# Tokens of a bucket, buckets of a task, buckets a symbol may overfill before it is spread, and
+# tokens a task deals to buckets at a time.
+BUCKET, TOGETHER, OVERFULL = 500_000, 3, 3
 DEALT = 1 << 20
 # The end, and what is before a text; words have other hashes.
 END, NONE = U64(0), U64(1)
@@ -400,7 +401,7 @@ def _grower(
         names = ["id", "row", "n_tokens", "n_known", "base_score", "home", "added"]
         return pa.record_batch(list(columns), names=names)
 
-    def finish(blobs: list[bytes], rare: list, pairs: list, kind: pa.DataType) -> pa.RecordBatch:
+    def finish(blobs: list[bytes], rare: list, pairs: list, sent: dict) -> None:
         fine, common, *_ = shared.value
         parts = [_unpacked(x, depth, fine) for x in blobs]
         pairs = [np.concatenate([x[i] for x in pairs]) if pairs else np.zeros(0, np.int64) for i in range(4)]
@@ -460,27 +461,32 @@ def _grower(
         known = np.bincount(text, (uncommon & (c > 0))[token], size)
         plain = np.bincount(text, np.where(uncommon, root, 0.0)[token], size)
         sums = marks >> 2, known, plain, np.bincount(text, gain, size)
-        # What the bucket adds to the texts goes where they were dealt from, in one piece.
-        added = []
-        for a, b in zip(starts, starts[1:]):
+        for home, a, b in zip(homes, starts, starts[1:]):
             scored = marks[a:b] & 1 > 0
-            data = b"".join(x[a:b][scored].astype(y).tobytes() for x, y in zip(sums, ADDED))
-            packed = np.int64(len(data)).tobytes() + pa.compress(data, codec="zstd", asbytes=True)
-            added.append(packed if scored.any() else None)
+            sent.setdefault(home, []).append([x[a:b][scored].astype(y) for x, y in zip(sums, ADDED)])
+
+    def send(sent: dict, kind: pa.DataType) -> pa.RecordBatch:
+        """What some buckets add to the texts, in one piece for those dealt together."""
+        added = []
+        for parts in sent.values():
+            data = b"".join(x.astype(y).tobytes() for x, y in zip(_added(parts), ADDED))
+            added.append(np.int64(len(data)).tobytes() + pa.compress(data, codec="zstd", asbytes=True))
+        homes = pa.array(list(sent), pa.int64())
         empty, none = pa.nulls(len(homes), pa.int64()), pa.nulls(len(homes), pa.float64())
-        return rows_of(
-            pa.nulls(len(homes), kind), empty, empty, empty, none, pa.array(homes, pa.int64()), pa.array(added, pa.binary())
-        )
+        return rows_of(pa.nulls(len(homes), kind), empty, empty, empty, none, homes, pa.array(added, pa.binary()))
 
     def grow(batches: Batches) -> Batches:
-        bucket, held, kind = None, ([], [], []), None
+        bucket, held, kind, sent = None, ([], [], []), None, {}
         for batch in batches:
             kind = batch.schema.field(2).type
             blobs = batch.column(1)
             for i, name in enumerate(batch.column(0).to_pylist()):
                 if name != bucket:
                     if held[0]:
-                        yield finish(*held, kind)
+                        finish(*held, sent)
+                    if sum(len(x[0]) for parts in sent.values() for x in parts) > TOGETHER * BUCKET:
+                        yield send(sent, kind)
+                        sent = {}
                     bucket, held = name, ([], [], [])
                 if blobs[i].is_valid:
                     held[0].append(blobs[i].as_py())
@@ -494,25 +500,31 @@ def _grower(
                 *(named.column(i) for i in range(2, 7)), pa.nulls(size, pa.int64()), pa.nulls(size, pa.binary())
             )
         if held[0]:
-            yield finish(*held, kind)
+            finish(*held, sent)
+        if sent:
+            yield send(sent, kind)
 
     return grow
 
 
+def _added(parts: list) -> list[np.ndarray]:
+    """Fields as in ``ADDED`` with one row for each text."""
+    fields = [np.concatenate(x) for x in zip(*parts)]
+    rows, text = np.unique(fields[0], return_inverse=True)
+    return [rows, *(np.bincount(text, x, len(rows)).astype(y) for x, y in zip(fields[1:], ADDED[1:]))]
+
+
 def _adder() -> Callable[[Batches], Batches]:
     """From (home, added), in order of home: a row for each text."""
 
     def total(held: list[bytes]) -> pa.RecordBatch:
-        fields: list[list] = [[] for _ in ADDED]
+        parts = []
         for packed in held:
             full = int(np.frombuffer(packed, "<i8", 1)[0])
             data, size = pa.decompress(packed[8:], full, codec="zstd", asbytes=True), full // 32
-            for i, (own, kind) in enumerate(zip(fields, ADDED)):
-                own.append(np.frombuffer(data, kind, size, 8 * i * size))
-        rows, text = np.unique(np.concatenate(fields[0]), return_inverse=True)
-        known, base, gain = (np.bincount(text, np.concatenate(x), len(rows)) for x in fields[1:])
+            parts.append([np.frombuffer(data, kind, size, 8 * i * size) for i, kind in enumerate(ADDED)])
         return pa.record_batch(
-            [pa.array(rows), pa.array(known.astype(np.int64)), pa.array(base), pa.array(gain)],
+            [pa.array(x) for x in _added(parts)],
             names=["row", "more_known", "more_base", "gain"],
         )
 
@@ -590,7 +602,7 @@ def scores(
     order = np.argsort(keys)
     keys, c = keys[order], c[order]
     # Buckets that a word before others fills, its tokens to be scored included.
-    spread = -(-c * max(tokens // max(total, 1), 1) // BUCKET)
+    spread = -(-c * max(tokens // max(total, 1), 1) // (OVERFULL * BUCKET))
     heavy, spread = keys[spread > 1], spread[spread > 1].astype(U64)
     count = max(-(-tokens // BUCKET), 1)
     shared = spark.sparkContext.broadcast((keys, c, heavy, spread, count))
@@ -632,7 +644,7 @@ def scores(
     parts = (
         everything.unionByName(pairs, allowMissingColumns=True)
         .select("bucket", "tokens", "id", "row", "n_tokens", "n_known", "base_score", "words", "pairs")
-        .repartition(count, "bucket")
+        .repartition(-(-count // TOGETHER), "bucket")
         .sortWithinPartitions("bucket")
         .mapInArrow(
             _grower(shared, depth, least, head, prior, deviations, texts, below),
@@ -643,7 +655,7 @@ def scores(
     sums = (
         parts.where("added is not null")
         .select("home", "added")
-        .repartition(count, "home")
+        .repartition(-(-count // TOGETHER), "home")
         .sortWithinPartitions("home")
         .mapInArrow(_adder(), "row bigint, more_known bigint, more_base double, gain double")
     )

@@ -92,7 +92,7 @@ def test_the_tree_grows_with_the_corpus(sf_dir):
     assert len(large.kept) > 1.3 * len(small.kept)
 
 
-@pytest.mark.parametrize("bucket", [suffix_tree.BUCKET, 700])
+@pytest.mark.parametrize("bucket", [suffix_tree.BUCKET, 250])
 def test_no_context_is_too_rare(spark, sf_dir, monkeypatch, bucket):
     """Contexts and followers seen once count too, also where words fill more than a bucket."""
     monkeypatch.setattr(suffix_tree, "BUCKET", bucket)
@@ -110,7 +110,7 @@ def test_no_context_is_too_rare(spark, sf_dir, monkeypatch, bucket):
 
 @pytest.mark.parametrize("depth", [1, 3])
 def test_other_depths_in_small_buckets(spark, monkeypatch, depth):
-    monkeypatch.setattr(suffix_tree, "BUCKET", 40)
+    monkeypatch.setattr(suffix_tree, "BUCKET", 8)
     texts = ["a b a b c a b a b c", "a a a a a a b", "c", "", "a b c d e a b c d e A B", "x a b c", "a b a b c a b a b c"]
     texts = [(i, x) for i, x in enumerate(texts * 3)]
     docs = spark.createDataFrame([*texts, (None, None), (3, "a b c q")], "doc_id int, text string").repartition(3)
