@@ -15,42 +15,106 @@ written ones, and any shared store will do.
 
 from __future__ import annotations
 
+import functools
+import json
 import os
-import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from postgrove.functions.batches import parts
 from postgrove.llm.stored import small_batches, stored
+from postgrove.llm.words import slices
 from postgrove.session import shared_folder
 
 END = 0
 LIMIT = 18
 BLOCK = 1 << 16
 STRETCH = 256
-# Distinct cuts of texts remembered by a task; then it starts anew.
-MAX_REMEMBERED = 250_000
-TEXTS_AT_ONCE = 128
+# Parts of texts remembered by a worker, of so many bytes at most. Beyond that number those
+# not seen again for as many others are forgotten.
+MAX_REMEMBERED, LONGEST_REMEMBERED = 250_000, 64
+# Parts given to the library as one text, texts given to it at once, and bytes of texts cut at once.
+TOGETHER = 64
+PIECE_BYTES = 4 << 20
 # Rows put in order by one task.
 ROWS_PER_PART = 20_000
 
 Batches = Iterator[pa.RecordBatch]
 
 
-def _tokenizer(definition: str, specials_as_text: bool = True) -> Callable[[list[str]], list[np.ndarray]]:
-    """Ids of many texts, by the tokenizers library.
+# What a byte of UTF-8 may be: a blank texts are cut at, visible and of these a letter or a mark, or of a longer character.
+BLANK, VISIBLE, LETTER, MARK, BEYOND = 1, 2, 4, 8, 16
+KINDS = np.zeros(256, np.uint8)
+KINDS[[0x20, 0x0A]] = BLANK
+KINDS[0x21:0x7F] = VISIBLE | MARK
+KINDS[ord("0") : ord("9") + 1] = VISIBLE
+for first in "Aa":
+    KINDS[ord(first) : ord(first) + 26] = VISIBLE | LETTER
+KINDS[0x80:] = BEYOND
+# The first two bytes of white space of three, and the first bytes of white space.
+WIDE_SPACES = (0xE19A, 0xE280, 0xE281, 0xE380)
+SPACE_BEGINS = (0xC2, 0xE1, 0xE2, 0xE3)
+
+
+def cuts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where texts, given as bytes and offsets, are cut; the parts have the tokens of the whole.
+
+    A byte-level pattern always begins anew at white space after another character,
+    after one line break between two other characters, and at a mark after a letter.
+    Where a character might be white space, or no letter, there is no cut.
+    """
+    kinds = KINDS[raw]
+    blank = np.flatnonzero(kinds == BLANK)
+    blank = blank[blank > 0]
+    before = kinds[blank - 1]
+    lead = raw[blank - 2]
+    pair = raw[np.maximum(blank - 3, 0)].astype(np.int32) * 256 + lead
+    wide = (lead == 0xC2) | np.isin(pair, WIDE_SPACES)
+    blank = blank[((before & VISIBLE) > 0) | ((before == BEYOND) & ~wide)]
+    line = blank[raw[blank] == 0x0A]
+    line = line[line + 1 < len(raw)] + 1
+    after = kinds[line]
+    line = line[((after & VISIBLE) > 0) | ((after == BEYOND) & ~np.isin(raw[line], SPACE_BEGINS))]
+    found = np.zeros(len(raw) + 1, bool)
+    found[1:-1] = ((kinds[1:] & MARK) > 0) & ((kinds[:-1] & LETTER) > 0)
+    found[blank] = found[line] = found[offsets] = True
+    return np.flatnonzero(found[:-1])
+
+
+def _cuttable(definition: str) -> bool:
+    """Whether tokens are those of a plain byte-level pattern, and stand for all the bytes of a text."""
+    from tokenizers import pre_tokenizers
+
+    parts = json.loads(definition)
+    model, pattern = parts["model"], parts["pre_tokenizer"] or {}
+    options = ("dropout", "continuing_subword_prefix", "end_of_word_suffix")
+    return (
+        not any(parts.get(x) for x in ("normalizer", "truncation", "padding"))
+        and (pattern.get("type"), pattern.get("add_prefix_space"), pattern.get("use_regex", True))
+        == ("ByteLevel", False, True)
+        and model.get("type") == "BPE"
+        and not any(model.get(x) for x in options)
+        and set(pre_tokenizers.ByteLevel.alphabet()) <= set(model["vocab"])
+    )
+
+
+@functools.lru_cache(maxsize=1)
+def _tokenizer(definition: str, specials_as_text: bool = True) -> Callable[[Sequence[str | None]], list[np.ndarray]]:
+    """Ids of many texts, by the tokenizers library; what it learnt stays for later tasks of a worker.
 
     A special token of the definition that stands in a text is encoded like any
     other text, or with ``specials_as_text`` off as its own id, the library's default.
 
-    A byte-level pattern never joins a space that stands alone between two other
-    characters with what is before it, so texts are cut there, and the library
-    encodes each distinct cut once. It is given many cuts as one text; as tokens of
-    a byte-level vocabulary stand for bytes, their lengths tell where a cut ends.
+    Texts are cut, and the library encodes each distinct part once. It is given many
+    parts as one text; as tokens of a byte-level vocabulary stand for bytes, their
+    lengths tell where a part ends. Texts with added tokens, and all texts of a
+    definition of another form, are encoded whole.
     """
     # The cores of an executor have tasks of their own.
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -58,75 +122,127 @@ def _tokenizer(definition: str, specials_as_text: bool = True) -> Callable[[list
 
     library = Tokenizer.from_str(definition)
     library.encode_special_tokens = specials_as_text
-    cut = re.compile(r"(?<=\S) (?=\S)")
-    # Without white space beside a space, and of other kinds than these, all spaces stand alone.
-    other, beside = re.compile(r"[^\S \n]"), ("  ", " \n", "\n ")
+    cuttable = _cuttable(definition)
     size = library.get_vocab_size()
+    narrow = _narrow(size)
     bytes_of = np.array([len(library.id_to_token(i) or "") for i in range(size)])
-    # Tokens added to the vocabulary are written as they are, not as letters that stand for bytes.
-    for i, added in library.get_added_tokens_decoder().items():
-        bytes_of[i] = len(added.content.encode("utf-8"))
-    remembered: dict[str, bytes] = {}
-    most, together = MAX_REMEMBERED, 256
-
-    def split(text: str) -> list[str]:
-        plain = text.strip() == text and not other.search(text) and not any(x in text for x in beside)
-        first, *rest = text.split(" ") if plain else cut.split(text)
-        # What follows a cut begins with its space; the first part does not.
-        return [first, *[" " + part for part in rest]]
-
-    def learn(parts: list[str]) -> None:
-        joined = [x for x in parts if x[:1] == " " and not x[1:2].isspace() and not x[-1].isspace()]
-        alone = list(set(parts).difference(joined))
-        for part, found in zip(alone, library.encode_batch_fast(alone, add_special_tokens=False)):
-            remembered[part] = np.array(found.ids, "<u4").tobytes()
-        groups = [joined[i : i + together] for i in range(0, len(joined), together)]
-        found = library.encode_batch_fast(["".join(x) for x in groups], add_special_tokens=False)
-        for group, encoding in zip(groups, found):
-            ids = np.array(encoding.ids, "<u4")
-            ends = np.cumsum([len(x.encode("utf-8")) for x in group])
-            edges = 4 * np.concatenate(([0], np.searchsorted(np.cumsum(bytes_of[ids]), ends) + 1))
-            data, edges = ids.tobytes(), edges.tolist()
-            for part, start, stop in zip(group, edges, edges[1:]):
-                remembered[part] = data[start:stop]
-
-    def encode(texts: list[str]) -> list[np.ndarray]:
-        if len(remembered) > most:
-            remembered.clear()
-        parts = [split(text) for text in texts]
-        learn(list({part for own in parts for part in own}.difference(remembered)))
-        return [np.frombuffer(b"".join([remembered[part] for part in own]), "<u4") for own in parts]
+    added = [x for x in library.get_added_tokens_decoder().values() if not (x.special and specials_as_text)]
+    remembered: dict[bytes, bytes] = {}
+    earlier: dict[bytes, bytes] = {}
+
+    def whole(texts: list[str]) -> list[np.ndarray]:
+        found: list[np.ndarray] = []
+        # The library's results are far larger than the ids.
+        for i in range(0, len(texts), TOGETHER):
+            some = library.encode_batch_fast(texts[i : i + TOGETHER], add_special_tokens=False)
+            found += [np.array(x.ids, narrow) for x in some]
+        return found
+
+    def learn(parts: list[bytes]) -> list[bytes]:
+        texts = [x.decode("utf-8") for x in parts]
+        # White space at an end could join with what comes next to it; a line break or a space cannot with what is before.
+        apart = [x[-1].isspace() or (x[0] not in " \n" and x[0].isspace()) for x in texts]
+        joined = [i for i, x in enumerate(apart) if not x]
+        led = [texts[i] if texts[i][0] in " \n" else "\n" + texts[i] for i in joined]
+        together = ["".join(led[i : i + TOGETHER]) for i in range(0, len(led), TOGETHER)]
+        ids = np.concatenate([np.zeros(0, narrow), *whole(together)])
+        ends = np.concatenate(([0], np.cumsum(bytes_of[ids])))
+        lengths = np.array([len(parts[i]) for i in joined], np.int64)
+        stops = np.cumsum(lengths + [len(x) - len(texts[i]) for i, x in zip(joined, led)])
+        wanted = np.stack((stops - lengths, stops))
+        edges = np.minimum(np.searchsorted(ends, wanted), len(ends) - 1)
+        if (ends[edges] != wanted).any():
+            # An added token came about where two parts meet.
+            return [own.tobytes() for own in whole(texts)]
+        data, edges = ids.tobytes(), edges * ids.itemsize
+        found: list[bytes] = [b""] * len(parts)
+        for i, start, stop in zip(joined, *edges.tolist()):
+            found[i] = data[start:stop]
+        others = [i for i, x in enumerate(apart) if x]
+        for i, own in zip(others, whole([texts[i] for i in others])):
+            found[i] = own.tobytes()
+        return found
+
+    def tokens_of(parts: list[bytes]) -> list[bytes]:
+        nonlocal remembered, earlier
+        found = [remembered.get(x) for x in parts]
+        for i in [i for i, x in enumerate(found) if x is None]:
+            found[i] = earlier.get(parts[i])
+            if found[i] is not None:
+                remembered[parts[i]] = found[i]
+        new = [i for i, x in enumerate(found) if x is None]
+        for i, own in zip(new, learn([parts[i] for i in new])):
+            found[i] = own
+            if len(parts[i]) <= LONGEST_REMEMBERED:
+                remembered[parts[i]] = own
+        if len(remembered) > MAX_REMEMBERED:
+            earlier, remembered = remembered, {}
+        return found
+
+    def by_parts(raw: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        starts = cuts(raw, offsets)
+        edges = np.append(starts, len(raw)).astype(np.int32)
+        parts = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(raw)])
+        coded = parts.dictionary_encode()
+        found = tokens_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids, code = np.frombuffer(b"".join(found), narrow), coded.indices.to_numpy()
+        # A text, and so the ids of a piece, are fewer than 2 ** 31.
+        counts = np.array([len(x) for x in found], np.int32) // ids.itemsize
+        begins = np.cumsum(counts, dtype=np.int32) - counts
+        ends = np.concatenate((np.zeros(1, np.int32), np.cumsum(counts[code], dtype=np.int32)))
+        where = np.repeat(begins[code] - ends[:-1], counts[code])
+        where += np.arange(len(where), dtype=np.int32)
+        return np.split(ids[where], ends[np.searchsorted(starts, offsets[1:-1])])
+
+    def encode(texts: Sequence[str | None]) -> list[np.ndarray]:
+        texts = pa.array(texts, pa.string())
+        alike = np.full(len(texts), not cuttable)
+        for token in added if cuttable else []:
+            alike |= pc.match_substring(texts, token.content).fill_null(False).to_numpy(zero_copy_only=False)
+        encoded = [None] * len(texts)
+        rows = np.flatnonzero(alike)
+        for i, own in zip(rows, whole([x or "" for x in texts.take(pa.array(rows)).to_pylist()])):
+            encoded[i] = own
+        rows = np.flatnonzero(~alike)
+        rest = texts.take(pa.array(rows)) if alike.any() else texts
+        for first, last, raw, offsets in slices(rest, PIECE_BYTES):
+            for i, own in zip(rows[first:last], by_parts(raw, offsets)):
+                encoded[i] = own
+        return encoded
 
     return encode
 
 
+def _narrow(size: int) -> str:
+    """Numbers that hold the ids of so many symbols."""
+    return "<u2" if size <= 1 << 16 else "<u4"
+
+
 def _encoding(definition, size: int, specials_as_text: bool) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         encode = _tokenizer(definition.value, specials_as_text)
-        narrow = "<u2" if size <= 1 << 16 else "<u4"
-        end = np.array([END], "<u4")
+        end = np.array([END], _narrow(size))
         counts = np.zeros(size, np.int64)
 
         def rows(ids: pa.Array, tokens: list[np.ndarray], kind: int) -> pa.RecordBatch:
-            dtype = narrow if kind == 0 else "<i8"
             return pa.record_batch(
                 [
                     ids,
                     pa.array([kind] * len(ids), pa.int32()),
                     pa.array([len(x) for x in tokens], pa.int64()),
-                    pa.array([x.astype(dtype).tobytes() for x in tokens], pa.binary()),
+                    pa.array([x.tobytes() for x in tokens], pa.binary()),
                 ],
                 names=["id", "kind", "n_tokens", "tokens"],
             )
 
         for batch in batches:
-            for start in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                part = batch.slice(start, TEXTS_AT_ONCE)
-                texts = [x or "" for x in part.column(1).to_pylist()]
+            first = 0
+            for texts in parts(batch.column(1), PIECE_BYTES):
                 tokens = [np.concatenate((x, end)) for x in encode(texts)]
                 counts += np.bincount(np.concatenate(tokens), minlength=size)
-                yield rows(part.column(0), tokens, 0)
-        yield rows(pa.array([None], pa.int64()), [counts], 1)
+                yield rows(batch.column(0).slice(first, len(texts)), tokens, 0)
+                first += len(texts)
+        yield rows(pa.array([None], pa.int64()), [counts.astype("<i8")], 1)
 
     return run
 
@@ -232,7 +348,7 @@ def _packing(shared, size: int) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         lengths = shared.value
         codes = canonical(lengths)
-        narrow = "<u2" if size <= 1 << 16 else "<u4"
+        narrow = _narrow(size)
         part = TaskContext.get().partitionId()
         held: list[tuple] = []
         block = before = waiting = 0

@@ -261,6 +261,69 @@ def test_tokens_do_not_depend_on_where_texts_are_cut():
         assert [*ids.tolist(), 0] == ids_of(text), text
 
 
+def random_texts(count, seed):
+    """Texts of characters at which a cut may be wrong, mixed with words."""
+    rng = np.random.default_rng(seed)
+    some = [
+        *" \n\t\r\x0b\x0c\x1c\x1f\x7f\x85", *"  \u2003\u2028\u200b　", *"aZé.,;'’…!-—1２٣", *"漢の。ñßяΩ", "\U0001f600",
+        " the", " the", " don't", "'ll", ". ", ".\n", "\n\n", "  ", " (x)", " été", " élan.", "\nWort", "<|end", "oftext|>",
+    ]
+    return ["".join(some[i] for i in rng.integers(0, len(some), int(n))) for n in rng.integers(0, 40, count)]
+
+
+@pytest.mark.parametrize("specials_as_text", [True, False])
+def test_parts_have_the_tokens_of_whole_texts(monkeypatch, specials_as_text):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        definition = file.read()
+    library = Tokenizer.from_str(definition)
+    library.encode_special_tokens = specials_as_text
+    # Parts are forgotten, and learnt again, all the time.
+    monkeypatch.setattr(huffman, "MAX_REMEMBERED", 60)
+    monkeypatch.setattr(huffman, "LONGEST_REMEMBERED", 4)
+    monkeypatch.setattr(huffman, "PIECE_BYTES", 300)
+    encode = huffman._tokenizer(definition, specials_as_text)
+    for seed in range(6):
+        texts = [*random_texts(500, seed), None, "", "x<|endoftext|>y z", "", " "]
+        expected = [library.encode(x or "", add_special_tokens=False).ids for x in texts]
+        assert [x.tolist() for x in encode(texts)] == expected
+    assert encode([]) == []
+
+
+def test_tasks_of_a_worker_share_what_the_library_gave():
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        definition = file.read()
+    assert huffman._tokenizer(definition, False) is huffman._tokenizer("".join(definition), False)
+
+
+def test_definitions_of_other_forms_encode_texts_whole():
+    import json
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        parts = json.load(file)
+    texts = ["Ein Élan ist da. Und é noch", "a b", "", None, "in a\nline  of words"]
+    accents = {"type": "Sequence", "normalizers": [{"type": "NFD"}, {"type": "StripAccents"}]}
+    spaces = {**parts["pre_tokenizer"], "add_prefix_space": True}
+    joining = {"id": 50257, "content": "a b", "single_word": False, "lstrip": False, "rstrip": False,
+               "normalized": False, "special": False}
+    for change in ({"normalizer": accents}, {"pre_tokenizer": spaces}, {"added_tokens": [*parts["added_tokens"], joining]}):
+        definition = json.dumps(parts | change)
+        library = Tokenizer.from_str(definition)
+        expected = [library.encode(x or "", add_special_tokens=False).ids for x in texts]
+        assert [x.tolist() for x in huffman._tokenizer(definition, False)(texts)] == expected, change
+    # The parts " a" and " b" stand in no text together, but meet when the library is asked.
+    assert [x.tolist() for x in huffman._tokenizer(definition, False)(["x a", "x b"])] == [
+        library.encode(x, add_special_tokens=False).ids for x in ("x a", "x b")
+    ]
+
+
 def test_special_tokens_in_texts_get_the_ids_of_the_library(spark, tmp_path):
     import public_tokenizers
     from tokenizers import Tokenizer
